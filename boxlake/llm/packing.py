@@ -8,7 +8,8 @@ one for each token), never tokens.
 
 from __future__ import annotations
 
-import base64
+import json
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -19,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from boxlake.llm.bpe import byte_letters
 from boxlake.llm.common import text_slices, vocabulary
 from boxlake.session import written
 
@@ -41,15 +43,12 @@ class ByteCoder(dict):
 
     def __init__(self, data: bytes) -> None:
         super().__init__()
-        import json
-        import re
-
         spec = json.loads(data)
         self.whole = Tokenizer.from_str(data.decode())
         self.whole.no_truncation()
         self.whole.no_padding()
         self.special = [t["content"] for t in spec["added_tokens"]]
-        back = {c: b for b, c in enumerate(_letters())}
+        back = {c: b for b, c in enumerate(byte_letters())}
         ranks = {bytes(back[c] for c in t): i for t, i in spec["model"]["vocab"].items()}
         self.fast = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         (self.line,) = self.fast.encode_ordinary("\n")
@@ -90,12 +89,6 @@ class ByteCoder(dict):
         return out
 
 
-def _letters() -> list[str]:
-    from boxlake.llm.bpe import byte_letters
-
-    return byte_letters()
-
-
 def pieces_of(ids: bytes, capacity: int) -> list[tuple[int, int, int, int]]:
     """(piece, start, length, crc32): the first piece takes what is left over, all others are full."""
     n = len(ids) // 4

@@ -8,10 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boxlake.llm import bpe, langid, packing, urlfilter
+from boxlake.llm import bpe, langid, neardup, packing, secrets, urlfilter, vectors
 from boxlake.session import table
 
 
+def op1_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find_secrets(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -29,6 +37,10 @@ def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge_urls(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), words=4)
+
+
 def _terms(names: tuple[str, ...]) -> str:
     return "[" + ", ".join(f"'{t}'" for t in names) + "]"
 
@@ -49,8 +61,11 @@ from p left join m on p.page_id = m.page_id""",
 }
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_embeddings": op1_embeddings,
+    "op2_secrets": op2_secrets,
     "op5_bpe": op5_bpe,
     "op7_packing": op7_packing,
     "op8_langid": op8_langid,
     "op9_urls": op9_urls,
+    "op10_minhash": op10_minhash,
 }
