@@ -45,4 +45,4 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 def size_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate; for a frame read from ``written`` it comes from the files."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().longValue())
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
