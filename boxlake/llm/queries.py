@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boxlake.llm import bpe, langid, neardup, packing, secrets, urlfilter, vectors
+from boxlake.llm import bpe, langid, linededup, neardup, packing, private, quality, secrets, urlfilter, vectors
 from boxlake.session import table
 
 
@@ -20,10 +20,23 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op4_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = linededup.drop_boilerplate(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"), "text")
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op6_private(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return private.find_private(table(spark, sf_dir, "documents")).drop("all_spans")
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -48,6 +61,16 @@ def _terms(names: tuple[str, ...]) -> str:
 _HAS = r"lambda t: regexp_matches(low, '(^|[^a-z0-9])' || t || '([^a-z0-9]|$)')"
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 ORACLE_SQL: dict[str, str] = {
+    "op4_lines": """
+with l as (select r, host, unnest(string_split(text, chr(10))) as line from (select row_number() over () as r, coalesce(source, '') as host, text from documents) d),
+n as (select host, trim(line, ' ') as line, count(distinct r) as n from l where trim(line, ' ') <> '' group by 1, 2),
+t as (select coalesce(source, '') as host, count(*) as pages from documents group by 1),
+b as (select n.host, n.line from n join t on n.host = t.host where n >= 10 and n > 0.1 * pages),
+g as (select host, list(line) as lines from b group by host)
+select doc_id, coalesce(len(string_split(text, chr(10))), 0)::bigint as n_lines,
+  coalesce(len(string_split(text, chr(10))) - len(list_filter(string_split(text, chr(10)), lambda x: not list_contains(coalesce(lines, []), trim(x, ' ')))), 0)::bigint as n_dropped,
+  array_to_string(list_filter(string_split(text, chr(10)), lambda x: not list_contains(coalesce(lines, []), trim(x, ' '))), chr(10)) as text
+from documents left join g on coalesce(source, '') = host""",
     "op9_urls": f"""
 with p as (select page_id, url, translate(coalesce(url, ''), {_AZ}) as low,
   translate(coalesce(regexp_extract(url, '^(?s:.*?)://([^/?#]*)', 1), ''), {_AZ}) as host,
@@ -63,7 +86,10 @@ from p left join m on p.page_id = m.page_id""",
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embeddings": op1_embeddings,
     "op2_secrets": op2_secrets,
+    "op3_quality": op3_quality,
+    "op4_lines": op4_lines,
     "op5_bpe": op5_bpe,
+    "op6_private": op6_private,
     "op7_packing": op7_packing,
     "op8_langid": op8_langid,
     "op9_urls": op9_urls,
