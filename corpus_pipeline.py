@@ -1,13 +1,63 @@
-"""The corpus pipeline: stages over documents, each written and read again before the next."""
+"""The corpus pipeline: five stages over documents, each written as Parquet and read again before the next.
+
+Every stage but the last returns the columns of documents, with n_chars following the text. A null text passes the first
+stage never (it has no words); rows may repeat, ids may be null; other columns of the input are dropped by name.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from boxlake.llm import linededup, neardup, packing, private, quality
 from boxlake.session import table, written
 
-STAGES: list = []
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+REST = COLUMNS[1:]
+#: SQL can express neither the robust estimates nor hash-ordered components; tests compare with brute force.
 ORACLE_SQL = None
+#: Broadcast dropped ids up to this many bytes; beyond it, they meet the documents by a shuffle.
+BROADCAST_BYTES = 32 << 20
+
+
+def _measured(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rules and the robust outlier test keep."""
+    return quality.judge(docs, keep=REST).filter("kept").select(*COLUMNS)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the lines that more than a tenth of their source's documents hold."""
+    return _measured(linededup.drop_boilerplate(docs))
+
+
+def minhash_neardup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates (five words, similarity 0.8): the one with the smallest id."""
+    found = written(neardup.near_duplicates(docs), "groups")
+    gone = found.filter("not kept").select(F.col("doc_id").alias("_gone")).distinct()
+    gone = F.broadcast(gone) if gone.count() * 16 <= BROADCAST_BYTES else gone
+    left = docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti").select(*COLUMNS)
+    # Rows that repeat an id are copies of one document where their texts are equal too; usually there are none.
+    repeated = found.filter("kept").groupBy("doc_id").count().filter("count > 1")
+    return left if repeated.isEmpty() else left.dropDuplicates(["doc_id", "text"])
+
+
+def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts with personal data replaced by its kind in brackets."""
+    found = private.find_private(docs, keep=REST)
+    return _measured(found.withColumn("text", private.redacted(F.col("text"), F.col("all_spans"))))
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every piece of every document that is left, and its place in a sequence of at most 2048 tokens."""
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES = [("quality_rules", quality_rules), ("line_dedup", line_dedup), ("minhash_neardup", minhash_neardup), ("pii", pii), ("best_fit_packing", best_fit_packing)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
