@@ -39,8 +39,9 @@ def dictionaries(docs: DataFrame, per_lang: int = 512, excerpt: int = 1024, id_c
     by = Window.partitionBy("lang").orderBy("h", id_col)
     chosen = ok.select("lang", id_col, F.xxhash64(F.col(id_col)).alias("h")).withColumn("r", F.row_number().over(by)).filter(F.col("r") <= per_lang)
     texts = ok.join(F.broadcast(chosen.select(id_col).distinct()), id_col, "left_semi").select("lang", F.col(id_col).alias("id"), F.substring("text", 1, excerpt).alias("t"))
+    texts = texts.groupBy("lang", "id").agg(F.min("t").alias("t"))
     out: dict[str, dict[str, None]] = {}
-    for row in sorted(texts.distinct().collect(), key=lambda r: (r.lang, r.id if r.id is not None else -1, r.t)):
+    for row in sorted(texts.collect(), key=lambda r: (r.lang, r.id)):
         out.setdefault(row.lang, {})[row.t] = None
     return {lang: "\n".join(texts).encode() for lang, texts in out.items()}
 

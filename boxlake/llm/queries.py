@@ -17,7 +17,8 @@ def op1_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.find_secrets(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    out = secrets.find_secrets(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return out.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_random")
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,7 +35,8 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_private(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return private.find_private(table(spark, sf_dir, "documents")).drop("all_spans")
+    out = private.find_private(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_context")
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,7 +45,8 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return langid.predict(docs.withColumn("held_out", langid.held_out()), langid.dictionaries(docs), keep=["held_out"])
+    out = langid.predict(docs.withColumn("held_out", langid.held_out()), langid.dictionaries(docs), keep=["held_out"])
+    return out.select("doc_id", "held_out", "lang_pred", "score", "rejected")
 
 
 def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
