@@ -60,7 +60,7 @@ def review_order(crops: DataFrame) -> DataFrame:
     by_ord = Window.partitionBy("ord")
     starts = starts.withColumn("group_start", F.min("before").over(by_ord)).withColumn("group_count", F.sum("n").over(by_ord)).withColumn("total", F.sum("n").over(Window.partitionBy()))
     rank = F.row_number().over(Window.partitionBy("ord", "pred_dir").orderBy("crop_name")) - 1
-    out = named.join(F.broadcast(starts), ["ord", "pred_dir"]).withColumn("pos", F.col("before") + rank)
+    out = named.join(starts, ["ord", "pred_dir"]).withColumn("pos", F.col("before") + rank)
     return out.select("pred_dir", "crop_name", "ord", "pos", "total", (F.col("pos") - F.col("group_start")).alias("group_pos"), "group_start", "group_count")
 
 

@@ -26,8 +26,8 @@ SCHEMA = "path string, name string, size long"
 def listing(spark: SparkSession, roots: list[str] | str, recursive: bool = False, kind: str | None = None) -> DataFrame:
     """(path, name, size, base, ext) of every file, empty ones too, flat or recursive; ``kind`` keeps its extensions.
 
-    Flat listings and each level's sub-directories are made on the driver by name only; below that, one listing task for
-    each sub-directory of the root is Hadoop's iterator. Missing folders give no rows.
+    The driver asks the store for names and sizes, as Spark's own file index does; nothing is opened. Missing folders give
+    no rows.
     """
     jvm, rows = spark._jvm, []
     for root in [roots] if isinstance(roots, str) else roots:
