@@ -9,6 +9,9 @@ confirmed on the full shingle sets, by integers: 100 * intersection >= 80 * unio
 A long list never becomes all its pairs. In each round every list pairs its members with one hub; confirmed links
 merge components. What is left when a round merges nothing are lists whose members lie in different components: there
 every pair of members of different components that wasn't tested yet is tested, so no link is lost.
+
+Shingles that no other candidate has bound a pair before it is built: two sets share at most what either shares with
+anyone, and a pair whose bound is below the similarity can't link. Heavily edited copies drop out by that alone.
 """
 
 from __future__ import annotations
@@ -18,17 +21,19 @@ from hashlib import blake2b
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from boxlake.llm.common import text_slices
 from boxlake.operators.graph import connected_components
-from boxlake.session import checkpointed, written
+from boxlake.session import checkpointed, size_bytes, written
 
 #: Most words whose hash a task remembers.
 CACHE = 300_000
 #: Broadcast a set of candidate ids up to this many bytes; beyond it the rows are joined by a shuffle.
 BROADCAST_BYTES = 32 << 20
+#: The same for tables of candidates' labels, signatures and sets, by the size of their files.
+LOOKUP_BYTES = 8 << 20
 
 
 class _WordHash(dict):
@@ -71,14 +76,17 @@ def _print(hashes: np.ndarray) -> bytes | None:
 def coordinates(coords: int) -> tuple[np.ndarray, np.ndarray]:
     """Odd multipliers and addends of the signature's hash functions; fixed."""
     rng = np.random.default_rng(20_240_607)
-    return rng.integers(0, 2**63, coords, np.uint64) * np.uint64(2) + np.uint64(1), rng.integers(0, 2**63, coords, np.uint64)
+    return rng.integers(0, 2**31, coords, np.uint32) * np.uint32(2) + np.uint32(1), rng.integers(0, 2**32, coords, np.uint32)
 
 
 def signature(hashes: np.ndarray, mult: np.ndarray, add: np.ndarray) -> list[int]:
     """For each coordinate, 31 bits of the shingle hash that is smallest under that coordinate's order."""
-    out = []
+    x = (hashes >> np.uint64(32)).astype(np.uint32)
+    out, buffer = [], np.empty_like(x)
     for a, b in zip(mult, add, strict=True):
-        out.append(int(np.argmin(hashes * a + b)))
+        np.multiply(x, a, out=buffer)
+        np.add(buffer, b, out=buffer)
+        out.append(buffer.argmin())
     return (_mix(hashes[out]) >> np.uint64(33)).astype(np.int64).tolist()
 
 
@@ -115,10 +123,15 @@ def _semi(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     return rows.join(F.broadcast(ids) if small else ids.hint("merge"), rows[key] == ids["id"], "left_semi")
 
 
+def _lookup(table: DataFrame) -> DataFrame:
+    """A written table as the side that is looked up: broadcast if its files are small, else by a shuffle."""
+    return F.broadcast(table) if size_bytes(table) <= LOOKUP_BYTES else table
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) whose full sets reach the similarity."""
     x, y = sets.select(F.col("id").alias("a"), F.col("set").alias("sa")), sets.select(F.col("id").alias("b"), F.col("set").alias("sb"))
-    both = pairs.join(x, "a").join(y, "b")
+    both = pairs.join(_lookup(x), "a").join(_lookup(y), "b")
     both = both.withColumn("i", F.size(F.array_intersect("sa", "sb")).cast("long"))
     return both.filter(100 * F.col("i") >= percent * (F.size("sa") + F.size("sb") - F.col("i"))).select("a", "b")
 
@@ -127,16 +140,16 @@ def _agreeing(pairs: DataFrame, sigs: DataFrame, least: int) -> DataFrame:
     """Pairs whose whole signatures agree in at least ``least`` coordinates: the probe of the lists that were skipped."""
     x, y = sigs.select(F.col("id").alias("a"), F.col("sig").alias("ga")), sigs.select(F.col("id").alias("b"), F.col("sig").alias("gb"))
     same = F.aggregate(F.zip_with("ga", "gb", lambda p, q: F.when(p == q, 1).otherwise(0)), F.lit(0), lambda s, v: s + v)
-    return pairs.join(x, "a").join(y, "b").filter(same >= least).select("a", "b")
+    return pairs.join(_lookup(x), "a").join(_lookup(y), "b").filter(same >= least).select("a", "b")
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, coords: int = 32, least: int = 10, id_col: str = "doc_id", text_col: str = "text", max_rounds: int = 6) -> DataFrame:
+def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, coords: int = 48, least: int = 22, id_col: str = "doc_id", text_col: str = "text", max_rounds: int = 5) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept): one row per row of the input.
 
     Similarity is that of the sets of distinct word shingles, A-Z lower-cased; a text with fewer words is one shingle.
     Null and empty texts and texts without words link with nothing, nor does a null id. Rows that share an id
     are one node: what links to one of them links to all. Ids are integers; columns other than id and text are not read.
-    A pair at the similarity bound has fewer than ``least`` equal coordinates with a chance of about 1e-9 by default.
+    A pair at the similarity bound has fewer than ``least`` equal coordinates with a chance of about 1e-8 by default.
     """
     read = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = written(read.mapInArrow(_signatures(words, coords), "doc_id bigint, n_shingles bigint, fp binary, sig array<int>"), "signatures")
@@ -149,9 +162,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, coords:
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
-def _links(sigs: DataFrame, docs: DataFrame, words: int, percent: int, coords: int, least: int, max_rounds: int) -> DataFrame:
+def _links(classes: DataFrame, docs: DataFrame, words: int, percent: int, coords: int, least: int, max_rounds: int) -> DataFrame:
     """Confirmed links (a, b) between class representatives, enough to connect whatever is linked."""
-    posts = sigs.select("id", F.posexplode("sig").alias("k", "v"))
+    posts = classes.select("id", F.posexplode("sig").alias("k", "v"))
     # (coordinate, value) as one key; a pair with a single posting can't link anything and needs no list.
     posts = posts.select("id", F.xxhash64("k", "v").alias("kv"))
     lists = posts.groupBy("kv").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
@@ -162,33 +175,48 @@ def _links(sigs: DataFrame, docs: DataFrame, words: int, percent: int, coords: i
     kvs = prefix.groupBy("kv").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("kv")
     posted = written(prefix.join(kvs, "kv"), "posted")
     ids = checkpointed(posted.select("id").distinct())
-    sigs = written(_semi(sigs, ids, "id"), "sigs")
+    sigs = written(_semi(classes.select("id", "sig"), ids, "id"), "sigs")
     wanted = _semi(docs.filter("doc_id is not null"), ids, "doc_id")
     sets = written(wanted.mapInArrow(_sets(words), "id bigint, fp binary, set array<bigint>").dropDuplicates(["id", "fp"]), "sets")
 
+    # Shingles of one candidate alone: counted where the shingle is, then summed by its only owner.
+    owners = sets.select("id", F.explode("set").alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("id"))
+    alone = owners.filter("n = 1").groupBy("id").agg(F.count(F.lit(1)).alias("alone"))
+    sized = sets.groupBy("id").agg(F.max(F.size("set")).alias("hi"), F.min(F.size("set")).alias("lo"), F.count(F.lit(1)).alias("rows"))
+    # Rows that share an id have no common bound; they keep all of their set.
+    shared = F.col("hi") - F.when(F.col("rows") == 1, F.coalesce("alone", F.lit(0))).otherwise(0)
+    able = written(sized.join(alone, "id", "left").select("id", F.col("lo").cast("long").alias("n"), shared.cast("long").alias("sh")).filter(100 * F.col("sh") >= percent * F.col("n")), "able")
+    posted = written(posted.join(_lookup(able), "id"), "lists")
+    ids = able.select("id")
+
+    def possible(a: str, b: str) -> Column:
+        """The most that two sets can share reaches the similarity."""
+        return (100 + percent) * F.least(F.col(f"{a}.sh"), F.col(f"{b}.sh")) >= percent * (F.col(f"{a}.n") + F.col(f"{b}.n"))
+
     labels = ids.select("id", F.col("id").alias("c"))
     tested = links = None
     for turn in range(max_rounds):
-        marked = posted.join(labels, "id")
-        open_lists = marked.groupBy("kv").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.min_by("id", F.xxhash64("c", F.lit(turn))).alias("hub"), F.min_by("c", F.xxhash64("c", F.lit(turn))).alias("hc")).filter("lo < hi").select("kv", "hub", "hc")
-        pairs = marked.join(open_lists, "kv").filter("c <> hc").select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
+        marked = posted.join(_lookup(labels), "id")
+        order = F.xxhash64("c", F.lit(turn))
+        hubs = marked.groupBy("kv").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.min_by(F.struct("id", "c", "n", "sh"), order).alias("hub"))
+        hubs = hubs.filter("low < high").select("kv", "hub.*")
+        pairs = marked.alias("x").join(hubs.alias("h"), (F.col("x.kv") == F.col("h.kv")) & (F.col("x.c") != F.col("h.c")) & possible("x", "h"))
+        pairs = pairs.select(F.least("x.id", "h.id").alias("a"), F.greatest("x.id", "h.id").alias("b")).distinct()
         if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = checkpointed(pairs)
+            pairs = pairs.join(_lookup(tested), ["a", "b"], "left_anti")
+        pairs = written(pairs, "pairs")
         tested = pairs if tested is None else tested.unionByName(pairs)
         fresh = checkpointed(_confirmed(_agreeing(pairs, sigs, least), sets, percent))
-        n = fresh.count()
-        if n:
-            links = fresh if links is None else links.unionByName(fresh)
-            found = connected_components(links, "a", "b")
-            labels = checkpointed(ids.join(found.withColumnRenamed("node", "id"), "id", "left").select("id", F.coalesce("component", "id").alias("c")))
-        if n == 0:
+        if fresh.isEmpty():
             break
+        links = fresh if links is None else links.unionByName(fresh)
+        found = connected_components(links, "a", "b")
+        labels = written(ids.join(found.withColumnRenamed("node", "id"), "id", "left").select("id", F.coalesce("component", "id").alias("c")), "labels")
     # The rest, whole: members of one list in different components that no round has tested.
-    marked = posted.join(labels, "id")
-    mixed = marked.groupBy("kv").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("kv")
+    marked = posted.join(_lookup(labels), "id")
+    mixed = marked.groupBy("kv").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low < high").select("kv")
     marked = checkpointed(marked.join(mixed, "kv"))
-    left, right = marked.select("kv", F.col("id").alias("a"), F.col("c").alias("ca")), marked.select("kv", F.col("id").alias("b"), F.col("c").alias("cb"))
-    rest = left.join(right, "kv").filter("a < b and ca <> cb").select("a", "b").distinct().join(tested, ["a", "b"], "left_anti")
-    last = _confirmed(_agreeing(checkpointed(rest), sigs, least), sets, percent)
+    rest = marked.alias("x").join(marked.alias("y"), (F.col("x.kv") == F.col("y.kv")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.c") != F.col("y.c")) & possible("x", "y"))
+    rest = rest.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct().join(_lookup(tested), ["a", "b"], "left_anti")
+    last = _confirmed(_agreeing(written(rest, "rest"), sigs, least), sets, percent)
     return last if links is None else links.unionByName(last)
