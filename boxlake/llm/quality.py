@@ -1,8 +1,9 @@
 """Quality rules: base statistics of a text, and robust outliers among their transforms, by language and source.
 
-Minimum covariance determinant: from coordinate-wise medians, each concentration step keeps the ``share`` of a group with
-the smallest distances and takes mean and covariance of those. Distances are scaled so that their median is that of a
-chi-square, and a row beyond ``cut`` is rejected. All of it is DataFrame expressions: moments and quantiles of a group are
+Minimum covariance determinant: from several fixed starts, each concentration step keeps the half of a group with the
+smallest distances and takes mean and covariance of those, until the determinant no longer falls; the smallest determinant
+of the starts wins, so up to about half of a group may be junk. Reweighting then takes in the rows near the half, and a row
+beyond ``cut`` is rejected. All of it is DataFrame expressions: moments and quantiles of a group are
 partial aggregates, so a group with a third of all rows is no task of its own.
 """
 
@@ -13,11 +14,17 @@ from pyspark.sql import functions as F
 
 from boxlake.session import checkpointed, written
 
-#: Fixed value: the median of a chi-square with four degrees of freedom.
-CHI2_4_MEDIAN = 3.3567
+#: The 0.975 quantile of a chi-square with four degrees of freedom, and what makes the covariance of the half,
+#: or of the rows within that quantile, consistent at a normal distribution.
+CHI2_4_975, HALF_FACTOR, NEAR_FACTOR = 11.1433, 2.10906, 1.06447
+#: The half's determinant is too small in a small group of n rows, by 1 - SMALL[0] / n ** SMALL[1] a coordinate.
+SMALL = (4.2751, 0.8215)
+REWEIGHTINGS = 2
 P = 4
 FEATURES = [f"f{i}" for i in range(P)]
-#: Least standard deviation of a transformed statistic; keeps a group of near-constant statistics from rejecting all else.
+FITTED = [*[f"m{i}" for i in range(P)], *[f"l{i}{j}" for i in range(P) for j in range(i + 1)]]
+#: Least standard deviation of a transformed statistic given those before it; keeps a group of near-constant statistics from
+#: rejecting all else.
 FLOORS = (0.25, 0.05, 0.35, 0.35)
 
 
@@ -93,37 +100,70 @@ def _mahalanobis() -> Column:
     return sum((v * v for v in z[1:]), z[0] * z[0])
 
 
-def _cholesky(groups: DataFrame) -> DataFrame:
-    """l_ij of the covariances c_ij (j <= i); floors have been added to the diagonal, so it is positive."""
+def _cholesky(groups: DataFrame, *keys: str) -> DataFrame:
+    """(keys, m_i, l_ij, det) of the covariances c_ij (j <= i); a pivot is its floor at least, so the diagonal is positive."""
     for i in range(P):
         for j in range(i + 1):
             v = F.col(f"c{i}{j}")
             for k in range(j):
                 v = v - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
             groups = groups.withColumn(f"l{i}{j}", F.sqrt(F.greatest(v, F.lit(FLOORS[i] ** 2))) if i == j else v / F.col(f"l{j}{j}"))
-    return groups.select("g", *[f"m{i}" for i in range(P)], *[f"l{i}{j}" for i in range(P) for j in range(i + 1)])
-
-
-def _fit(rows: DataFrame, share: float, steps: int) -> DataFrame:
-    """(g, m_i, l_ij, scale) by group."""
-    start = rows.groupBy("g").agg(*[F.percentile_approx(f, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 2000).alias(f"q{i}") for i, f in enumerate(FEATURES)])
-    start = start.select("g", *[F.col(f"q{i}")[1].alias(f"m{i}") for i in range(P)], *[(F.greatest((F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / 1.349, F.lit(FLOORS[i])) if i == j else F.lit(0.0)).alias(f"l{i}{j}") for i in range(P) for j in range(i + 1)])
-    fit = checkpointed(start)
-    for _ in range(steps):
-        near = rows.join(fit, "g").withColumn("d", _mahalanobis())
-        reach = checkpointed(near.groupBy("g").agg(F.percentile_approx("d", share, 2000).alias("reach")).join(fit, "g"))
-        inner = rows.join(reach, "g").filter(_mahalanobis() <= F.col("reach"))
-        moments = inner.groupBy("g").agg(*[F.avg(f).alias(f"m{i}") for i, f in enumerate(FEATURES)], *[(F.covar_pop(FEATURES[i], FEATURES[j]) + F.lit(FLOORS[i] ** 2 if i == j else 0.0)).alias(f"c{i}{j}") for i in range(P) for j in range(i + 1)])
-        fit = checkpointed(_cholesky(moments))
-    spread = rows.join(fit, "g").groupBy("g").agg((F.percentile_approx(_mahalanobis(), 0.5, 2000) / CHI2_4_MEDIAN).alias("scale"))
-    return checkpointed(fit.join(spread, "g"))
-
-
-def judge(docs: DataFrame, cut: float = 150.0, share: float = 0.75, steps: int = 3, least_rows: int = 50, id_col: str = "doc_id", text_col: str = "text", keep: list[str] = ()) -> DataFrame:
+    det = F.col("l00")
+    for i in range(1, P):
+        det = det * F.col(f"l{i}{i}")
+    return groups.select(*keys, *FITTED, det.alias("det"))
+
+
+def _moments(rows: DataFrame, factor: Column, *keys: str) -> DataFrame:
+    """Means and, times ``factor``, covariances of rows: (keys, m_i, l_ij, det)."""
+    both = [(i, j) for i in range(P) for j in range(i + 1)]
+    sums = rows.groupBy(*keys).agg(*[F.avg(f).alias(f"m{i}") for i, f in enumerate(FEATURES)], *[F.covar_pop(FEATURES[i], FEATURES[j]).alias(f"c{i}{j}") for i, j in both], F.first("n").alias("n"))
+    return _cholesky(sums.withColumns({f"c{i}{j}": F.col(f"c{i}{j}") * factor for i, j in both}), *keys)
+
+
+def _starts(rows: DataFrame) -> DataFrame:
+    """(g, n, s, m_i, l_ij): centres and spreads by coordinate. Medians with the median deviation (0), which up to half of the
+    rows can't move, with the quartiles (1), and means with standard deviations (2)."""
+    q = lambda x: F.percentile_approx(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 2000)
+    first = checkpointed(rows.groupBy("g").agg(F.count(F.lit(1)).alias("n"), *[x for i, f in enumerate(FEATURES) for x in (q(f).alias(f"q{i}"), F.avg(f).alias(f"a{i}"), F.stddev_pop(f).alias(f"s{i}"))]))
+    off = rows.join(first, "g").groupBy("g").agg(*[F.percentile_approx(F.abs(F.col(f) - F.col(f"q{i}")[1]), 0.5, 2000).alias(f"d{i}") for i, f in enumerate(FEATURES)])
+    wide = first.join(off, "g")
+    centres = [[F.col(f"q{i}")[1] for i in range(P)]] * 2 + [[F.col(f"a{i}") for i in range(P)]]
+    spreads = [[1.4826 * F.col(f"d{i}") for i in range(P)], [(F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / 1.349 for i in range(P)], [F.col(f"s{i}") for i in range(P)]]
+    out = None
+    for s, (m, d) in enumerate(zip(centres, spreads, strict=True)):
+        one = wide.select("g", "n", F.lit(s).alias("s"), *[m[i].alias(f"m{i}") for i in range(P)], *[(F.greatest(d[i], F.lit(FLOORS[i])) if i == j else F.lit(0.0)).alias(f"l{i}{j}") for i in range(P) for j in range(i + 1)])
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def _fit(rows: DataFrame) -> DataFrame:
+    """(g, m_i, l_ij) by group, for groups of at least one row.
+
+    A step counts as long as it lowers the determinant by a millionth; floors bound it from below, so steps end.
+    """
+    small = HALF_FACTOR / (1.0 - SMALL[0] / F.greatest(F.col("n"), F.lit(8)) ** SMALL[1])
+    fit = checkpointed(_starts(rows).withColumns({"det": F.lit(float("inf")), "done": F.lit(False)}))
+    while not (going := fit.filter("not done")).isEmpty():
+        near = rows.join(going, "g").withColumn("d", _mahalanobis())
+        reach = checkpointed(near.groupBy("g", "s").agg(F.percentile_approx("d", 0.5, 2000).alias("reach")).join(going, ["g", "s"]))
+        inner = rows.join(reach, "g").filter(_mahalanobis() <= F.col("reach")).select("g", "s", "n", *FEATURES)
+        new = _moments(inner, small, "g", "s").select("g", "s", F.struct(*FITTED, "det").alias("new"))
+        falls = F.col("new.det") < F.col("det") * (1 - 1e-6)
+        step = fit.join(new, ["g", "s"], "left")
+        fit = checkpointed(step.select("g", "n", "s", *[F.when(falls, F.col(f"new.{c}")).otherwise(F.col(c)).alias(c) for c in [*FITTED, "det"]], (~F.coalesce(falls, F.lit(False))).alias("done")))
+    best = checkpointed(fit.groupBy("g").agg(F.min_by(F.struct("n", *FITTED), F.struct("det", "s")).alias("b")).select("g", "b.*"))
+    for _ in range(REWEIGHTINGS):
+        inner = rows.join(best, "g").filter(_mahalanobis() <= CHI2_4_975).select("g", "n", *FEATURES)
+        best = checkpointed(best.select("g", "n").join(_moments(inner, F.lit(NEAR_FACTOR), "g").drop("det"), "g"))
+    return best.drop("n")
+
+
+def judge(docs: DataFrame, cut: float = 150.0, least_rows: int = 50, id_col: str = "doc_id", text_col: str = "text", keep: list[str] = ()) -> DataFrame:
     """(id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, distance, keep...).
 
     base_failed: fewer than 50 words, or more than half of the words in repeated windows. kept: not base_failed, and the
-    squared distance, scaled, within ``cut``. Groups are (lang, source), null being a value of its own; a group of fewer than
+    squared distance within ``cut``. Groups are (lang, source), null being a value of its own; a group of fewer than
     ``least_rows`` passing rows is judged with its language's other small groups, and not at all if these are too few too
     (distance null, kept true). Empty and null texts fail. Repeated rows give repeated rows; no rows give no rows. Other
     columns, whatever their names, pass through by ``keep`` only.
@@ -138,8 +178,8 @@ def judge(docs: DataFrame, cut: float = 150.0, share: float = 0.75, steps: int =
     groups = wide.withColumn("g", F.to_json("g"))
     sizes = groups.groupBy("g").agg(F.sum("count").alias("n")).filter(F.col("n") >= least_rows)
     groups = checkpointed(groups.join(sizes, "g").select("_lang", "_source", "g"))
-    fit = _fit(passing.join(groups, ["_lang", "_source"]).select("g", *FEATURES), share, steps)
+    fit = _fit(passing.join(groups, ["_lang", "_source"]).select("g", *FEATURES))
     lookup = checkpointed(groups.join(fit, "g").drop("g"))
-    out = rows.join(lookup, ["_lang", "_source"], "left").withColumn("distance", _mahalanobis() / F.greatest(F.lit(1.0), F.col("scale")))
+    out = rows.join(lookup, ["_lang", "_source"], "left").withColumn("distance", _mahalanobis())
     kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= cut, F.lit(True))
     return out.select(id_col, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), "distance", *[F.col(f"_keep_{c}").alias(c) for c in keep])

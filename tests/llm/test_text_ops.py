@@ -184,6 +184,16 @@ def test_outliers_are_rejected_and_clean_rows_kept(spark):
     assert quality.judge(docs(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("n", [50, 100])
+def test_junk_in_many_rows_of_a_group_is_rejected(spark, n):
+    rng = np.random.default_rng(6)
+    words = ["".join(rng.choice(list("abcdefghijklm"), int(k))) for k in rng.integers(2, 9, 400)]
+    clean = [" ".join(rng.choice(words, int(k))) for k in rng.integers(60, 400, 150)]
+    junk = ["### ".join(rng.choice(words, int(k))) + "#" for k in rng.integers(60, 400, n)]
+    out = by_id(quality.judge(docs(spark, clean + junk)))
+    assert [out[i].kept for i in range(150 + n)] == [True] * 150 + [False] * n
+
+
 # --- lines -------------------------------------------------------------------------------------------------------------
 def test_boilerplate_lines(spark):
     rows = [(i, f"menu\nown {i}\n \nfooter \n{'rare' if i < 2 else 'x' + str(i)}", "h") for i in range(20)]
