@@ -23,9 +23,11 @@ REWEIGHTINGS = 2
 P = 4
 FEATURES = [f"f{i}" for i in range(P)]
 FITTED = [*[f"m{i}" for i in range(P)], *[f"l{i}{j}" for i in range(P) for j in range(i + 1)]]
+#: Fixed value: the 0.999 quantile of a chi-square with four degrees of freedom.
+CHI2_4_999 = 18.4668
 #: Least standard deviation of a transformed statistic given those before it; keeps a group of near-constant statistics from
-#: rejecting all else.
-FLOORS = (0.25, 0.05, 0.35, 0.35)
+#: rejecting all else. Repeats: one heading said twice in a short text lies within three of it, a text of repeats well beyond.
+FLOORS = (0.25, 0.05, 0.35, 0.15)
 
 
 def _let(value: Column, body) -> Column:
@@ -83,10 +85,14 @@ def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def transforms() -> list[Column]:
-    """Log-scaled length, word length, symbols, and repeats (words and lines), from the statistics."""
+    """Log-scaled length, word length, symbols, and repeats (words and lines), from the statistics.
+
+    Symbols count in per cent, as few of them matter. Repeats count as shares of the text: most texts have none, and in per
+    cent a short text's single repeat would lie as far out as a text of nothing else.
+    """
     c = F.col
-    rate = lambda a, b: 100.0 * a / F.greatest(b, F.lit(1))
-    return [F.log1p(c("n_words").cast("double")), F.log1p(c("word_chars") / F.greatest(c("n_words"), F.lit(1))), F.log1p(rate(c("n_symbols"), c("word_chars"))), F.log1p(rate(c("n_repeat_words"), c("n_words")) + rate(c("n_dup_lines"), c("n_lines")))]
+    rate = lambda a, b: a.cast("double") / F.greatest(b, F.lit(1))
+    return [F.log1p(c("n_words").cast("double")), F.log1p(c("word_chars") / F.greatest(c("n_words"), F.lit(1))), F.log1p(100.0 * rate(c("n_symbols"), c("word_chars"))), F.log1p(rate(c("n_repeat_words"), c("n_words")) + rate(c("n_dup_lines"), c("n_lines")))]
 
 
 def _mahalanobis() -> Column:
@@ -159,7 +165,7 @@ def _fit(rows: DataFrame) -> DataFrame:
     return best.drop("n")
 
 
-def judge(docs: DataFrame, cut: float = 150.0, least_rows: int = 50, id_col: str = "doc_id", text_col: str = "text", keep: list[str] = ()) -> DataFrame:
+def judge(docs: DataFrame, cut: float = CHI2_4_999, least_rows: int = 50, id_col: str = "doc_id", text_col: str = "text", keep: list[str] = ()) -> DataFrame:
     """(id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, distance, keep...).
 
     base_failed: fewer than 50 words, or more than half of the words in repeated windows. kept: not base_failed, and the

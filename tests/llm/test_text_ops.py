@@ -184,6 +184,17 @@ def test_outliers_are_rejected_and_clean_rows_kept(spark):
     assert quality.judge(docs(spark, [])).count() == 0
 
 
+def test_weak_junk_is_rejected_and_a_repeated_heading_kept(spark):
+    rng = np.random.default_rng(5)
+    words = ["".join(rng.choice(list("abcdefghijklm"), int(k))) for k in rng.integers(2, 9, 400)]
+    say = lambda n, gap=" ": gap.join(rng.choice(words, int(n)))
+    head = say(9)
+    clean = [say(n) for n in rng.integers(60, 400, 150)] + [f"{head}\n{say(52)}\n{head}\n{say(20)}" for _ in range(5)]
+    junk = [" ".join(w + "|" * (k % 2) for k, w in enumerate(say(n).split(" "))) for n in rng.integers(60, 400, 6)]
+    out = by_id(quality.judge(docs(spark, clean + junk)))
+    assert all(out[i].kept for i in range(155)) and not any(out[i].kept for i in range(155, 161))
+
+
 @pytest.mark.parametrize("n", [50, 100])
 def test_junk_in_many_rows_of_a_group_is_rejected(spark, n):
     rng = np.random.default_rng(6)
