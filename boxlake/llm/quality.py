@@ -170,8 +170,8 @@ def judge(docs: DataFrame, cut: float = CHI2_4_999, least_rows: int = 50, id_col
 
     base_failed: fewer than 50 words, or more than half of the words in repeated windows. kept: not base_failed, and the
     squared distance within ``cut``. Groups are (lang, source), null being a value of its own; a group of fewer than
-    ``least_rows`` passing rows is judged with its language's other small groups, and not at all if these are too few too
-    (distance null, kept true). Empty and null texts fail. Repeated rows give repeated rows; no rows give no rows. Other
+    ``least_rows`` passing rows is judged with its language's other small groups; if these are too few too, with all languages' such rows; if even these
+    are, by a fit to all passing rows. Only a table of fewer passing rows than that isn't judged (distance null, kept true). Empty and null texts fail. Repeated rows give repeated rows; no rows give no rows. Other
     columns, whatever their names, pass through by ``keep`` only.
     """
     named = docs.select(F.col(id_col), F.col(text_col), *[F.col(c).alias(f"_keep_{c}") for c in keep], F.coalesce(F.concat(F.lit("="), F.col("lang")), F.lit("")).alias("_lang"), F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")).alias("_source"))
@@ -183,9 +183,16 @@ def judge(docs: DataFrame, cut: float = CHI2_4_999, least_rows: int = 50, id_col
     wide = counts.withColumn("g", F.when(F.col("count") >= least_rows, F.struct("_lang", "_source")).otherwise(F.struct("_lang", F.lit("small").alias("_source"))))
     groups = wide.withColumn("g", F.to_json("g"))
     sizes = groups.groupBy("g").agg(F.sum("count").alias("n")).filter(F.col("n") >= least_rows)
-    groups = checkpointed(groups.join(sizes, "g").select("_lang", "_source", "g"))
-    fit = _fit(passing.join(groups, ["_lang", "_source"]).select("g", *FEATURES))
-    lookup = checkpointed(groups.join(fit, "g").drop("g"))
+    # No group's name is "rest": names are JSON objects.
+    groups = checkpointed(groups.join(sizes, "g", "left").select("_lang", "_source", "count", F.when(F.col("n").isNotNull(), F.col("g")).otherwise("rest").alias("g")))
+    rest, every = groups.agg(F.sum(F.when(F.col("g") == "rest", F.col("count"))), F.sum("count")).first()
+    if (every or 0) < least_rows:
+        groups = groups.limit(0)
+    members = groups
+    if 0 < (rest or 0) < least_rows:
+        members = groups.filter("g <> 'rest'").unionByName(groups.withColumn("g", F.lit("rest")))
+    fit = _fit(passing.join(members, ["_lang", "_source"]).select("g", *FEATURES))
+    lookup = checkpointed(groups.join(fit, "g").drop("g", "count"))
     out = rows.join(lookup, ["_lang", "_source"], "left").withColumn("distance", _mahalanobis())
     kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= cut, F.lit(True))
     return out.select(id_col, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), "distance", *[F.col(f"_keep_{c}").alias(c) for c in keep])

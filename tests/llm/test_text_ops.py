@@ -205,6 +205,17 @@ def test_junk_in_many_rows_of_a_group_is_rejected(spark, n):
     assert [out[i].kept for i in range(150 + n)] == [True] * 150 + [False] * n
 
 
+def test_rows_of_rare_languages_are_judged(spark):
+    rng = np.random.default_rng(7)
+    words = ["".join(rng.choice(list("abcdefghijklm"), int(k))) for k in rng.integers(2, 9, 400)]
+    clean = [" ".join(rng.choice(words, int(k))) for k in rng.integers(60, 400, 90)]
+    junk = ["### ".join(rng.choice(words, 120)) + "#" for _ in range(6)]
+    # All languages rare, and one rare one beside a common one.
+    for lang in (F.when(F.col("doc_id") % 3 > 0, (F.col("doc_id") % 3).cast("string")), F.when(F.col("doc_id") % 12 > 0, "en")):
+        out = by_id(quality.judge(docs(spark, clean + junk).withColumn("lang", lang)))
+        assert [out[i].kept for i in range(96)] == [True] * 90 + [False] * 6
+
+
 # --- lines -------------------------------------------------------------------------------------------------------------
 def test_boilerplate_lines(spark):
     rows = [(i, f"menu\nown {i}\n \nfooter \n{'rare' if i < 2 else 'x' + str(i)}", "h") for i in range(20)]
