@@ -31,10 +31,11 @@ def boilerplate(docs: DataFrame, ratio: float, least_pages: int, host_col: str =
     return common.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("h", "k"))).alias("lines"))
 
 
-def drop_boilerplate(docs: DataFrame, ratio: float = 0.1, least_pages: int = 10, host_col: str = "source", text_col: str = "text") -> DataFrame:
+def drop_boilerplate(docs: DataFrame, ratio: float = 0.1, least_pages: int = 3, host_col: str = "source", text_col: str = "text") -> DataFrame:
     """All columns of ``docs``, the text without boilerplate lines, and _n_lines, _n_dropped.
 
-    Lines are what line feeds separate; lines of spaces alone are never boilerplate and stay. A null host counts as ''. Null
+    The ratio decides, whatever the host's size; ``least_pages`` only asks for repetition, as on a host of a few pages each
+    line exceeds the ratio, and two pages agree where one is the other's copy. Lines are what line feeds separate; lines of spaces alone are never boilerplate and stay. A null host counts as ''. Null
     texts stay null with no lines, empty ones stay empty; a text of boilerplate alone becomes ''. Repeated rows count as
     pages of their own. Documents are not moved unless the boilerplate table outgrows a broadcast.
     """

@@ -13,6 +13,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from boxlake.llm import bpe, langid, linededup, packing, private, quality, secrets, urlfilter
 from boxlake.llm.common import vocabulary
 
@@ -228,6 +229,14 @@ def test_boilerplate_lines(spark):
     assert linededup.drop_boilerplate(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("pages", [3, 9, 50])
+def test_the_ratio_decides_on_small_hosts_too(spark, pages):
+    rows = [(i, f"menu\nown {i}" + "\nhead" * (i < max(3, pages // 8)), "h") for i in range(pages)] + [(90, "menu", "two"), (91, "menu", "two")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for out in (linededup.drop_boilerplate(df), corpus_pipeline.line_dedup(spark, df.withColumns({"lang": F.lit("en"), "n_chars": F.lit(0)}), "")):
+        assert {r.doc_id: r.text for r in out.collect()} == {i: "menu" if i > 89 else f"own {i}" for i in [*range(pages), 90, 91]}
+
+
 def test_boilerplate_by_shuffle_is_the_same(spark, monkeypatch):
     df = spark.createDataFrame([(i, f"menu\n{i}", f"h{i % 3}") for i in range(60)], "doc_id long, text string, source string")
     want = sorted(map(tuple, linededup.drop_boilerplate(df).collect()))
