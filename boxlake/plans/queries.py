@@ -466,7 +466,30 @@ def k_estimate_sampled(s, d):
 
 @query()
 def fps_reps(s, d):
-    return cluster.farthest_points(view(s, d, "embeddings"), 20, "vec_id", "embedding")
+    e = view(s, d, "embeddings")
+    coarse = F.transform(geo.l2_normalized(F.col("embedding")), lambda x: F.floor(x * 255))
+    k = cluster.k_estimate(e, coarse, "vec_id").first().k
+    return cluster.farthest_points(e, k, "vec_id", "embedding")
+
+
+def _grouped(s, d):
+    e = view(s, d, "embeddings")
+    return cluster.nearest_of_pool(e, e.join(fps_reps(s, d), "vec_id", "left_semi"), "vec_id", "embedding")
+
+
+@query()
+def fps_nearest(s, d):
+    return _grouped(s, d).select("vec_id", "rep")
+
+
+@query()
+def fps_pick(s, d):
+    return cluster.pick_best(_grouped(s, d), "vec_id")
+
+
+@query()
+def fps_totals(s, d):
+    return cluster.write_totals(fps_pick(s, d))
 
 
 _SIM = """u as (select vec_id, list_transform(embedding::double[], lambda x: x / sqrt(list_sum(list_transform(embedding::double[], lambda y: y * y)))) as v from embeddings),

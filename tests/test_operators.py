@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 
 from boxlake.operators import cluster, dedup, geometry as geo, joins, pose, stats, validate as val
 from boxlake.operators.graph import connected_components
+from boxlake.plans.queries import QUERIES
 
 
 def value(spark, column):
@@ -145,6 +147,22 @@ def test_nearest_and_best_member(spark):
     assert {r.id for r in cluster.pick_best(a, "id").filter("role = 'rep'").collect()} == {0, 1}
 
 
+def test_groups_of_chosen_representatives(spark, tmp_path):
+    rng = np.random.default_rng(9)
+    x = rng.standard_normal((60, 8))
+    spark.createDataFrame([(100 + i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
+    reps = sorted(r.vec_id for r in QUERIES["fps_reps"](spark, str(tmp_path)).collect())
+    assert len(set(reps)) == 18  # three tenths of 60 different vectors
+    u = x.astype(np.float32).astype(float)
+    u /= np.linalg.norm(u, axis=1)[:, None]
+    sims = {100 + i: {r: round(float(u[i] @ u[r - 100]), 12) for r in reps} for i in range(60)}
+    near = {i: min(reps, key=lambda r: (-s[r], r)) for i, s in sims.items()}
+    assert {r.vec_id: r.rep for r in QUERIES["fps_nearest"](spark, str(tmp_path)).collect()} == near
+    best = {r: min((i for i in near if near[i] == r), key=lambda i: (-sims[i][r], i)) for r in set(near.values())}
+    assert {(r.rep, r.vec_id, r.role) for r in QUERIES["fps_pick"](spark, str(tmp_path)).collect()} == {(r, i, "rep" if best[r] == i else "dup") for i, r in near.items()}
+    assert tuple(QUERIES["fps_totals"](spark, str(tmp_path)).first()) == (18, 42, 60)
+
+
 def test_clashing_names_get_suffixes(spark):
     df = spark.createDataFrame([(1, "a.jpg", "x/a.jpg"), (1, "a.jpg", "y/a.jpg"), (2, "a.jpg", "z/a.jpg")], "g int, name string, path string")
     assert [r.dst_name for r in cluster.clash_free(df, "g", "name", "path").orderBy("path").collect()] == ["a.jpg", "a_dup1.jpg", "a.jpg"]
