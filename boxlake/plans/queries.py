@@ -389,6 +389,20 @@ def route_totals(s, d):
     return val.route_summary(route_plan(s, d))
 
 
+def _all_files(s, d):
+    return view(s, d, "v_crops").select(F.concat_ws("/", "pred_dir", "crop_name").alias("relkey"))
+
+
+@query()
+def route_all_plan(s, d):
+    return val.route_plan(_all_files(s, d))
+
+
+@query()
+def route_all_totals(s, d):
+    return val.route_summary(route_all_plan(s, d))
+
+
 # --- duplicates --------------------------------------------------------------------------------------------------------
 def _docs(s, d):
     return view(s, d, "documents").select(F.concat(F.lit("/data/"), F.coalesce("source", F.lit("none")), F.lit("/"), F.lpad(F.col("doc_id").cast("string"), 12, "0")).alias("path"), F.col("text").cast("binary").alias("content"))

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from boxlake.operators import cluster, dedup, geometry as geo, joins, pose, stats, validate as val
 from boxlake.operators.graph import connected_components
+from boxlake.plans.fixtures import view
 from boxlake.plans.queries import QUERIES
+from tests.conftest import SF
 
 
 def value(spark, column):
@@ -91,6 +93,13 @@ def test_routing_loses_nothing(spark):
     assert plan == {names[0]: ("move", "O_Person/i_0_0.1_0.1_0.1_0.1.jpg"), names[1]: ("move", "O_Person/i_0_0.1_0.1_0.1_0.1_dup1.jpg"), names[2]: ("skip_unknown", None), names[3]: ("skip_nonimg", None), names[4]: ("skip_parse", None)}
 
 
+def test_every_crop_has_a_route(spark):
+    crops = sorted(f"{r.pred_dir}/{r.crop_name}" for r in view(spark, SF, "v_crops").collect())
+    assert sorted(r.relkey for r in QUERIES["route_all_plan"](spark, SF).collect()) == crops
+    assert sum(r.n for r in QUERIES["route_all_totals"](spark, SF).collect()) == len(crops)
+    print(len(crops), QUERIES["route_plan"](spark, SF).count())
+
+
 @settings(max_examples=4, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 30), st.integers(0, 30)), max_size=25))
 def test_components(spark, pairs):
