@@ -143,8 +143,8 @@ def _agreeing(pairs: DataFrame, sigs: DataFrame, least: int) -> DataFrame:
     return pairs.join(_lookup(x), "a").join(_lookup(y), "b").filter(same >= least).select("a", "b")
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, coords: int = 48, least: int = 22, id_col: str = "doc_id", text_col: str = "text", max_rounds: int = 5) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept): one row per row of the input.
+def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, coords: int = 48, least: int = 22, id_col: str = "doc_id", text_col: str = "text", max_rounds: int = 5, prints: bool = False) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept), with ``prints`` also fp: one row per row of the input.
 
     Similarity is that of the sets of distinct word shingles, A-Z lower-cased; a text with fewer words is one shingle.
     Null and empty texts and texts without words link with nothing, nor does a null id. Rows that share an id
@@ -159,7 +159,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, coords:
     found = connected_components(edges, "a", "b")
     labels = classes.select("fp", "id").join(found.withColumnRenamed("node", "id"), "id", "left").select("fp", F.coalesce("component", "id").alias("component_id"))
     out = rows.select("doc_id", "n_shingles", "fp").join(labels, "fp", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
-    return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+    return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"), *(["fp"] if prints else []))
+
+
+def fingerprint(words: int = 5):
+    """The fp of a text as ``near_duplicates`` gives it, as a function of columns; for few rows."""
+    return F.udf(lambda text: _print(shingle_hashes(text, words, _WordHash())), "binary")
 
 
 def _links(classes: DataFrame, docs: DataFrame, words: int, percent: int, coords: int, least: int, max_rounds: int) -> DataFrame:

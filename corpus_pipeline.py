@@ -37,10 +37,17 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def minhash_neardup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates (five words, similarity 0.8): the one with the smallest id."""
-    found = written(neardup.near_duplicates(docs), "groups")
+    found = written(neardup.near_duplicates(docs, prints=True), "groups")
     gone = found.filter("not kept").select(F.col("doc_id").alias("_gone")).distinct()
     gone = F.broadcast(gone) if gone.count() * 16 <= BROADCAST_BYTES else gone
     left = docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti").select(*COLUMNS)
+    # An id may repeat with different texts, of which some are kept: their rows are told apart by fingerprint.
+    mixed = written(found.groupBy("doc_id").agg(F.min("kept").alias("all"), F.max("kept").alias("any")).filter("any and not all").select(F.col("doc_id").alias("_id")), "mixed")
+    if not mixed.isEmpty():
+        stay = found.filter("kept").join(mixed, F.col("doc_id") == F.col("_id"), "left_semi").select(F.col("doc_id").alias("_id"), F.col("fp").alias("_fp")).distinct()
+        several = docs.join(mixed, F.col("doc_id") == F.col("_id"), "left_semi").withColumn("_print", neardup.fingerprint()("text"))
+        same = (F.col("doc_id") == F.col("_id")) & F.col("_print").eqNullSafe(F.col("_fp"))
+        left = left.unionByName(several.join(stay, same, "left_semi").select(*COLUMNS))
     # Rows that repeat an id are copies of one document where their texts are equal too; usually there are none.
     repeated = found.filter("kept").groupBy("doc_id").count().filter("count > 1")
     return left if repeated.isEmpty() else left.dropDuplicates(["doc_id", "text"])

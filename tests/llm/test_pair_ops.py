@@ -130,6 +130,14 @@ def test_sql(spark, duck, name):
     same_rows(QUERIES[name](spark, SF), duck, ORACLE_SQL[name])
 
 
+def test_a_repeated_id_loses_only_the_text_that_has_a_copy(spark):
+    a, b = "a b c d e f g", "t u v w x y z"
+    rows = [(3, a), (5, a), (5, b), (9, b), (5, None), (11, "k l m n o p q")]
+    df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    left = corpus_pipeline.minhash_neardup(spark, df, "")
+    assert sorted((r.doc_id, r.text or "") for r in left.collect()) == [(3, a), (5, ""), (5, b), (11, "k l m n o p q")]
+
+
 def test_pipeline(spark, tmp_path):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     rng = np.random.default_rng(8)
