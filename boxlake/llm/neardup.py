@@ -3,19 +3,18 @@
 Texts with the same set of shingles form a class first; only one row for each class goes on. A class posts under its
 (coordinate, value) pairs, ordered from the rarest to the most frequent: two classes that agree in at least ``least`` of
 ``coords`` coordinates must share one of the first ``coords - least + 1`` pairs of either (prefix merging), so the
-longest lists are skipped and probed by comparing whole signatures. Pairs of at least ``least`` equal coordinates are
-confirmed on the full shingle sets, by integers: 100 * intersection >= 80 * union.
+longest lists are skipped. Members of a list are compared by their whole signatures; those of at least ``least`` equal
+coordinates, directly or through others, form a family. Within a family, pairs are confirmed on the full shingle sets, by
+integers: 100 * intersection >= 80 * union.
 
-A long list never becomes all its pairs. In each round every list pairs its members with one hub; confirmed links
-merge components. What is left when a round merges nothing are lists whose members lie in different components: there
-every pair of members of different components that wasn't tested yet is tested, so no link is lost.
-
-Shingles that no other candidate has bound a pair before it is built: two sets share at most what either shares with
-anyone, and a pair whose bound is below the similarity can't link. Heavily edited copies drop out by that alone.
+Pairs never become rows. Lists and families are compared inside a task, which gives back one row for each member that it
+connects; members already connected aren't compared again. A list or family over a block is cut into blocks and compared
+block against block, after rounds in which all of it meets one hub.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from hashlib import blake2b
 
 import numpy as np
@@ -26,7 +25,7 @@ from pyspark.sql import functions as F
 
 from boxlake.llm.common import text_slices
 from boxlake.operators.graph import connected_components
-from boxlake.session import checkpointed, size_bytes, written
+from boxlake.session import Scratch, size_bytes, written
 
 #: Most words whose hash a task remembers.
 CACHE = 300_000
@@ -112,15 +111,16 @@ def _sets(words: int):
         known = _WordHash()
         for part in text_slices(batches):
             sets = [shingle_hashes(t, words, known) for t in part.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([_print(h) for h in sets], pa.binary()), pa.array([h.view(np.int64) for h in sets], pa.list_(pa.int64()))], names=["id", "fp", "set"])
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([_print(h) for h in sets], pa.binary()), pa.array([h.tobytes() for h in sets], pa.binary())], names=["id", "fp", "set"])
 
     return run
 
 
-def _semi(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
-    """Rows whose ``key`` is in ``ids`` (column id): broadcast if the ids' checked size allows it, else by a shuffle."""
+def _semi(rows: DataFrame, ids: DataFrame, key: str, scratch: Scratch) -> DataFrame:
+    """Rows whose ``key`` is in ``ids`` (one column, ``key``): broadcast if the ids' checked size allows it, else by a shuffle."""
+    ids = scratch.written(ids.distinct(), "ids")
     small = ids.count() * 16 <= BROADCAST_BYTES
-    return rows.join(F.broadcast(ids) if small else ids.hint("merge"), rows[key] == ids["id"], "left_semi")
+    return rows.join(F.broadcast(ids) if small else ids.hint("merge"), key, "left_semi")
 
 
 def _lookup(table: DataFrame) -> DataFrame:
@@ -128,37 +128,223 @@ def _lookup(table: DataFrame) -> DataFrame:
     return F.broadcast(table) if size_bytes(table) <= LOOKUP_BYTES else table
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) whose full sets reach the similarity."""
-    x, y = sets.select(F.col("id").alias("a"), F.col("set").alias("sa")), sets.select(F.col("id").alias("b"), F.col("set").alias("sb"))
-    both = pairs.join(_lookup(x), "a").join(_lookup(y), "b")
-    both = both.withColumn("i", F.size(F.array_intersect("sa", "sb")).cast("long"))
-    return both.filter(100 * F.col("i") >= percent * (F.size("sa") + F.size("sb") - F.col("i"))).select("a", "b")
+def _whole_tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Rows sorted by (g, x, y) as tables of whole tiles, with the places where tiles start."""
+
+    def keys(t: pa.Table) -> list[np.ndarray]:
+        return [t.column(c).to_numpy() for c in ("g", "x", "y")]
+
+    rest = None
+    for batch in batches:
+        t = pa.Table.from_batches([batch])
+        rest = t if rest is None else pa.concat_tables([rest, t])
+        if rest.num_rows:
+            new = np.flatnonzero(np.logical_or.reduce([k[1:] != k[:-1] for k in keys(rest)])) + 1
+            if len(new):
+                yield rest.slice(0, new[-1]).combine_chunks(), np.append(0, new[:-1])
+                rest = rest.slice(new[-1])
+    if rest is not None and rest.num_rows:
+        new = np.flatnonzero(np.logical_or.reduce([k[1:] != k[:-1] for k in keys(rest)])) + 1
+        yield rest.combine_chunks(), np.append(0, new)
+
+
+def _met(c: np.ndarray, label: np.ndarray) -> pa.RecordBatch:
+    """(u, v): for each component that met others under a label, itself and the smallest of them."""
+    both = np.unique(np.stack([label, c]), axis=1)
+    first = np.append(True, both[0, 1:] != both[0, :-1])
+    low = both[1][np.maximum.accumulate(np.where(first, np.arange(len(first)), 0))]
+    return pa.RecordBatch.from_arrays([pa.array(both[1][~first]), pa.array(low[~first])], names=["u", "v"])
+
+
+def _agreeing(least: int, percent: int):
+    """Tiles of (side, c, n, sig): what links is at least ``least`` equal coordinates, and sizes that allow the similarity.
+
+    All tiles of a table go forward together: in round r, the r-th row of each is compared with the rows after it (on the
+    other side, if the tile has two) that aren't connected with it yet.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t, starts in _whole_tiles(batches):
+            rows = t.num_rows
+            c, n, side = (t.column(k).to_numpy() for k in ("c", "n", "side"))
+            sig = t.column("sig").combine_chunks().flatten().to_numpy().reshape(rows, -1)
+            seg = np.zeros(rows, np.int64)
+            seg[starts[1:]] = 1
+            seg = np.cumsum(seg)
+            pos = np.arange(rows) - starts[seg]
+            left = np.add.reduceat((side == 1).astype(np.int64), starts)
+            probes = np.where(left > 0, left, np.diff(np.append(starts, rows)))
+            label = np.unique(np.stack([seg, c]), axis=1, return_inverse=True)[1].reshape(-1)
+            others = np.flatnonzero(pos >= left[seg])
+            for r in range(int(probes.max())):
+                others = others[(pos[others] > r) & (probes[seg[others]] > r)]
+                if not len(others):
+                    break
+                probe = starts[seg[others]] + r
+                open_ = (label[others] != label[probe]) & (100 * np.minimum(n[others], n[probe]) >= percent * np.maximum(n[others], n[probe]))
+                j, i = others[open_], probe[open_]
+                hit = (sig[j] == sig[i]).sum(axis=1) >= least
+                if hit.any():
+                    to = np.arange(rows)
+                    to[label[j[hit]]] = label[i[hit]]
+                    label = to[label]
+            yield _met(c, label)
+
+    return run
+
+
+def _confirming(percent: int):
+    """Tiles of (side, c, n, set): what links is the similarity of the full sets; a tile is compared on its own."""
+
+    def tile(side: np.ndarray, c: np.ndarray, n: np.ndarray, sets: list[np.ndarray]) -> np.ndarray:
+        left = int((side == 1).sum())
+        label = np.unique(c, return_inverse=True)[1].reshape(-1)
+        _, code, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        shared = count[code] > 1
+        stops = np.append(0, np.cumsum(shared))[np.append(0, np.cumsum(n))]
+        code, mark = code[shared], np.zeros(len(count), np.int32)
+        for i in range(left or len(n) - 1):
+            lo = max(i + 1, left)
+            j = lo + np.flatnonzero((label[lo:] != label[i]) & (100 * np.minimum(n[lo:], n[i]) >= percent * np.maximum(n[lo:], n[i])))
+            if not len(j):
+                continue
+            own = code[stops[i] : stops[i + 1]]
+            mark[own] = 1
+            if 8 * len(j) < len(n) - lo:
+                both = np.array([int(mark[code[stops[k] : stops[k + 1]]].sum()) for k in j])
+            else:
+                sums = np.append(0, np.cumsum(mark[code[stops[lo] :]]))
+                both = sums[stops[j + 1] - stops[lo]] - sums[stops[j] - stops[lo]]
+            mark[own] = 0
+            hit = j[100 * both >= percent * (n[i] + n[j] - both)]
+            if len(hit):
+                label[np.isin(label, label[hit])] = label[i]
+        return label
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t, starts in _whole_tiles(batches):
+            c, n, side = (t.column(k).to_numpy() for k in ("c", "n", "side"))
+            sets = [np.frombuffer(x.as_buffer(), np.int64) for x in t.column("set").combine_chunks()]
+            labels, top = [], 0
+            for a, b in zip(starts, np.append(starts[1:], t.num_rows), strict=True):
+                labels.append(tile(side[a:b], c[a:b], n[a:b], sets[a:b]) + top)
+                top += b - a
+            yield _met(c, np.concatenate(labels))
 
+    return run
+
+
+def _parts(limits: tuple[int, int]) -> Column:
+    """Blocks that hold ``rows`` rows of ``bytes`` bytes, at most about limits[0] rows and limits[1] bytes each."""
+    return F.greatest(F.ceil(F.col("rows") / limits[0]), F.ceil(F.col("bytes") / limits[1])).cast("int")
+
+
+def _sizes(rows: DataFrame, *keys: str) -> DataFrame:
+    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"), F.sum("bytes").alias("bytes"), F.min("c").alias("low"), F.max("c").alias("high"))
+
+
+def _star_tiles(rows: DataFrame, large: DataFrame, limits: tuple[int, int], turn: int) -> DataFrame:
+    """For each large group, one hub on the left and each block of its members on the right: linear in the rows."""
+    hubs = rows.join(large.select("g", _parts(limits).alias("parts")), "g")
+    hub = hubs.groupBy("g").agg(F.min_by(F.struct("node", "c", "parts"), F.xxhash64("c", F.lit(turn))).alias("h"))
+    left = hub.select("g", F.lit(0).alias("x"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("h.parts").cast("long") - 1)).alias("y"), F.lit(1).alias("side"), "h.node", "h.c")
+    right = hubs.select("g", F.lit(0).alias("x"), F.pmod(F.xxhash64("node"), F.col("parts")).alias("y"), F.lit(2).alias("side"), "node", "c")
+    return left.unionByName(right).withColumn("x", F.col("x").cast("long"))
 
-def _agreeing(pairs: DataFrame, sigs: DataFrame, least: int) -> DataFrame:
-    """Pairs whose whole signatures agree in at least ``least`` coordinates: the probe of the lists that were skipped."""
-    x, y = sigs.select(F.col("id").alias("a"), F.col("sig").alias("ga")), sigs.select(F.col("id").alias("b"), F.col("sig").alias("gb"))
-    same = F.aggregate(F.zip_with("ga", "gb", lambda p, q: F.when(p == q, 1).otherwise(0)), F.lit(0), lambda s, v: s + v)
-    return pairs.join(_lookup(x), "a").join(_lookup(y), "b").filter(same >= least).select("a", "b")
 
+def _block_tiles(rows: DataFrame, large: DataFrame, limits: tuple[int, int], scratch: Scratch) -> DataFrame:
+    """Every pair of blocks of a large group but those of one component, and each block with itself.
 
-def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, coords: int = 48, least: int = 22, id_col: str = "doc_id", text_col: str = "text", max_rounds: int = 5, prints: bool = False) -> DataFrame:
+    A component that fills a block has blocks of its own, which need no comparison among themselves; the others share blocks.
+    """
+    rows = rows.join(large.select("g"), "g")
+    per = scratch.written(_sizes(rows, "g", "c").withColumn("parts", _parts(limits)), "components")
+    pure = per.filter("parts > 1").select("g", F.col("c").alias("own"), "parts")
+    pools = per.filter("parts <= 1").groupBy("g").agg(F.sum("rows").alias("rows"), F.sum("bytes").alias("bytes")).select("g", F.lit(None).cast("long").alias("own"), _parts(limits).alias("parts"))
+    name = F.xxhash64("own", "k").alias("b")
+    blocks = pure.unionByName(pools).withColumn("k", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("g", "own", name)
+    p, q = blocks.alias("p"), blocks.alias("q")
+    pairs = p.join(q, (F.col("p.g") == F.col("q.g")) & (F.col("p.b") <= F.col("q.b")) & ~F.coalesce(F.col("p.own") == F.col("q.own"), F.lit(False)))
+    pairs = pairs.select("p.g", F.col("p.b").alias("x"), F.col("q.b").alias("y"))
+    meet = pairs.select("g", "x", "y", F.col("x").alias("b"), F.when(F.col("x") == F.col("y"), 0).otherwise(1).alias("side"))
+    meet = scratch.written(meet.unionByName(pairs.filter("x <> y").select("g", "x", "y", F.col("y").alias("b"), F.lit(2).alias("side"))), "meetings")
+    own = rows.join(pure.withColumnRenamed("own", "c"), ["g", "c"], "left").withColumn("own", F.when(F.col("parts").isNotNull(), F.col("c")))
+    own = own.join(pools.select("g", F.col("parts").alias("pool")), "g", "left").withColumn("k", F.pmod(F.xxhash64("node"), F.coalesce("parts", "pool")).cast("int"))
+    return own.select("g", "node", "c", name).join(meet, ["g", "b"]).select("g", "x", "y", "side", "node", "c")
+
+
+def _components(groups: DataFrame, payload: DataFrame, judge, limits: tuple[int, int], rounds: int, scratch: Scratch) -> DataFrame:
+    """(node, component): components of the links that ``judge`` finds among nodes of one group (g, node, bytes).
+
+    Groups within one block are compared whole. Larger ones first meet one hub a round, which connects most of a group of
+    copies at a cost in proportion to its size; what is left then meets block by block. Tiles give back a row for each
+    component that they connect with another, never pairs, and no pair is left out.
+    """
+    column = payload.columns[-1]
+    kind = payload.schema[column].dataType.simpleString()
+
+    def links(tiles: DataFrame) -> DataFrame:
+        rows = tiles.join(_lookup(payload), "node").select("g", "x", "y", "side", "node", "c", "n", column)
+        rows = rows.repartition("g", "x", "y").sortWithinPartitions("g", "x", "y", "side", "node")
+        return scratch.written(rows.mapInArrow(judge, "u long, v long").distinct(), f"links-{kind[:5]}")
+
+    found = None
+    rows = groups.withColumn("c", F.col("node"))
+    for turn in range(rounds + 1):
+        sizes = scratch.written(_sizes(rows, "g").filter("low < high").withColumn("parts", _parts(limits)), "sizes")
+        large = sizes.filter("parts > 1")
+        none = large.isEmpty()
+        if none or turn == rounds:
+            break
+        fresh = links(_star_tiles(rows, large, limits, turn))
+        if fresh.isEmpty():
+            break
+        found = fresh if found is None else found.unionByName(fresh)
+        merged = scratch.written(connected_components(found), "merged")
+        rows = scratch.written(groups.join(_lookup(merged), "node", "left").select("g", "node", "bytes", F.coalesce("component", "node").alias("c")), "rows")
+    small = sizes.filter("parts <= 1").select("g")
+    tiles = rows.join(small, "g").select("g", F.lit(0).cast("long").alias("x"), F.lit(0).cast("long").alias("y"), F.lit(0).alias("side"), "node", "c")
+    if not none:
+        tiles = tiles.unionByName(_block_tiles(rows, large, limits, scratch))
+    fresh = links(tiles)
+    return scratch.written(connected_components(fresh if found is None else found.unionByName(fresh)), "merged")
+
+
+def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, coords: int = 48, least: int = 22, id_col: str = "doc_id", text_col: str = "text", block_rows: int = 1024, block_bytes: int = 8 << 20, rounds: int = 3, prints: bool = False) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), with ``prints`` also fp: one row per row of the input.
 
     Similarity is that of the sets of distinct word shingles, A-Z lower-cased; a text with fewer words is one shingle.
-    Null and empty texts and texts without words link with nothing, nor does a null id. Rows that share an id
-    are one node: what links to one of them links to all. Ids are integers; columns other than id and text are not read.
-    A pair at the similarity bound has fewer than ``least`` equal coordinates with a chance of about 1e-8 by default.
+    Null and empty texts and texts without words link with nothing; nor does a row with a null id, whose component_id is null.
+    Rows are told apart by their texts, so rows that share an id may lie in different components: component_id is the smallest
+    id of the rows that a row reaches. Repeated rows are kept alike. No rows give no rows. Ids are integers; columns other
+    than id and text are not read. A pair at the similarity bound has fewer than ``least`` equal coordinates with a chance of
+    about 1e-8 by default.
     """
+    scratch = Scratch(docs.sparkSession)
     read = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = written(read.mapInArrow(_signatures(words, coords), "doc_id bigint, n_shingles bigint, fp binary, sig array<int>"), "signatures")
     linked = rows.filter("fp is not null and doc_id is not null")
-    classes = written(linked.groupBy("fp").agg(F.min("doc_id").alias("id"), F.first("sig").alias("sig")), "classes")
-    edges = _links(classes.select("id", "sig"), read, words, percent, coords, least, max_rounds)
-    found = connected_components(edges, "a", "b")
-    labels = classes.select("fp", "id").join(found.withColumnRenamed("node", "id"), "id", "left").select("fp", F.coalesce("component", "id").alias("component_id"))
-    out = rows.select("doc_id", "n_shingles", "fp").join(labels, "fp", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
+    classes = linked.groupBy("fp").agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("copies"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"))
+    # Numbers are fixed by writing them.
+    classes = scratch.written(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+
+    lists = _lists(classes, coords, least, scratch)
+    payload = scratch.written(_semi(classes, lists.select("node"), "node", scratch).select("node", "n", "sig"), "payload")
+    alike = _components(lists, payload, _agreeing(least, percent), (2 * block_rows, block_bytes), rounds, scratch)
+
+    near = scratch.written(classes.join(_lookup(alike), "node").select("node", "id", "fp", "n", F.col("component").alias("g")), "near")
+    wanted = _semi(read.filter("doc_id is not null").withColumnRenamed("doc_id", "id"), near.select("id"), "id", scratch)
+    sets = wanted.mapInArrow(_sets(words), "id bigint, fp binary, set binary").dropDuplicates(["fp"]).select("fp", "set")
+    sets = scratch.written(sets.join(_lookup(near.select("node", "fp", "n")), "fp").select("node", "n", "set"), "sets")
+    found = _components(near.select("g", "node", (8 * F.col("n")).alias("bytes")), sets, _confirming(percent), (block_rows, block_bytes), rounds, scratch)
+
+    least_id = near.join(_lookup(found), "node").groupBy("component").agg(F.min("id").alias("least"))
+    reached = near.select("node").join(_lookup(found), "node").join(least_id, "component").select("node", "least")
+    # Only classes of several rows or with links change a row's own id.
+    labels = classes.select("fp", "node", "id", "copies").join(reached, "node", "left").filter("copies > 1 or least is not null").select("fp", F.coalesce("least", "id").alias("component_id"))
+    labels = written(labels, "labels")
+    scratch.clear()
+    out = rows.select("doc_id", "n_shingles", "fp").join(_lookup(labels), "fp", "left").withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")))
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"), *(["fp"] if prints else []))
 
 
@@ -167,61 +353,16 @@ def fingerprint(words: int = 5):
     return F.udf(lambda text: _print(shingle_hashes(text, words, _WordHash())), "binary")
 
 
-def _links(classes: DataFrame, docs: DataFrame, words: int, percent: int, coords: int, least: int, max_rounds: int) -> DataFrame:
-    """Confirmed links (a, b) between class representatives, enough to connect whatever is linked."""
-    posts = classes.select("id", F.posexplode("sig").alias("k", "v"))
+def _lists(classes: DataFrame, coords: int, least: int, scratch: Scratch) -> DataFrame:
+    """(g, node, bytes): the lists of the rarest (coordinate, value) pairs of each class; lists of equal members are one."""
+    posts = classes.select("node", F.posexplode("sig").alias("k", "v"))
     # (coordinate, value) as one key; a pair with a single posting can't link anything and needs no list.
-    posts = posts.select("id", F.xxhash64("k", "v").alias("kv"))
-    lists = posts.groupBy("kv").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
-    ranked = posts.join(lists, "kv").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("df", "kv"))).alias("own"))
+    posts = posts.select("node", F.xxhash64("k", "v").alias("g"))
+    several = posts.groupBy("g").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    ranked = posts.join(several, "g").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("df", "g"))).alias("own"))
     # All single pairs come first in the order, so the prefix has that many places less.
     room = F.size("own") - (least - 1)
-    prefix = written(ranked.filter(room > 0).select("id", F.explode(F.slice("own", 1, room)).alias("p")).select("id", "p.kv"), "prefix")
-    kvs = prefix.groupBy("kv").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("kv")
-    posted = written(prefix.join(kvs, "kv"), "posted")
-    ids = checkpointed(posted.select("id").distinct())
-    sigs = written(_semi(classes.select("id", "sig"), ids, "id"), "sigs")
-    wanted = _semi(docs.filter("doc_id is not null"), ids, "doc_id")
-    sets = written(wanted.mapInArrow(_sets(words), "id bigint, fp binary, set array<bigint>").dropDuplicates(["id", "fp"]), "sets")
-
-    # Shingles of one candidate alone: counted where the shingle is, then summed by its only owner.
-    owners = sets.select("id", F.explode("set").alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("id"))
-    alone = owners.filter("n = 1").groupBy("id").agg(F.count(F.lit(1)).alias("alone"))
-    sized = sets.groupBy("id").agg(F.max(F.size("set")).alias("hi"), F.min(F.size("set")).alias("lo"), F.count(F.lit(1)).alias("rows"))
-    # Rows that share an id have no common bound; they keep all of their set.
-    shared = F.col("hi") - F.when(F.col("rows") == 1, F.coalesce("alone", F.lit(0))).otherwise(0)
-    able = written(sized.join(alone, "id", "left").select("id", F.col("lo").cast("long").alias("n"), shared.cast("long").alias("sh")).filter(100 * F.col("sh") >= percent * F.col("n")), "able")
-    posted = written(posted.join(_lookup(able), "id"), "lists")
-    ids = able.select("id")
-
-    def possible(a: str, b: str) -> Column:
-        """The most that two sets can share reaches the similarity."""
-        return (100 + percent) * F.least(F.col(f"{a}.sh"), F.col(f"{b}.sh")) >= percent * (F.col(f"{a}.n") + F.col(f"{b}.n"))
-
-    labels = ids.select("id", F.col("id").alias("c"))
-    tested = links = None
-    for turn in range(max_rounds):
-        marked = posted.join(_lookup(labels), "id")
-        order = F.xxhash64("c", F.lit(turn))
-        hubs = marked.groupBy("kv").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.min_by(F.struct("id", "c", "n", "sh"), order).alias("hub"))
-        hubs = hubs.filter("low < high").select("kv", "hub.*")
-        pairs = marked.alias("x").join(hubs.alias("h"), (F.col("x.kv") == F.col("h.kv")) & (F.col("x.c") != F.col("h.c")) & possible("x", "h"))
-        pairs = pairs.select(F.least("x.id", "h.id").alias("a"), F.greatest("x.id", "h.id").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(_lookup(tested), ["a", "b"], "left_anti")
-        pairs = written(pairs, "pairs")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        fresh = checkpointed(_confirmed(_agreeing(pairs, sigs, least), sets, percent))
-        if fresh.isEmpty():
-            break
-        links = fresh if links is None else links.unionByName(fresh)
-        found = connected_components(links, "a", "b")
-        labels = written(ids.join(found.withColumnRenamed("node", "id"), "id", "left").select("id", F.coalesce("component", "id").alias("c")), "labels")
-    # The rest, whole: members of one list in different components that no round has tested.
-    marked = posted.join(_lookup(labels), "id")
-    mixed = marked.groupBy("kv").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low < high").select("kv")
-    marked = checkpointed(marked.join(mixed, "kv"))
-    rest = marked.alias("x").join(marked.alias("y"), (F.col("x.kv") == F.col("y.kv")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.c") != F.col("y.c")) & possible("x", "y"))
-    rest = rest.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct().join(_lookup(tested), ["a", "b"], "left_anti")
-    last = _confirmed(_agreeing(written(rest, "rest"), sigs, least), sets, percent)
-    return last if links is None else links.unionByName(last)
+    prefix = scratch.written(ranked.filter(room > 0).select("node", F.explode(F.slice("own", 1, room)).alias("p")).select("node", "p.g"), "prefix")
+    members = prefix.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.expr("bit_xor(xxhash64(node))").alias("m1"), F.expr("bit_xor(xxhash64(node, 1))").alias("m2"))
+    chosen = members.filter("n > 1").groupBy("n", "m1", "m2").agg(F.min("g").alias("g")).select("g")
+    return scratch.written(prefix.join(chosen, "g").withColumn("bytes", F.lit(4 * coords + 64).cast("long")), "lists")

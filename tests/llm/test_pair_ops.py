@@ -70,6 +70,24 @@ def test_near_duplicates(spark, words):
     assert all(out[i].kept == (want[i] == i) for i in s)
 
 
+@pytest.mark.parametrize("rounds", [0, 2])
+@pytest.mark.parametrize("block_bytes", [8 << 20, 6000])
+def test_groups_over_a_block(spark, rounds, block_bytes):
+    """A hot group of copies edited so differently that most pairs stay below the bound, cut into many blocks."""
+    rng = np.random.default_rng(5)
+    rows, base = chain(rng, 12, 500), [f"b{k}" for k in range(150)]
+    for i in range(90):
+        copy = list(base)
+        for k in rng.integers(0, 150, int(rng.integers(0, 14))):
+            copy[k] = f"e{i}_{k}"
+        rows.append((i, " ".join(copy)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    _, want = near(rows, 4)
+    assert len(set(want.values())) > 10
+    out = neardup.near_duplicates(df, words=4, block_rows=8, block_bytes=block_bytes, rounds=rounds)
+    assert {r.doc_id: r.component_id for r in out.collect()} == want
+
+
 def test_a_similarity_of_exactly_eighty_percent_links(spark):
     rows = [(1, " ".join(f"a{k}" for k in range(93))), (2, " ".join([*(f"a{k}" for k in range(83)), *(f"b{k}" for k in range(10))]))]
     i, u = len(shingles(rows[0][1], 4) & shingles(rows[1][1], 4)), len(shingles(rows[0][1], 4) | shingles(rows[1][1], 4))
@@ -81,13 +99,16 @@ def test_no_rounds_still_lose_no_link(spark):
     rows = chain(np.random.default_rng(9), 12)
     df = spark.createDataFrame(rows, "doc_id long, text string")
     _, want = near(rows, 4)
-    assert {r.doc_id: r.component_id for r in neardup.near_duplicates(df, words=4, max_rounds=1).collect()} == want
+    assert {r.doc_id: r.component_id for r in neardup.near_duplicates(df, words=4, rounds=0).collect()} == want
 
 
 def test_near_duplicates_of_odd_tables(spark):
     df = spark.createDataFrame([(5, "a b c d e f"), (5, "a b c d e f"), (None, "a b c d e f"), (7, "A b c d e f")], "doc_id long, text string")
     rows = neardup.near_duplicates(df).collect()
-    assert sorted((r.doc_id or -1, r.component_id or -1) for r in rows) == [(-1, 5), (5, 5), (5, 5), (7, 5)] or sorted((r.doc_id or -1, r.component_id or -1) for r in rows) == [(-1, -1), (5, 5), (5, 5), (7, 5)]
+    assert sorted((r.doc_id or -1, r.component_id or -1, r.kept) for r in rows) == [(-1, -1, True), (5, 5, True), (5, 5, True), (7, 5, False)]
+    shared = spark.createDataFrame([(3, "a b c d e f"), (5, "a b c d e f"), (5, "t u v w x y"), (5, "t u v w x y"), (4, "t u v w x y"), (3, "k l m n o p"), (None, None)], "doc_id long, text string")
+    rows = neardup.near_duplicates(shared).collect()
+    assert sorted((r.doc_id or -1, r.component_id or -1) for r in rows) == [(-1, -1), (3, 3), (3, 3), (4, 4), (5, 3), (5, 4), (5, 4)]
     assert neardup.near_duplicates(df.limit(0)).count() == 0
 
 
