@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Decimal numbers; single underscores may stand between digits. Non-finite words and suffixes don't count as numbers.
@@ -10,6 +12,16 @@ NUMBER = r"^[+-]?(?:[0-9]+(?:_[0-9]+)*\.?(?:[0-9]+(?:_[0-9]+)*)?|\.[0-9]+(?:_[0-
 INTEGER = r"^[+-]?[0-9]+(?:_[0-9]+)*$"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with value computed once, however often the body uses it: a lambda over an array of one."""
+    return F.transform(F.array(value), body)[0]
+
+
+def once(df: DataFrame, value: Column, name: str) -> DataFrame:
+    """``df`` with a column that is computed once a row: a generator, which no filter or projection above can copy."""
+    return df.select("*", F.explode_outer(F.array(value)).alias(name))
+
+
 def tokens(line: Column) -> Column:
     """Words between Unicode white space; no empty ones."""
     return F.array_remove(F.split(line, r"(?U)\s+"), "")
@@ -17,8 +29,8 @@ def tokens(line: Column) -> Column:
 
 def number(token: Column) -> Column:
     """The double that a token spells, else null. Overflow to infinity counts as no number."""
-    value = F.regexp_replace(token, "_", "").try_cast("double")
-    return F.when(token.rlike(NUMBER) & (F.abs(value) < F.lit(float("inf"))), value)
+    value = lambda t: F.when(t.rlike(NUMBER), F.replace(t, F.lit("_"), F.lit("")).try_cast("double"))
+    return let(token, lambda t: let(value(t), lambda v: F.when(F.abs(v) < F.lit(float("inf")), v)))
 
 
 def truncated(token: Column) -> Column:
@@ -27,7 +39,7 @@ def truncated(token: Column) -> Column:
 
 
 def strict_integer(token: Column) -> Column:
-    return F.when(token.rlike(INTEGER), F.regexp_replace(token, "_", "").try_cast("int"))
+    return let(token, lambda t: F.when(t.rlike(INTEGER), F.replace(t, F.lit("_"), F.lit("")).try_cast("int")))
 
 
 def stem(name: Column) -> Column:

@@ -26,22 +26,28 @@ def parse_labels(lines: DataFrame, variant: Variant, line_col: str = "line") ->
     The class is an integer cut toward zero, or the raw token for CROP_BOX. One projection and one filter.
     """
     least, most, box, raw = variant.value
-    t = F.col("_t")
-    out = lines.withColumn("_t", G.tokens(F.col(line_col))).filter(F.size("_t") >= least if most is None else F.size("_t") == least)
-    out = out.withColumn("cls", t[0] if raw else G.truncated(t[0]))
-    if box:
-        out = out.withColumns({name: G.number(t[i]) for i, name in enumerate(("xc", "yc", "w", "h"), 1)})
-    return out.drop("_t").dropna(subset=["cls", *(("xc", "yc", "w", "h") if box else ())])
+    names = ("xc", "yc", "w", "h") if box else ()
+
+    def read(t: Column) -> Column:
+        fields = F.struct((t[0] if raw else G.truncated(t[0])).alias("cls"), *[G.number(t[i]).alias(n) for i, n in enumerate(names, 1)])
+        whole = lambda m: F.when(F.greatest(*[m[n].isNull() for n in ("cls", *names)]) if box else m["cls"].isNull(), None).otherwise(m)
+        return F.when(F.size(t) >= least if most is None else F.size(t) == least, G.let(fields, whole))
+
+    out = G.once(lines, G.let(G.tokens(F.col(line_col)), read), "_m").filter("_m is not null")
+    return out.withColumns({n: F.col(f"_m.{n}") for n in ("cls", *names)}).drop("_m")
 
 
 def parse_pose(lines: DataFrame, line_col: str = "line") -> DataFrame:
     """Input columns plus cls, xc, yc, w, h and kpts, all tokens after the fifth; a line with any bad token drops out."""
-    t = F.col("_t")
-    out = lines.withColumn("_t", G.tokens(F.col(line_col))).filter(F.size("_t") >= 5)
-    out = out.withColumn("_n", F.transform(F.slice("_t", 2, 1 << 30), G.number)).withColumn("cls", G.truncated(t[0]))
-    out = out.filter(F.col("cls").isNotNull() & ~F.exists("_n", lambda x: x.isNull()))
-    out = out.withColumns({name: F.col("_n")[i] for i, name in enumerate(("xc", "yc", "w", "h"))})
-    return out.withColumn("kpts", F.slice("_n", 5, 1 << 30)).drop("_t", "_n")
+
+    def read(t: Column) -> Column:
+        numbers = F.transform(F.slice(t, 2, 1 << 30), G.number)
+        both = F.struct(G.truncated(t[0]).alias("cls"), numbers.alias("n"))
+        return F.when(F.size(t) >= 5, G.let(both, lambda m: F.when(m["cls"].isNotNull() & ~F.exists(m["n"], lambda x: x.isNull()), m)))
+
+    out = G.once(lines, G.let(G.tokens(F.col(line_col)), read), "_m").filter("_m is not null")
+    out = out.withColumns({"cls": F.col("_m.cls"), **{name: F.col("_m.n")[i] for i, name in enumerate(("xc", "yc", "w", "h"))}})
+    return out.withColumn("kpts", F.slice("_m.n", 5, 1 << 30)).drop("_m")
 
 
 def crop_name(base: Column, cls: Column, xc: Column, yc: Column, w: Column, h: Column, ext: str = ".jpg") -> Column:
@@ -51,20 +57,20 @@ def crop_name(base: Column, cls: Column, xc: Column, yc: Column, w: Column, h: C
 
 def decode_crop(names: DataFrame, name_col: str = "crop_name") -> DataFrame:
     """Input columns plus base, cls, xc, yc, w, h of a crop's name or path; all null where it doesn't parse."""
-    p = F.col("_p")
-    out = names.withColumn("_p", F.split(G.stem(G.basename(F.col(name_col))), "_"))
-    fields = [G.number(F.try_element_at(p, F.lit(k))) for k in (-4, -3, -2, -1)]
-    cls = G.truncated(F.try_element_at(p, F.lit(-5)))
-    ok = (F.size(p) >= 6) & cls.isNotNull() & ~F.exists(F.array(*fields), lambda x: x.isNull())
-    base = F.array_join(F.slice(p, 1, F.greatest(F.size(p) - 5, F.lit(0))), "_")
-    made = {"base": base, "cls": cls, **dict(zip(("xc", "yc", "w", "h"), fields, strict=True))}
-    return out.withColumn("_ok", ok).select(names["*"], *[F.when(F.col("_ok"), v).alias(k) for k, v in made.items()])
+
+    def read(p: Column) -> Column:
+        fields = {name: G.number(F.try_element_at(p, F.lit(k))) for name, k in (("xc", -4), ("yc", -3), ("w", -2), ("h", -1))}
+        base = F.array_join(F.slice(p, 1, F.greatest(F.size(p) - 5, F.lit(0))), "_")
+        made = F.struct(base.alias("base"), G.truncated(F.try_element_at(p, F.lit(-5))).alias("cls"), *[v.alias(k) for k, v in fields.items()])
+        return F.when(F.size(p) >= 6, G.let(made, lambda m: F.when(F.greatest(*[m[c].isNull() for c in ("cls", *fields)]), None).otherwise(m)))
+
+    out = G.once(names, G.let(F.split(G.stem(G.basename(F.col(name_col))), "_"), read), "_m")
+    return out.select(names["*"], *[F.col(f"_m.{c}").alias(c) for c in ("base", "cls", "xc", "yc", "w", "h")])
 
 
 def crop_class(name: Column) -> Column:
     """The strict reading: five parts are enough, and the class is a plain integer."""
-    p = F.split(G.stem(G.basename(name)), "_")
-    return F.when(F.size(p) >= 5, G.strict_integer(F.try_element_at(p, F.lit(-5))))
+    return G.let(F.split(G.stem(G.basename(name)), "_"), lambda p: F.when(F.size(p) >= 5, G.strict_integer(F.try_element_at(p, F.lit(-5)))))
 
 
 class StatusPolicy(Enum):
@@ -77,9 +83,12 @@ class StatusPolicy(Enum):
 
 def parse_reviews(lines: DataFrame, policy: StatusPolicy, line_col: str = "line") -> DataFrame:
     """Input columns plus relkey (forward slashes) and status; lines with under two tokens or no integer drop out."""
-    t = F.col("_t")
-    out = lines.withColumn("_t", G.tokens(F.col(line_col))).filter(F.size("_t") >= 2)
-    out = out.withColumn("relkey", G.normalized(t[0])).withColumn("status", G.strict_integer(t[1])).drop("_t").dropna(subset=["status"])
+    def read(t: Column) -> Column:
+        made = F.struct(G.normalized(t[0]).alias("relkey"), G.strict_integer(t[1]).alias("status"))
+        return F.when(F.size(t) >= 2, G.let(made, lambda m: F.when(m["status"].isNotNull(), m)))
+
+    out = G.once(lines, G.let(G.tokens(F.col(line_col)), read), "_m").filter("_m is not null")
+    out = out.withColumns({"relkey": F.col("_m.relkey"), "status": F.col("_m.status")}).drop("_m")
     if policy is StatusPolicy.LOAD:
         return out.withColumn("status", F.when(F.col("status").isin(0, 1, 2), F.col("status")).otherwise(0))
     return out.filter(F.col("status").isin(1, 2)) if policy is StatusPolicy.APPLY else out

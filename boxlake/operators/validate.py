@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from boxlake.functions import grammar as G
 from boxlake.operators import geometry as geo
+from boxlake.operators.order import numbered
 from boxlake.operators.parse import crop_class, decode_crop
 
 #: Prediction directory -> detector classes; class -> label, colour; class -> destination directory.
@@ -50,17 +51,14 @@ def class_order(cls: Column) -> Column:
 def review_order(crops: DataFrame) -> DataFrame:
     """(pred_dir, crop_name, ord, pos, total, group_pos, group_start, group_count), zero-based positions in review order.
 
-    The position in the whole list needs one total order: ranges are sorted in parallel, a rank inside a class group comes
-    from the group's window, and group starts from the few group counts. A group is a class, so windows hold a group.
+    Ranges of the order are sorted in parallel (``order.numbered``); group starts come from one row a class group.
     """
-    named = crops.select("pred_dir", "crop_name").join(decode_crop(crops.select("crop_name").distinct()).select("crop_name", "cls"), "crop_name", "left").withColumn("ord", class_order(F.col("cls")))
-    sizes = named.groupBy("ord", "pred_dir").agg(F.count(F.lit(1)).alias("n"))
-    whole = Window.orderBy("ord", "pred_dir").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.withColumn("before", F.coalesce(F.sum("n").over(whole), F.lit(0)))
-    by_ord = Window.partitionBy("ord")
-    starts = starts.withColumn("group_start", F.min("before").over(by_ord)).withColumn("group_count", F.sum("n").over(by_ord)).withColumn("total", F.sum("n").over(Window.partitionBy()))
-    rank = F.row_number().over(Window.partitionBy("ord", "pred_dir").orderBy("crop_name")) - 1
-    out = named.join(starts, ["ord", "pred_dir"]).withColumn("pos", F.col("before") + rank)
+    named = decode_crop(crops.select("pred_dir", "crop_name")).select("pred_dir", "crop_name", class_order(F.col("cls")).alias("ord"))
+    out = numbered(named, "ord", "pred_dir", "crop_name")
+    # At most five values of ord.
+    groups = out.groupBy("ord").agg(F.min("pos").alias("group_start"), F.count(F.lit(1)).alias("group_count"))
+    total = groups.agg(F.sum("group_count").alias("total"))
+    out = out.join(F.broadcast(groups.crossJoin(F.broadcast(total))), "ord")
     return out.select("pred_dir", "crop_name", "ord", "pos", "total", (F.col("pos") - F.col("group_start")).alias("group_pos"), "group_start", "group_count")
 
 

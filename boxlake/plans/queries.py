@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from boxlake.operators import cluster, dedup, geometry as geo, joins, parse, pose, stats, validate as val
+from boxlake.operators.order import numbered
 from boxlake.plans.fixtures import duck, view
 
 STEP = 0.02
@@ -426,7 +427,7 @@ def exact_dup_members(s, d):
 def dup_paths_relative(s, d):
     members = dedup.exact_members(_docs(s, d), F.col("content"))
     groups = members.groupBy("keep").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    numbers = groups.withColumn("group_no", F.row_number().over(Window.orderBy("keep"))).select("keep", "group_no")
+    numbers = numbered(groups, "keep").select("keep", (F.col("pos") + 1).alias("group_no"))
     return dedup.layout(members, numbers, "/data", "/out", "exact")
 
 
