@@ -7,17 +7,23 @@ from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  pa.compute
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
+
+from boxlake.functions.grammar import let  # noqa: F401  for the operators
 
-#: Word characters are all but these: space, tab, line feed, vertical tab, form feed, carriage return.
-SPACES = " \t\n\x0b\x0c\r"
 #: Most UTF-8 bytes of text that a Python worker turns into objects at a time.
 SLICE_BYTES = 4 << 20
 
 
-def null_safe_text(name: str = "text") -> Column:
-    return F.coalesce(F.col(name), F.lit(""))
+def free_names(df: DataFrame, *stems: str) -> list[str]:
+    """Names like the stems that no column of ``df`` has, whatever its case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for stem in stems:
+        while stem.lower() in taken:
+            stem = f"_{stem}"
+        out.append(stem)
+    return out
 
 
 def text_slices(batches: Iterator[pa.RecordBatch], name: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from boxlake.llm.common import free_names, let
 from boxlake.session import size_bytes, written
 
 #: Broadcast the boilerplate table up to this size; beyond it documents and lines meet by a shuffle on the host.
@@ -32,23 +33,23 @@ def boilerplate(docs: DataFrame, ratio: float, least_pages: int, host_col: str =
 
 
 def drop_boilerplate(docs: DataFrame, ratio: float = 0.1, least_pages: int = 3, host_col: str = "source", text_col: str = "text") -> DataFrame:
-    """All columns of ``docs``, the text without boilerplate lines, and _n_lines, _n_dropped.
+    """All columns of ``docs``, the text without boilerplate lines, and _n_lines, _n_dropped (instead of such columns of its own).
 
     The ratio decides, whatever the host's size; ``least_pages`` only asks for repetition, as on a host of a few pages each
     line exceeds the ratio, and two pages agree where one is the other's copy. Lines are what line feeds separate; lines of spaces alone are never boilerplate and stay. A null host counts as ''. Null
     texts stay null with no lines, empty ones stay empty; a text of boilerplate alone becomes ''. Repeated rows count as
     pages of their own. Documents are not moved unless the boilerplate table outgrows a broadcast.
     """
-    found = written(boilerplate(docs, ratio, least_pages, host_col, text_col), "boilerplate").select(F.col("host").alias("_host"), F.col("lines").alias("_lines"))
+    host, lines_of, made_ = free_names(docs, "_host", "_lines", "_made")
+    found = written(boilerplate(docs, ratio, least_pages, host_col, text_col), "boilerplate").select(F.col("host").alias(host), F.col("lines").alias(lines_of))
     if size_bytes(found) <= BROADCAST_BYTES:
         found = F.broadcast(found)
-    rows = docs.join(found, F.coalesce(docs[host_col], F.lit("")) == F.col("_host"), "left")
+    rows = docs.join(found, F.coalesce(docs[host_col], F.lit("")) == F.col(host), "left")
 
     def clean(lines: Column) -> Column:
-        kept = F.when(F.col("_lines").isNull(), lines).otherwise(F.filter(lines, lambda x: (F.trim(x) == "") | ~F.array_contains(F.col("_lines"), _key(x))))
-        return F.transform(F.array(kept), lambda k: F.struct(F.array_join(k, "\n").alias("text"), F.size(lines).cast("long").alias("n"), (F.size(lines) - F.size(k)).cast("long").alias("dropped")))[0]
+        kept = F.when(F.col(lines_of).isNull(), lines).otherwise(F.filter(lines, lambda x: (F.trim(x) == "") | ~F.array_contains(F.col(lines_of), _key(x))))
+        return let(kept, lambda k: F.struct(F.array_join(k, "\n").alias("text"), F.size(lines).cast("long").alias("n"), (F.size(lines) - F.size(k)).cast("long").alias("dropped")))
 
-    made = F.when(F.col(text_col).isNotNull(), F.transform(F.array(F.split(F.col(text_col), "\n")), clean)[0])
-    rows = rows.withColumn("_made", made)
-    columns = [F.col("_made.text").alias(c) if c == text_col else docs[c] for c in docs.columns]
-    return rows.select(*columns, F.coalesce(F.col("_made.n"), F.lit(0)).alias("_n_lines"), F.coalesce(F.col("_made.dropped"), F.lit(0)).alias("_n_dropped"))
+    rows = rows.withColumn(made_, F.when(F.col(text_col).isNotNull(), let(F.split(F.col(text_col), "\n"), clean)))
+    columns = [F.col(f"{made_}.text").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("_n_lines", "_n_dropped")]
+    return rows.select(*columns, F.coalesce(F.col(f"{made_}.n"), F.lit(0)).alias("_n_lines"), F.coalesce(F.col(f"{made_}.dropped"), F.lit(0)).alias("_n_dropped"))

@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from boxlake.session import checkpointed, written
+from boxlake.llm.common import let
+from boxlake.session import Scratch, checkpointed, size_bytes, written
 
 #: The 0.975 quantile of a chi-square with four degrees of freedom, and what makes the covariance of the half,
 #: or of the rows within that quantile, consistent at a normal distribution.
@@ -28,11 +29,8 @@ CHI2_4_999 = 18.4668
 #: Least standard deviation of a transformed statistic given those before it; keeps a group of near-constant statistics from
 #: rejecting all else. Repeats: one heading said twice in a short text lies within three of it, a text of repeats well beyond.
 FLOORS = (0.25, 0.05, 0.35, 0.15)
-
-
-def _let(value: Column, body) -> Column:
-    """body(value) with value computed once: a lambda over an array of one."""
-    return F.transform(F.array(value), body)[0]
+#: Broadcast the fits by language and source up to this size; beyond it, a shuffle joins.
+BROADCAST_BYTES = 8 << 20
 
 
 def words(text: Column) -> Column:
@@ -64,7 +62,7 @@ def _repeat_words(w: Column, n: Column) -> Column:
         def covered(p: Column) -> Column:
             return F.aggregate(F.transform(p, lambda x, k: F.least(F.lit(3), F.coalesce(F.get(p, k + 1) - x, F.lit(3)))), F.lit(0), lambda a, x: a + x)
 
-        return _let(packed, lambda s: _let(candidates(s), lambda c: F.when(F.size(c) == 0, F.lit(0)).otherwise(_let(positions(c), covered))))
+        return let(packed, lambda s: let(candidates(s), lambda c: F.when(F.size(c) == 0, F.lit(0)).otherwise(let(positions(c), covered))))
 
     return of_bits(F.length(F.bin(n.cast("long"))))
 
@@ -80,7 +78,7 @@ def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     of_lines = lambda x: F.struct(F.size(x).cast("long").alias("n_lines"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"))
     # Words and lines are bound by lambdas, so each text is split once whatever the optimizer collapses.
-    made = docs.select(F.col(id_col), *keep, _let(words(text), of_words).alias("_w"), _let(lines, of_lines).alias("_l"), F.regexp_count(text, F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"))
+    made = docs.select(F.col(id_col), *keep, let(words(text), of_words).alias("_w"), let(lines, of_lines).alias("_l"), F.regexp_count(text, F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"))
     return made.select(id_col, *keep, "_w.n_words", "_w.word_chars", "n_symbols", "_l.n_dup_lines", "_w.n_repeat_words", "_l.n_lines")
 
 
@@ -174,11 +172,29 @@ def judge(docs: DataFrame, cut: float = CHI2_4_999, least_rows: int = 50, id_col
     are, by a fit to all passing rows. Only a table of fewer passing rows than that isn't judged (distance null, kept true). Empty and null texts fail. Repeated rows give repeated rows; no rows give no rows. Other
     columns, whatever their names, pass through by ``keep`` only.
     """
-    named = docs.select(F.col(id_col), F.col(text_col), *[F.col(c).alias(f"_keep_{c}") for c in keep], F.coalesce(F.concat(F.lit("="), F.col("lang")), F.lit("")).alias("_lang"), F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")).alias("_source"))
-    stats = statistics(named, id_col, text_col, [*[f"_keep_{c}" for c in keep], "_lang", "_source"])
+    scratch = Scratch(docs.sparkSession)
+    stats = _stats(docs, id_col, text_col, keep)
+    # Wide columns are not written: the fit reads the statistics alone, and they are computed again beside what is kept.
+    rows = (scratch.written if keep else written)(_stats(docs, id_col, text_col, []), "statistics")
+    lookup = written(_lookup(rows.filter("not base_failed"), least_rows), "fits")
+    lookup = F.broadcast(lookup) if size_bytes(lookup) <= BROADCAST_BYTES else lookup
+    scratch.clear()
+    out = (stats if keep else rows).join(lookup, ["_lang", "_source"], "left").withColumn("distance", _mahalanobis())
+    kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= cut, F.lit(True))
+    return out.select(F.col("_id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), "distance", *[F.col(f"_keep_{c}").alias(c) for c in keep])
+
+
+def _stats(docs: DataFrame, id_col: str, text_col: str, keep: list[str]) -> DataFrame:
+    """(_id, _keep_..., _lang, _source, statistics, base_failed, transforms) of each row; null is a value of its own."""
+    value = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit(""))
+    named = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), *[F.col(c).alias(f"_keep_{c}") for c in keep], value("lang").alias("_lang"), value("source").alias("_source"))
+    stats = statistics(named, "_id", "_text", [*[f"_keep_{c}" for c in keep], "_lang", "_source"])
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    rows = written(stats.withColumn("base_failed", failed).withColumns(dict(zip(FEATURES, transforms(), strict=True))), "statistics")
-    passing = rows.filter("not base_failed")
+    return stats.withColumn("base_failed", failed).withColumns(dict(zip(FEATURES, transforms(), strict=True)))
+
+
+def _lookup(passing: DataFrame, least_rows: int) -> DataFrame:
+    """(_lang, _source, m_i, l_ij): the fit that judges each (language, source)."""
     counts = passing.groupBy("_lang", "_source").count()
     wide = counts.withColumn("g", F.when(F.col("count") >= least_rows, F.struct("_lang", "_source")).otherwise(F.struct("_lang", F.lit("small").alias("_source"))))
     groups = wide.withColumn("g", F.to_json("g"))
@@ -192,7 +208,4 @@ def judge(docs: DataFrame, cut: float = CHI2_4_999, least_rows: int = 50, id_col
     if 0 < (rest or 0) < least_rows:
         members = groups.filter("g <> 'rest'").unionByName(groups.withColumn("g", F.lit("rest")))
     fit = _fit(passing.join(members, ["_lang", "_source"]).select("g", *FEATURES))
-    lookup = checkpointed(groups.join(fit, "g").drop("g", "count"))
-    out = rows.join(lookup, ["_lang", "_source"], "left").withColumn("distance", _mahalanobis())
-    kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= cut, F.lit(True))
-    return out.select(id_col, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), "distance", *[F.col(f"_keep_{c}").alias(c) for c in keep])
+    return groups.join(fit, "g").drop("g", "count")
