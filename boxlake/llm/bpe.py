@@ -2,7 +2,8 @@
 
 Symbols of many words lie in one flat array. A round looks every adjacent pair up in the sorted pair keys by binary
 search, takes the lowest rank of each word, and merges that pair wherever it stands in that word. Merged words leave the
-next round's array when they have no pair left, so a long word costs its own rounds only.
+next round's array when they have no pair left. A word is cut beforehand wherever no token of the vocabulary could cross,
+so that a round takes one merge from each of many short pieces, however long the word is.
 
 The vocabulary is one that lower-cases and drops white space, with word ends. Each result of merging must come from one
 pair only (checked when the file is read): then a pair can't get a lower rank by a merge of the same round, and merging
@@ -45,7 +46,8 @@ class WordBpe:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.tokens = {i: t for t, i in self.vocab.items()} | {i: t for t, i in self.special.items()}
         self.base = max(self.tokens) + 1
-        pairs = [(self.vocab[a], self.vocab[b], self.vocab[a + b]) for a, b in (m.split(" ") if isinstance(m, str) else m for m in model["merges"])]
+        merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        pairs = [(self.vocab[a], self.vocab[b], self.vocab[a + b]) for a, b in merges]
         left, right, out = (np.array(x, np.int64) for x in zip(*pairs, strict=True))
         if len(np.unique(out)) != len(out):
             raise ValueError("a token of this vocabulary is made by two merges")
@@ -55,9 +57,20 @@ class WordBpe:
         letters = byte_letters()
         self.of_byte = np.array([self.vocab[c] for c in letters], np.int64)
         self.of_last = np.array([self.vocab[c + self.end] for c in letters], np.int64)
+        self.crossed = self._crossed([t for a, b in merges for t in (a + b,)], letters)
         self.words = regex.compile(WORDS)
         self.marks = regex.compile("|".join(sorted(map(regex.escape, self.special), key=len, reverse=True))) if self.special else None
 
+    def _crossed(self, tokens: list[str], letters: list[str]) -> np.ndarray:
+        """(byte, next byte, whether the next ends the word): whether any merged token holds the two side by side."""
+        byte, out = {c: b for b, c in enumerate(letters)}, np.zeros((256, 256, 2), bool)
+        for token in tokens:
+            last = token.endswith(self.end)
+            own = [byte[c] for c in token.removesuffix(self.end)]
+            for k, (a, b) in enumerate(zip(own, own[1:], strict=False)):
+                out[a, b, int(last and k == len(own) - 2)] = True
+        return out
+
     def encode_words(self, words: list[bytes]) -> list[np.ndarray]:
         """Ids of each non-empty word, given as UTF-8."""
         sizes = np.array([len(w) for w in words], np.int64)
@@ -65,7 +78,12 @@ class WordBpe:
         symbols = self.of_byte[flat]
         ends = np.cumsum(sizes)
         symbols[ends - 1] = self.of_last[flat[ends - 1]]
-        owner = np.repeat(np.arange(len(words)), sizes)
+        # No merge crosses two bytes that no token holds side by side: words fall into pieces there.
+        ends_word = np.zeros(len(flat), np.int64)
+        ends_word[ends - 1] = 1
+        apart = np.append(True, ~self.crossed[flat[:-1], flat[1:], ends_word[1:]] | (ends_word[:-1] == 1))
+        owner = np.cumsum(apart) - 1
+        word = np.repeat(np.arange(len(words)), sizes)[apart]
         done_owner, done_symbols = [], []
         none = np.int64(len(self.keys))
         while len(symbols):
@@ -95,7 +113,7 @@ class WordBpe:
             return []
         owner, symbols = np.concatenate(done_owner), np.concatenate(done_symbols)
         order = np.argsort(owner, kind="stable")
-        return np.split(symbols[order], np.cumsum(np.bincount(owner, minlength=len(words)))[:-1])
+        return np.split(symbols[order], np.cumsum(np.bincount(word[owner], minlength=len(words)))[:-1])
 
     def split(self, text: str) -> list[str | int]:
         """Chunks without white space in order, and ids of special tokens."""

@@ -29,20 +29,26 @@ def held_out(id_col: str = "doc_id"):
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % 4 == 2
 
 
-def dictionaries(docs: DataFrame, per_lang: int = 512, excerpt: int = 1024, id_col: str = "doc_id") -> dict[str, bytes]:
+def dictionaries(docs: DataFrame, per_lang: int = 512, excerpt: int = 1024, most_langs: int = 256, id_col: str = "doc_id") -> dict[str, bytes]:
     """Raw content by language: of ``per_lang`` labelled rows, not held out, in order of a hash, ``excerpt`` characters each.
 
-    Only these bounded samples reach the driver (languages x per_lang x excerpt characters). The first pass ranks ids, with
-    the limit applied before the shuffle; the second reads the texts of the chosen ids. Copies are taken once.
+    Only these bounded samples reach the driver (most_langs x per_lang x excerpt characters). The ``most_langs`` languages
+    with the most rows are learned (ties by name). Their counts give each a bound on the hash that leaves about four times the
+    sample, so that ranks are taken among few rows however many a language has; a second pass reads the texts of the chosen
+    ids. Copies are taken once. Null ids count as one id.
     """
     ok = docs.filter(~held_out(id_col) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    by = Window.partitionBy("lang").orderBy("h", id_col)
-    chosen = ok.select("lang", id_col, F.xxhash64(F.col(id_col)).alias("h")).withColumn("r", F.row_number().over(by)).filter(F.col("r") <= per_lang)
-    texts = ok.join(F.broadcast(chosen.select(id_col).distinct()), id_col, "left_semi").select("lang", F.col(id_col).alias("id"), F.substring("text", 1, excerpt).alias("t"))
-    texts = texts.groupBy("lang", "id").agg(F.min("t").alias("t"))
+    counts = ok.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "lang").limit(most_langs)
+    # Hashes are spread evenly over 64 bits; a language of few rows has no bound.
+    bound = F.when(F.col("n") > 4 * per_lang, (4.0 * per_lang / F.col("n") * 2.0 - 1.0) * 2.0**63)
+    near = ok.select("lang", F.col(id_col).alias("id"), F.xxhash64(F.col(id_col)).alias("h")).join(F.broadcast(counts.select("lang", bound.alias("most"))), "lang").filter(F.coalesce(F.col("h") <= F.col("most"), F.lit(True)))
+    by = Window.partitionBy("lang").orderBy("h", "id")
+    chosen = near.withColumn("r", F.row_number().over(by)).filter(F.col("r") <= per_lang).select("lang", "id").distinct()
+    texts = ok.select(F.col("lang").alias("_l"), F.col(id_col).alias("_i"), F.substring("text", 1, excerpt).alias("t"))
+    texts = texts.join(F.broadcast(chosen), (F.col("_l") == F.col("lang")) & F.col("_i").eqNullSafe(F.col("id")), "left_semi").groupBy("_l", "_i").agg(F.min("t").alias("t"))
     out: dict[str, dict[str, None]] = {}
-    for row in sorted(texts.collect(), key=lambda r: (r.lang, r.id)):
-        out.setdefault(row.lang, {})[row.t] = None
+    for row in sorted(texts.collect(), key=lambda r: (r["_l"], r["_i"] is None, r["_i"] or 0)):
+        out.setdefault(row["_l"], {})[row["t"]] = None
     return {lang: "\n".join(texts).encode() for lang, texts in out.items()}
 
 
