@@ -55,8 +55,7 @@ def minhash_neardup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with personal data replaced by its kind in brackets."""
-    found = private.find_private(docs, keep=REST)
-    return _measured(found.withColumn("text", private.redacted(F.col("text"), F.col("all_spans"))))
+    return _measured(private.redact_private(docs))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
