@@ -2,7 +2,8 @@
 
 Every partition tokenises and packs its own pieces without a shuffle. Bins whose free space is at most ``slack`` are
 final; the others are items of the next round, dealt to groups of at most ``group_rows`` bins, and so on up the tree
-until one group is left or a round no longer lowers the number of bins. A bin carries its pieces' references (at most
+until one group is left, a round saves no bin, or ``max_rounds`` are over: in either case the underfull bins that are left
+could meet in one group only by way of more rounds, and stay as they are. A bin carries its pieces' references (at most
 one for each token), never tokens.
 """
 
@@ -175,13 +176,13 @@ def pack(docs: DataFrame, vocab_path: str, capacity: int = 2048, eot: int = 0, s
         groups = -(-n // group_rows)
         if n < 2:
             break
-        first = F.col("members")[0]
-        dealt = under.withColumn("g", F.pmod(F.xxhash64(first["doc_id"], first["piece"], F.lit(level)), F.lit(groups)))
+        # Dealt by the place in the written files, so that rows that share an id, or have none, spread like all others.
+        dealt = under.withColumn("g", F.pmod(F.xxhash64(F.monotonically_increasing_id(), F.lit(level)), F.lit(groups)))
         bins = written(dealt.groupBy("g").applyInArrow(merge, BIN_SQL), "bins")
         full.append(bins.filter(F.col("size") >= capacity - slack))
         under = bins.filter(F.col("size") < capacity - slack)
         before, n = n, under.count()
-        if groups == 1 or n + full[-1].count() > 0.98 * before:
+        if groups == 1 or n + full[-1].count() == before:
             break
     placed = under
     for part in full:

@@ -162,7 +162,8 @@ def _found(docs: DataFrame, text_col: str, least_digits: int, keep: dict[str, Co
     def both(t: Column) -> Column:
         return let(base_spans(t), lambda base: F.struct(base.alias("base"), _open(t, base, least_digits).alias("open")))
 
-    rows = docs.select(*[c.alias(k) for k, c in keep.items()], F.xxhash64(text).alias("_t1"), F.xxhash64(text, F.lit(1)).alias("_t2"), let(text, both).alias("_f"))
+    # A generator computes the spans once, whatever is filtered above.
+    rows = docs.select(*[c.alias(k) for k, c in keep.items()], F.xxhash64(text).alias("_t1"), F.xxhash64(text, F.lit(1)).alias("_t2"), F.explode_outer(F.array(let(text, both))).alias("_f"))
     place = lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))
     seen = lambda s: F.struct(F.filter(F.array(s["l1"], s["l2"], s["r1"]), lambda p: p.isNotNull()).alias("ps"), F.xxhash64(s["value"]).alias("v"), (s["kind"] != "context").alias("seed"), s["start"].alias("start"), s["end"].alias("end"))
     return rows.select(*keep, "_t1", "_t2", F.transform("_f.base", place).alias("_base"), F.transform(F.concat("_f.base", "_f.open"), seen).alias("_seen"))
@@ -177,8 +178,10 @@ def _good(docs: DataFrame, rows: DataFrame, text_col: str, least_conf: float, le
     if able.filter("seed").isEmpty():
         return None
     # Every occurrence of a pattern in the corpus counts, whatever stands by it.
-    said = F.split(F.regexp_replace(F.lower(F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), GLUED, "$1 ")), "[0-9]+", "#"), f"{GAP}+")
-    pairs = docs.select(F.explode(let(said, lambda w: F.zip_with(w, F.concat(F.array(F.lit(None).cast("string")), w), lambda a, b: F.struct(a.alias("w"), b.alias("b"))))).alias("x")).select("x.w", "x.b").filter("w is not null")
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    glued = F.when(F.contains(text, F.lit(":")) | F.contains(text, F.lit("=")), F.regexp_replace(text, GLUED, "$1 ")).otherwise(text)
+    said = docs.select(F.split(F.regexp_replace(F.lower(glued), "[0-9]+", "#"), f"{GAP}+").alias("w"))
+    pairs = said.select(F.explode(F.arrays_zip("w", F.concat(F.array(F.lit(None).cast("string")), "w").alias("b"))).alias("x")).select("x.w", "x.b").filter("w is not null")
     last = scratch.written(able.select(F.element_at(F.split(F.regexp_replace("p", "^(<<|<|>)", ""), " "), -1).alias("w")).distinct(), "last")
     counts = pairs.join(_small(last), "w", "left_semi").groupBy("w", "b").agg(F.count(F.lit(1)).alias("n"))
     totals = counts.select(F.explode(F.array(F.concat(F.lit("<"), "w"), F.concat(F.lit(">"), "w"), F.concat(F.lit("<<"), "b", F.lit(" "), "w"))).alias("p"), "n").filter("p is not null").groupBy("p").agg(F.sum("n").alias("all"))

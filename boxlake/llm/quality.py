@@ -77,9 +77,10 @@ def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         return F.struct(n.cast("long").alias("n_words"), F.length(F.array_join(w, "")).cast("long").alias("word_chars"), F.when(n < 4, F.lit(0)).otherwise(_repeat_words(w, n)).cast("long").alias("n_repeat_words"))
 
     of_lines = lambda x: F.struct(F.size(x).cast("long").alias("n_lines"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"))
-    # Words and lines are bound by lambdas, so each text is split once whatever the optimizer collapses.
-    made = docs.select(F.col(id_col), *keep, let(words(text), of_words).alias("_w"), let(lines, of_lines).alias("_l"), F.regexp_count(text, F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"))
-    return made.select(id_col, *keep, "_w.n_words", "_w.word_chars", "n_symbols", "_l.n_dup_lines", "_w.n_repeat_words", "_l.n_lines")
+    # Words and lines are bound by lambdas, and all of it by a generator: nothing above can make a text be read twice.
+    made = F.struct(let(words(text), of_words).alias("w"), let(lines, of_lines).alias("l"), F.regexp_count(text, F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"))
+    rows = docs.select(F.col(id_col), *keep, F.explode_outer(F.array(made)).alias("_s"))
+    return rows.select(id_col, *keep, "_s.w.n_words", "_s.w.word_chars", "_s.n_symbols", "_s.l.n_dup_lines", "_s.w.n_repeat_words", "_s.l.n_lines")
 
 
 def transforms() -> list[Column]:
