@@ -37,6 +37,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def minhash_neardup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates (five words, similarity 0.8): the one with the smallest id."""
+    docs = docs.select(*COLUMNS)
     found = written(neardup.near_duplicates(docs, prints=True), "groups")
     gone = found.filter("not kept").select(F.col("doc_id").alias("_gone")).distinct()
     gone = F.broadcast(gone) if gone.count() * 16 <= BROADCAST_BYTES else gone
