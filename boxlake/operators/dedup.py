@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -57,20 +59,105 @@ def bucket_report(items: DataFrame, hashes: dict[str, str], count: int, key: str
     return bands(items, hashes, count, key).groupBy("tag", "band", "value").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > cap).withColumn("cut", F.col("n") - cap)
 
 
-def near_pairs(items: DataFrame, pairs: DataFrame, hash_a: str, hash_b: str, vector: str, key: str, most_bits: int, most_mse: float) -> DataFrame:
-    """(a, b): pairs close by either hash and by mean squared error. The hash gate runs on hashes alone, before vectors move."""
+def near_pairs(items: DataFrame, pairs: DataFrame, hash_a: str, hash_b: str, vector: str, key: str, most_bits: int | tuple[int, int], most_mse: float) -> DataFrame:
+    """(a, b): pairs close by either hash and by mean squared error; ``most_bits`` may differ by hash. The hash gate runs on hashes alone, before vectors move."""
+    most_a, most_b = most_bits if isinstance(most_bits, tuple) else (most_bits, most_bits)
     h = items.select(key, hash_a, hash_b)
     gate = pairs.join(h.select(F.col(key).alias("a"), F.col(hash_a).alias("a1"), F.col(hash_b).alias("a2")), "a").join(h.select(F.col(key).alias("b"), F.col(hash_a).alias("b1"), F.col(hash_b).alias("b2")), "b")
-    gate = gate.filter((geo.bits_differ(F.col("a1"), F.col("b1")) <= most_bits) | (geo.bits_differ(F.col("a2"), F.col("b2")) <= most_bits)).select("a", "b")
+    gate = gate.filter((geo.bits_differ(F.col("a1"), F.col("b1")) <= most_a) | (geo.bits_differ(F.col("a2"), F.col("b2")) <= most_b)).select("a", "b")
     v = items.select(key, vector)
     return gate.join(v.select(F.col(key).alias("a"), F.col(vector).alias("va")), "a").join(v.select(F.col(key).alias("b"), F.col(vector).alias("vb")), "b").filter(geo.mse(F.col("va"), F.col("vb")) <= most_mse).select("a", "b")
 
 
+def _tile(hash_a: str, hash_b: str, vector: str, key: str, most_a: int, most_b: int, most_mse: float):
+    """One block of a bucket against another, or itself: each row that links, and the smallest key it is connected with."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(key, ignore_index=True)
+        bits = [np.stack(pdf[h].to_numpy()).astype(np.float32) for h in (hash_a, hash_b)]
+        x, side = np.stack(pdf[vector].to_numpy()).astype(np.float64), pdf["side"].to_numpy()
+        left, right = np.flatnonzero(side <= 0), np.flatnonzero(side >= 0)
+        low = np.arange(len(pdf))
+        for at in range(0, len(left), 256):
+            rows = left[at : at + 256]
+            far = [h[rows].sum(axis=1)[:, None] + h[right].sum(axis=1) - 2 * (h[rows] @ h[right].T) for h in bits]
+            i, j = np.nonzero((far[0] <= most_a) | (far[1] <= most_b))
+            a, b = rows[i], right[j]
+            open_ = (a != b) & (low[a] != low[b])
+            a, b = a[open_], b[open_]
+            for k in range(0, len(a), 65_536):
+                p, q = a[k : k + 65_536], b[k : k + 65_536]
+                # Components are added one after another, as a fold over the arrays would.
+                ok = ((x[p] - x[q]) ** 2).T.sum(axis=0) / x.shape[1] <= most_mse
+                low = _joined(low, p[ok], q[ok])
+        keys, linked = pdf[key].to_numpy(), low != np.arange(len(low))
+        return pd.DataFrame({"a": keys[linked], "b": keys[low[linked]]})
+
+    return run
+
+
+def _joined(low: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Labels after linking a[i] with b[i]: the smallest row of each component."""
+    while len(a):
+        before = low.copy()
+        m = np.minimum(low[a], low[b])
+        for side in (a, b):
+            np.minimum.at(low, before[side], m)
+            np.minimum.at(low, side, m)
+        low = low[low]
+        if (low == before).all():
+            break
+    return low
+
+
+def near_links(items: DataFrame, hashes: dict[str, str], count: int, vector: str, key: str, most_bits: int | tuple[int, int], most_mse: float, block: int = 1024) -> DataFrame:
+    """(a, b): links enough to connect whatever ``near_pairs`` over ``candidates`` connects, without a row a pair.
+
+    Buckets are cut into blocks of about ``block`` rows, and blocks compared inside a task, which gives back at most one row
+    a member; so a hot bucket is many tasks, and its pairs are never written. hashes: two columns of bits, by tag.
+    """
+    hash_a, hash_b = hashes.values()
+    most_a, most_b = most_bits if isinstance(most_bits, tuple) else (most_bits, most_bits)
+    posted, bucket = bands(items, hashes, count, key), ["tag", "band", "value"]
+    sizes = posted.groupBy(*bucket).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").withColumn("parts", F.ceil(F.col("n") / block).cast("int"))
+    cut = posted.join(sizes, bucket).withColumn("p", F.pmod(F.xxhash64(key), F.col("parts")).cast("int"))
+    # Block p meets block o: as the left one where it is the smaller, as the right one where it is the larger.
+    meet = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda o: F.struct(F.least(F.col("p"), o).alias("x"), F.greatest(F.col("p"), o).alias("y"), F.when(o == F.col("p"), 0).when(o > F.col("p"), -1).otherwise(1).alias("side")))
+    tiles = cut.select(key, *bucket, F.explode(meet).alias("m")).select(key, *bucket, "m.x", "m.y", "m.side").join(items.select(key, hash_a, hash_b, vector), key)
+    kind = items.schema[key].dataType.simpleString()
+    return tiles.groupBy(*bucket, "x", "y").applyInPandas(_tile(hash_a, hash_b, vector, key, most_a, most_b, most_mse), f"a {kind}, b {kind}").distinct()
+
+
 def near_members(pairs: DataFrame) -> DataFrame:
     """(key, keep): members of groups of two and more, with the smallest key of the group."""
     return connected_components(pairs, "a", "b").select(F.col("node").alias("key"), F.col("component").alias("keep"))
 
 
+def two_stage(items: DataFrame, content: Column, near, key: str, exact_stage: bool = True, near_stage: bool = True) -> DataFrame:
+    """(stage, key, keep): exact duplicates first, then near ones among what the first stage keeps; either may be off.
+
+    ``near`` takes the items that are left and gives pairs (a, b) of keys. A row is a duplicate's; what is kept has none.
+    """
+    out, left = None, items
+    if exact_stage:
+        members = exact_members(items.withColumn("_key", F.col(key)), content, "_key").select(F.col("path").alias(key), "keep")
+        out = members.filter(F.col(key) != F.col("keep")).select(F.lit("exact").alias("stage"), key, "keep")
+        left = items.join(members.filter(F.col(key) == F.col("keep")).select(key), key, "left_semi")
+    if near_stage:
+        found = near_members(near(left)).filter("key <> keep").select(F.lit("near").alias("stage"), F.col("key").alias(key), "keep")
+        out = found if out is None else out.unionByName(found)
+    return out if out is not None else items.select(F.lit("none").alias("stage"), key, F.col(key).alias("keep")).limit(0)
+
+
+def stage_totals(dups: DataFrame, results: DataFrame | None = None) -> DataFrame:
+    """(stage, groups, dups, moved): moved counts the actions of ``results`` (stage, result) that went through; without, all planned."""
+    planned = dups.groupBy("stage").agg(F.count_distinct("keep").alias("groups"), F.count(F.lit(1)).alias("dups"))
+    if results is None:
+        return planned.withColumn("moved", F.col("dups"))
+    done = results.groupBy("stage").agg(F.count_if(F.col("result") == "ok").alias("moved"))
+    return planned.join(done, "stage", "left").withColumn("moved", F.coalesce("moved", F.lit(0)))
+
+
 def group_totals(members: DataFrame, keep: str = "keep") -> DataFrame:
     """One row: groups of two and more, and the duplicates in them."""
     return members.groupBy(keep).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").agg(F.count(F.lit(1)).alias("groups"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("dups"))

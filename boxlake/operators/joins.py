@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def by_priority(files: DataFrame, key: str = "base", prio: str = "prio") -> DataFrame:
-    """(key, first_ext, last_ext): of several files with one stem, the first and the last by extension priority.
+def by_priority(files: DataFrame, key: str | tuple[str, ...] = "base", prio: str = "prio") -> DataFrame:
+    """(key..., first_ext, last_ext): of several files with one stem, the first and the last by extension priority.
 
-    One aggregate with partial results; no window.
+    Files of several folders need the folder in the key: ("dir", "base"). One aggregate with partial results; no window.
     """
-    return files.groupBy(key).agg(F.min_by("ext", prio).alias("first_ext"), F.max_by("ext", prio).alias("last_ext"))
+    return files.groupBy(*([key] if isinstance(key, str) else key)).agg(F.min_by("ext", prio).alias("first_ext"), F.max_by("ext", prio).alias("last_ext"))
 
 
 def with_image(labels: DataFrame, images: DataFrame, key: str = "base") -> DataFrame:

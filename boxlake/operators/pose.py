@@ -13,6 +13,13 @@ def name_index(index: DataFrame) -> DataFrame:
     return index.groupBy("name").agg(F.max("idx").alias("idx"))
 
 
+def _few(index: DataFrame, most: int = 4096) -> DataFrame:
+    """A table of keypoint names or their pairs, to be sent to every task; one above ``most`` rows is refused."""
+    if index.count() > most:
+        raise ValueError(f"over {most} keypoints or edges")
+    return F.broadcast(index)
+
+
 def _inside(x: Column, y: Column) -> Column:
     return (x >= 0) & (y >= 0) & (x < F.col("x2") - F.col("x1")) & (y < F.col("y2") - F.col("y1"))
 
@@ -22,7 +29,7 @@ def points(objects: DataFrame, keypoints: DataFrame, index: DataFrame) -> DataFr
 
     objects: base, x1, y1, x2, y2, img_w, img_h. Visible means inside the crop, whatever v is.
     """
-    every = objects.crossJoin(F.broadcast(index.select("idx", "name")))
+    every = objects.crossJoin(_few(index.select("idx", "name")))
     j = every.join(keypoints.select("base", F.col("kpt_idx").alias("idx"), "kx", "ky", "v"), ["base", "idx"], "left")
     px, py = (F.col("kx") * F.col("img_w")).cast("int") - F.col("x1"), (F.col("ky") * F.col("img_h")).cast("int") - F.col("y1")
     v = F.coalesce("v", F.lit(0)).cast("double")
@@ -37,7 +44,7 @@ def edges(pts: DataFrame, skeleton: DataFrame, index: DataFrame) -> DataFrame:
     shown = pts.filter("visible and v > 0")
     a = shown.select("base", F.col("idx").alias("i1"), F.col("px").alias("ax"), F.col("py").alias("ay"))
     b = shown.select("base", F.col("idx").alias("i2"), F.col("px").alias("bx"), F.col("py").alias("by"))
-    return a.join(F.broadcast(pairs), "i1").join(b, ["base", "i2"]).select("base", "ord", "ax", "ay", "bx", "by")
+    return a.join(_few(pairs), "i1").join(b, ["base", "i2"]).select("base", "ord", "ax", "ay", "bx", "by")
 
 
 def header(index: DataFrame) -> DataFrame:
@@ -46,8 +53,13 @@ def header(index: DataFrame) -> DataFrame:
 
 
 def crop_state(images: DataFrame, objects: DataFrame) -> DataFrame:
-    """(base, n_objects, state): 'No Objects Found', 'Invalid BBox' or 'ok' for the first object of each image."""
+    """(base, n_objects, state): 'No Objects Found', 'Invalid BBox', 'Empty Crop' or 'ok' for the first object of each image.
+
+    A box is empty that has corners in order but no pixel of the image: its image has no pixels along one side.
+    """
     first = objects.groupBy("base").agg(F.count(F.lit(1)).alias("n_objects"), F.min_by(F.struct("x1", "y1", "x2", "y2"), "ord").alias("f"))
     j = images.join(first, "base", "left")
-    state = F.when(F.col("f").isNull(), "No Objects Found").when((F.col("f.x2") <= F.col("f.x1")) | (F.col("f.y2") <= F.col("f.y1")), "Invalid BBox").otherwise("ok")
+    size = [c for c in ("img_w", "img_h") if c in images.columns]
+    outside = F.greatest(F.lit(False), *[F.coalesce(F.col(c) <= F.col(f"f.{a}1"), F.lit(False)) for c, a in zip(("img_w", "img_h"), "xy", strict=True) if c in size]) if size else F.lit(False)
+    state = F.when(F.col("f").isNull(), "No Objects Found").when((F.col("f.x2") <= F.col("f.x1")) | (F.col("f.y2") <= F.col("f.y1")), "Invalid BBox").when(outside, "Empty Crop").otherwise("ok")
     return j.select("base", F.coalesce("n_objects", F.lit(0)).alias("n_objects"), state.alias("state"))

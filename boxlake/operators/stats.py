@@ -75,9 +75,23 @@ def long_labels(hist: DataFrame) -> DataFrame:
     return hist.select("metric", "class_id", edge("bin_lo").alias("bin_lo"), edge("bin_hi").alias("bin_hi"), "count")
 
 
-def run_meta(files: DataFrame, images: DataFrame, boxes: DataFrame) -> DataFrame:
-    """One row: total_txt, missing_img, bad_img, total_boxes; boxes count only where the image is there and readable."""
-    joined = files.select("base").distinct().join(images.select("base", "state"), "base", "left")
+def run_meta(files: DataFrame, images: DataFrame, boxes: DataFrame, key: tuple[str, ...] = ("base",)) -> DataFrame:
+    """One row: total_txt, missing_img, bad_img, total_boxes; boxes count only where the image is there and readable.
+
+    files: one row a label file. ``key`` tells files apart: ("dir", "base") where folders share stems.
+    """
+    key = list(key)
+    joined = files.select(*key).join(images.select(*key, "state"), key, "left")
     heads = joined.agg(F.count(F.lit(1)).alias("total_txt"), F.count_if(F.coalesce("state", F.lit("missing")) == "missing").alias("missing_img"), F.count_if(F.col("state") == "bad").alias("bad_img"))
-    good = boxes.join(images.filter("state = 'ok'").select("base"), "base", "left_semi").agg(F.count(F.lit(1)).alias("total_boxes"))
+    good = boxes.join(images.filter("state = 'ok'").select(*key), key, "left_semi").agg(F.count(F.lit(1)).alias("total_boxes"))
     return heads.crossJoin(good)
+
+
+def count_report(share: DataFrame) -> DataFrame:
+    """(ord, line): the counts as text, files and boxes first, then a line a class in order of its number."""
+    head = share.select("total_txt_files", "total_bboxes").distinct()
+    first = head.select(F.explode(F.array(F.struct(F.lit(0).alias("ord"), F.concat(F.lit("label files: "), "total_txt_files").alias("line")), F.struct(F.lit(1).alias("ord"), F.concat(F.lit("boxes: "), "total_bboxes").alias("line")))).alias("x")).select("x.*")
+    rank = F.row_number().over(Window.orderBy(F.col("class_id").try_cast("int"), "class_id")) + 1
+    # One row a class.
+    rest = share.filter("class_id <> ''").select(rank.alias("ord"), F.format_string("class %s: %d (%.2f%%)", "class_id", "count", F.col("ratio") * 100).alias("line"))
+    return first.unionByName(rest).orderBy("ord")

@@ -78,8 +78,10 @@ def latest_status(events: DataFrame, key: str = "relkey", order: str = "seq") ->
     return events.groupBy(key).agg(F.max_by("status", order).alias("status"))
 
 
-def with_status(items: DataFrame, reviews: DataFrame, key: str = "relkey") -> DataFrame:
-    """Items with their status; unreviewed ones have 0."""
+def with_status(items: DataFrame, reviews: DataFrame, key: str = "relkey", order: str = "line_no") -> DataFrame:
+    """Items with their status; unreviewed ones have 0. Of a key's several reviews the last by ``order`` counts (without such a
+    column, the highest status), so items never multiply."""
+    reviews = latest_status(reviews, key, order if order in reviews.columns else "status")
     return items.join(reviews, key, "left").withColumn("status", F.coalesce("status", F.lit(0)))
 
 
@@ -121,25 +123,66 @@ def apply_summary(targets: DataFrame, images: DataFrame) -> DataFrame:
     return j.agg(F.count(F.lit(1)).alias("targets"), F.count_distinct(F.when(F.col("there"), F.col("base"))).alias("copied_unique"), F.count_if(F.col("there").isNull()).alias("missing"))
 
 
+def copy_plan(targets: DataFrame, images: DataFrame, labels: DataFrame, out: str, extra: tuple[str, ...] = ("classes.txt",)) -> DataFrame:
+    """(op, relkey, dst): each image that a target of status 1 or 2 lies on, once, its label file where there is one, and the
+    extra files. images: (base, ext) of files that are there; labels: (base)."""
+    t = decode_crop(targets.filter(F.col("status").isin(1, 2)).select("crop_name")).dropna(subset=["base"]).select("base").distinct()
+    chosen = t.join(images.select("base", "ext"), "base")
+    pictures = chosen.select(F.concat("base", "ext").alias("relkey"))
+    texts = chosen.join(labels.select("base").distinct(), "base", "left_semi").select(F.concat("base", F.lit(".txt")).alias("relkey"))
+    more = targets.sparkSession.createDataFrame([(x,) for x in extra], "relkey string")
+    return pictures.unionByName(texts).unionByName(more).select(F.lit("copy").alias("op"), "relkey", F.concat(F.lit(out + "/"), "relkey").alias("dst"))
+
+
+def apply_report(targets: DataFrame, images: DataFrame, labels: DataFrame) -> DataFrame:
+    """One row: targets, copied_unique, missing, removed_labels (labels that a target of status 1 matches, where the image is there)."""
+    there = images.filter("state <> 'missing'").select("base")
+    gone = decode_crop(targets.filter("status = 1").select("crop_name")).dropna(subset=["base"])
+    mine = labels.join(there, "base", "left_semi")
+    removed = mine.agg(F.count(F.lit(1)).alias("n")).crossJoin(delete_matches(mine, gone).agg(F.count(F.lit(1)).alias("left")))
+    return apply_summary(targets, images).crossJoin(removed.select((F.col("n") - F.col("left")).alias("removed_labels")))
+
+
 def purge_plan(reviews: DataFrame, files: DataFrame) -> DataFrame:
     """(relkey, op): distinct targets of statuses 1 and 2; 'delete' where the file is there, else 'missing'."""
     targets = reviews.filter(F.col("status").isin(1, 2)).select("relkey").distinct()
     return targets.join(files.select("relkey", F.lit(True).alias("there")).distinct(), "relkey", "left").select("relkey", F.when(F.col("there"), "delete").otherwise("missing").alias("op"))
 
 
-def route_plan(files: DataFrame) -> DataFrame:
+def route_plan(files: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """(relkey, op, dst): where each file that is left goes.
 
-    Images move to their class's directory; equal names get _dup1, _dup2, ... in order of relkey. Other files are
-    'skip_nonimg', names that don't parse 'skip_parse', classes without a directory 'skip_unknown'; nothing is lost silently.
+    Images move to their class's directory; equal names get _dup1, _dup2, ... in order of relkey, past the names that
+    ``existing`` (dst) says are taken there. Other files are 'skip_nonimg', names that don't parse 'skip_parse', classes
+    without a directory 'skip_unknown'; nothing is lost silently.
     """
     f = files.filter(G.basename(F.col("relkey")) != "crop_valid.txt").withColumn("name", G.basename(F.col("relkey")))
     f = decode_crop(f, "name")
     reason = F.when(~G.extension(F.col("name")).isin(*IMAGE_EXTENSIONS), "skip_nonimg").when(F.col("cls").isNull(), "skip_parse").when(~F.col("cls").isin(*ROUTES), "skip_unknown").otherwise("move")
     f = f.withColumn("op", reason).withColumn("dir", named(F.col("cls"), ROUTES))
     turn = F.row_number().over(Window.partitionBy("op", "dir", "name").orderBy("relkey")) - 1
-    taken = F.when(turn == 0, F.col("name")).otherwise(F.concat(G.stem(F.col("name")), F.lit("_dup"), turn.cast("string"), F.regexp_extract("name", r"(\.[^.]*)$", 1)))
-    return f.withColumn("dst", F.when(F.col("op") == "move", F.concat("dir", F.lit("/"), taken))).select("relkey", "op", "dst")
+    f = f.withColumn("_k", turn)
+    if existing is not None:
+        # Suffixes taken by files that are there: 0 is the bare name. The n-th file gets the n-th free one.
+        there = existing.select(F.regexp_extract("dst", r"^(.*)/[^/]*$", 1).alias("dir"), G.basename(F.col("dst")).alias("_is"))
+        bare = F.regexp_replace("_is", r"_dup[0-9]+(?=\.[^.]*$|$)", "")
+        k = F.regexp_extract("_is", r"_dup([0-9]+)(?:\.[^.]*)?$", 1).try_cast("int")
+        taken = there.select("dir", F.explode(F.array(F.struct(F.col("_is").alias("name"), F.lit(0).alias("k")), F.struct(bare.alias("name"), k.alias("k")))).alias("t")).select("dir", "t.name", "t.k")
+        taken = taken.filter("k is not null").groupBy("dir", "name").agg(F.collect_set("k").alias("_taken"))
+        free = F.array_except(F.sequence(F.lit(0), F.col("_k") + F.size("_taken")), F.col("_taken"))
+        f = f.join(taken, ["dir", "name"], "left").withColumn("_k", F.when(F.col("_taken").isNull(), F.col("_k")).otherwise(F.get(free, F.col("_k"))))
+    dst = F.when(F.col("_k") == 0, F.col("name")).otherwise(F.concat(G.stem(F.col("name")), F.lit("_dup"), F.col("_k").cast("string"), F.regexp_extract("name", r"(\.[^.]*)$", 1)))
+    return f.withColumn("dst", F.when(F.col("op") == "move", F.concat("dir", F.lit("/"), dst))).select("relkey", "op", "dst")
+
+
+def purge_report(reviews: DataFrame, purge: DataFrame, routes: DataFrame) -> DataFrame:
+    """One row of the last step: lines and targets (with repeats) of the review file, files deleted and missing, files moved and
+    skipped by reason. reviews: (relkey, status); purge and routes: plans, or plans with results of ``apply_actions``."""
+    heads = reviews.agg(F.count(F.lit(1)).alias("lines"), F.count_if(F.col("status").isin(1, 2)).alias("targets"))
+    count = lambda op, name: F.count_if(F.col("op") == op).alias(name)
+    first = purge.agg(count("delete", "deleted_ok"), count("missing", "deleted_miss"))
+    second = routes.agg(count("move", "moved_ok"), *[count(k, k) for k in ("skip_parse", "skip_nonimg", "skip_unknown")])
+    return heads.crossJoin(first).crossJoin(second)
 
 
 def route_summary(plan: DataFrame) -> DataFrame:

@@ -129,7 +129,7 @@ select count(*) as total_txt, count(*) filter (where coalesce(state, 'missing')
 )
 def hist_meta(s, d):
     lines = view(s, d, "v_label_lines")
-    return stats.run_meta(lines, view(s, d, "v_images"), parse.parse_labels(lines, parse.Variant.LENIENT_BOX))
+    return stats.run_meta(lines.select("base").distinct(), view(s, d, "v_images"), parse.parse_labels(lines, parse.Variant.LENIENT_BOX))
 
 
 @query(
@@ -390,6 +390,38 @@ def route_totals(s, d):
     return val.route_summary(route_plan(s, d))
 
 
+@query(
+    f"""{_REVIEWS}, {_ROUTE[5:]}, t as (select distinct relkey from ok where status in (1, 2)), u as (select case when f.relkey is null then 'missing' else 'delete' end as op from t left join f on f.relkey = t.relkey)
+select (select count(*) from ok) as lines, (select count(*) from ok where status in (1, 2)) as targets, (select count(*) from u where op = 'delete') as deleted_ok, (select count(*) from u where op = 'missing') as deleted_miss,
+  count(*) filter (where op = 'move') as moved_ok, count(*) filter (where op = 'skip_parse') as skip_parse, count(*) filter (where op = 'skip_nonimg') as skip_nonimg, count(*) filter (where op = 'skip_unknown') as skip_unknown from z""",
+    "v_review_lines", "v_crops",
+)
+def purge_report(s, d):
+    reviews = parse.parse_reviews(view(s, d, "v_review_lines"), parse.StatusPolicy.PURGE).select("relkey", "status")
+    return val.purge_report(reviews, purge_plan(s, d), route_plan(s, d))
+
+
+@query(
+    f"""with q as ({_DECODED} where status in (1, 2)), b as (select distinct base from q), c as (select v.base, v.ext from b join v_images v using (base) where v.state <> 'missing'),
+r as (select base || ext as relkey from c union all select base || '.txt' from c where base in (select base from v_label_lines) union all select 'classes.txt')
+select 'copy' as op, relkey, '/valid/' || relkey as dst from r""",
+    "v_crops", "v_images", "v_label_lines",
+)
+def copy_plan(s, d):
+    return val.copy_plan(view(s, d, "v_crops"), view(s, d, "v_images").filter("state <> 'missing'"), view(s, d, "v_label_lines"), "/valid")
+
+
+@query(
+    f"""with q as ({_DECODED} where status in (1, 2)), t as (select count(*) as targets, count(distinct case when v.base is not null then q.base end) as copied_unique, count(*) filter (where v.base is null) as missing from q left join (select base from v_images where state <> 'missing') v on q.base = v.base),
+g as ({_DECODED} where status = 1)
+select t.*, (select count(*) from v_boxes b where base in (select base from v_images where state <> 'missing') and exists (select 1 from g
+  where g.base = b.base and g.cls = b.cls and abs(b.xc - g.xc) <= 1e-6 and abs(b.yc - g.yc) <= 1e-6 and abs(b.w - g.w) <= 1e-6 and abs(b.h - g.h) <= 1e-6)) as removed_labels from t""",
+    "v_crops", "v_images", "v_boxes",
+)
+def apply_report(s, d):
+    return val.apply_report(view(s, d, "v_crops"), view(s, d, "v_images"), view(s, d, "v_boxes"))
+
+
 def _all_files(s, d):
     return view(s, d, "v_crops").select(F.concat_ws("/", "pred_dir", "crop_name").alias("relkey"))
 
@@ -460,7 +492,8 @@ _COMP = f"with recursive {_NEAR}, e as (select a as u, b as v from pairs union s
 
 @query(f"{_COMP} select vec_id, keep from z", "v_prep")
 def near_dup_groups(s, d):
-    return dedup.near_members(near_dup_pairs(s, d)).select(F.col("key").alias("vec_id"), "keep")
+    links = dedup.near_links(view(s, d, "v_prep"), _HASHES, 8, "embedding", "vec_id", 24, 0.021)
+    return dedup.near_members(links).select(F.col("key").alias("vec_id"), "keep")
 
 
 @query(f"{_COMP} select count(*) as groups, cast(coalesce(sum(n - 1), 0) as bigint) as dups from (select count(*) as n from z group by keep)", "v_prep")
@@ -468,6 +501,29 @@ def near_dup_totals(s, d):
     return dedup.group_totals(near_dup_groups(s, d))
 
 
+_STAGED = f"""x as (select vec_id, min(vec_id) over (partition by embedding) as keep from embeddings), u as (select * from v_prep where vec_id in (select keep from x)),
+{_NEAR.replace("v_prep", "u")}, e as (select a as u, b as v from pairs union select b, a from pairs), w(node, c) as (select u, u from e union select e.v, w.c from w join e on e.u = w.node),
+z as (select node as vec_id, min(c) as keep from w group by node), dups as (select 'exact' as stage, vec_id, keep from x where vec_id <> keep union all select 'near', vec_id, keep from z where vec_id <> keep)"""
+
+
+@query(f"with recursive {_STAGED} select stage, vec_id, keep from dups", "v_prep")
+def two_stage_dups(s, d):
+    def near(left):
+        return dedup.near_links(left, _HASHES, 8, "embedding", "vec_id", (24, 24), 0.021)
+
+    return dedup.two_stage(view(s, d, "v_prep"), F.array_join("embedding", ",").cast("binary"), near, "vec_id")
+
+
+@query(f"with recursive {_STAGED} select stage, count(distinct keep) as groups, count(*) as dups, count(*) as moved from dups group by stage", "v_prep")
+def two_stage_totals(s, d):
+    return dedup.stage_totals(two_stage_dups(s, d))
+
+
+@query("select vec_id, cast(bit_count(xor(vec_id * 7919, vec_id * 104729)) as integer) as bits from embeddings")
+def hash_distance(s, d):
+    return view(s, d, "embeddings").select("vec_id", geo.hamming(F.col("vec_id") * 7919, F.col("vec_id") * 104729).alias("bits"))
+
+
 # --- clusters ----------------------------------------------------------------------------------------------------------
 @query("with a as (select count(*) as n, count(*) as sample_n, count(distinct sha1(text)) as uniq from documents), b as (select *, uniq / cast(greatest(1, sample_n) as double) as uniq_ratio from a), c as (select *, cast(round_even(uniq_ratio * n, 0) as bigint) as k_est, greatest(2, cast(ceil(n * cast(0.1 as double)) as bigint)) as min_k, least(n, cast(ceil(n * cast(0.3 as double)) as bigint)) as max_k from b) select n, sample_n, uniq, uniq_ratio, k_est, min_k, max_k, greatest(min_k, least(max_k, k_est)) as k from c")
 def k_estimate(s, d):
@@ -533,6 +589,19 @@ def group_totals(s, d):
     return cluster.write_totals(group_pick(s, d))
 
 
+@query(
+    f"""with {_SIM}, m as (select rep, vec_id, role, 'img_' || (vec_id % 50) || '.jpg' as name, dense_rank() over (order by rep) - 1 as no from g),
+k as (select *, 'group_' || lpad(cast(no as varchar), 4, '0') as grp, row_number() over (partition by rep, role, name order by vec_id) - 1 as turn, row_number() over (partition by role, name order by no) - 1 as other from m)
+select 'copy' as op, vec_id, '/k/' || grp || case role when 'rep' then '/' else '/DUPS/' end || case when turn = 0 then name else replace(name, '.jpg', '') || '_dup' || turn || '.jpg' end as dst from k
+union all select 'copy', vec_id, '/k/KEEP_DIR/' || case when other = 0 then name else grp || '__' || name end from k where role = 'rep'""",
+)
+def group_layout(s, d):
+    picked = group_pick(s, d)
+    names = view(s, d, "embeddings").select("vec_id", F.concat(F.lit("img_"), F.col("vec_id") % 50, F.lit(".jpg")).alias("name"))
+    numbers = numbered(picked.select("rep").distinct(), "rep", name="group_no")
+    return cluster.group_layout(picked, names, numbers, "vec_id", "/k")
+
+
 @query("select vec_id, list_transform(embedding::double[], lambda x: round(x / sqrt(list_sum(list_transform(embedding::double[], lambda y: y * y))), 6)) as unit from embeddings")
 def unit_vectors(s, d):
     return view(s, d, "embeddings").select("vec_id", F.transform(geo.l2_normalized(F.col("embedding")), lambda x: F.round(x, 6)).alias("unit"))

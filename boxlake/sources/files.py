@@ -6,10 +6,13 @@ answers; contents come from Spark's own readers.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from boxlake.functions import grammar as G
+from boxlake.operators import parse
 
 #: Image extensions by kind of scan.
 EXTENSIONS = {
@@ -24,7 +27,7 @@ SCHEMA = "path string, name string, size long"
 
 
 def listing(spark: SparkSession, roots: list[str] | str, recursive: bool = False, kind: str | None = None) -> DataFrame:
-    """(path, name, size, base, ext) of every file, empty ones too, flat or recursive; ``kind`` keeps its extensions.
+    """(path, name, size, dir, base, ext) of every file by path, empty ones too, flat or recursive; ``kind`` keeps its extensions.
 
     The driver asks the store for names and sizes, as Spark's own file index does; nothing is opened. Missing folders give
     no rows.
@@ -39,10 +42,22 @@ def listing(spark: SparkSession, roots: list[str] | str, recursive: bool = False
         while found.hasNext():
             f = found.next()
             rows.append((f.getPath().toString(), f.getPath().getName(), f.getLen()))
-    out = spark.createDataFrame(rows, SCHEMA).withColumn("base", G.stem(F.col("name"))).withColumn("ext", G.extension(F.col("name")))
+    out = spark.createDataFrame(sorted(rows), SCHEMA).withColumns({"dir": parent(F.col("path")), "base": G.stem(F.col("name")), "ext": G.extension(F.col("name"))})
     return out.filter(F.col("ext").isin(*EXTENSIONS[kind])) if kind else out
 
 
+def parent(path: Column) -> Column:
+    """The folder of a path, spelled alike whether a listing or a reader gave the path."""
+    return F.regexp_replace(F.regexp_replace(path, r"^([a-z0-9+.-]+):/+", "$1:/"), r"/[^/]*$", "")
+
+
+def qualified(spark: SparkSession, root: str) -> str:
+    """The full path of a folder as ``parent`` spells it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    full = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return re.sub(r"^([a-z0-9+.-]+):/+", r"\1:/", full).rstrip("/")
+
+
 def subdirectories(spark: SparkSession, root: str) -> DataFrame:
     """(subdir,) sorted by name."""
     path = spark._jvm.org.apache.hadoop.fs.Path(root)
@@ -52,11 +67,11 @@ def subdirectories(spark: SparkSession, root: str) -> DataFrame:
 
 
 def label_lines(spark: SparkSession, roots: list[str] | str, recursive: bool = False) -> DataFrame:
-    """(path, base, line) of the label files of folders; lines end at LF, CR LF or CR."""
+    """(path, dir, base, line) of the label files of folders; lines end at LF, CR LF or CR."""
     reader = spark.read.option("recursiveFileLookup", recursive).option("pathGlobFilter", "*.[tT][xX][tT]")
     lines = reader.text([roots] if isinstance(roots, str) else roots)
     path = F.col("_metadata.file_path")
-    return lines.select(path.alias("path"), G.stem(F.col("_metadata.file_name")).alias("base"), F.col("value").alias("line"))
+    return lines.select(path.alias("path"), parent(path).alias("dir"), G.stem(F.col("_metadata.file_name")).alias("base"), F.col("value").alias("line"))
 
 
 def whole_text(spark: SparkSession, path: str) -> DataFrame:
@@ -64,6 +79,42 @@ def whole_text(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
 
 
+def ordered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(path, line_no, line) of small files whose order matters, such as review files: each is read whole."""
+    text = whole_text(spark, path)
+    return text.select("path", F.posexplode(F.split("text", r"\r\n|\r|\n")).alias("line_no", "line"))
+
+
+def review_map(spark: SparkSession, path: str) -> DataFrame:
+    """(relkey, status) as review starts with it: unknown statuses are 0, and the last line of a key wins."""
+    read = parse.parse_reviews(ordered_lines(spark, path), parse.StatusPolicy.LOAD)
+    return read.groupBy("relkey").agg(F.max_by("status", "line_no").alias("status"))
+
+
+def label_boxes(spark: SparkSession, folders: list[str], classes: list[int] | None = None) -> DataFrame:
+    """(path, dir, base, line, cls, xc, yc, w, h): boxes of flat folders, of some classes or of all."""
+    boxes = parse.parse_labels(label_lines(spark, folders), parse.Variant.LENIENT_BOX)
+    return boxes if classes is None else boxes.filter(F.col("cls").isin(*classes))
+
+
+def decoded_images(spark: SparkSession, root: str, recursive: bool = False) -> DataFrame:
+    """(path, dir, base, height, width, data): pixels as BGR rows by Spark's image reader; what doesn't decode is left out."""
+    images = spark.read.format("image").option("dropInvalid", True).option("recursiveFileLookup", recursive).load(root).select("image.*")
+    return images.select(F.col("origin").alias("path"), parent(F.col("origin")).alias("dir"), G.stem(G.basename(F.col("origin"))).alias("base"), "height", "width", "data")
+
+
+def images_beside(labels: DataFrame, images: DataFrame) -> DataFrame:
+    """(dir, base, image): for each label file the image of its folder and stem, by extension priority, or null.
+
+    Extensions are compared as written: an upper-case one is no hit.
+    """
+    places = {e: i for i, e in enumerate(EXTENSIONS["review"])}
+    written_ext = F.regexp_extract("name", r"[^.](\.[^.]*)$", 1)
+    prio = F.create_map(*[F.lit(x) for pair in places.items() for x in pair])[written_ext]
+    hits = images.withColumn("prio", prio).filter("prio is not null").groupBy("dir", "base").agg(F.min_by("path", "prio").alias("image"))
+    return labels.select("dir", "base").join(hits, ["dir", "base"], "left")
+
+
 def contents(spark: SparkSession, root: str, recursive: bool = True) -> DataFrame:
     """(path, content): bytes of the files below a root; zero-byte files are missing, as in Spark's reader."""
     return spark.read.format("binaryFile").option("recursiveFileLookup", recursive).load(root).select("path", "content")

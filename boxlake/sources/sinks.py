@@ -1,57 +1,127 @@
 """Writers, and the explicit step that applies a plan of file actions.
 
-Deletes, copies and moves are rows first; ``apply_actions`` carries them out in parallel, dry by default, through Hadoop's
-file system, so any store that Spark writes will do. Repeating an applied plan changes nothing and reports 'gone'.
+Deletes, copies and moves are rows first; ``apply_actions`` carries them out, dry by default, through Hadoop's file system,
+so any store that Spark writes will do. Repeating an applied plan changes nothing and reports 'gone'.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+from itertools import islice
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boxlake.operators import stats
+from boxlake.functions import pixels
+from boxlake.operators import geometry as geo, parse, stats
 
 ACTIONS = "op string, src string, dst string"
+#: What a plan may ask for; rmtree deletes a folder with all below it, delete a file only.
+OPS = ("delete", "rmtree", "move", "copy")
+#: Actions under way at a time: they wait for the store, not for the driver's processor.
+THREADS = 16
 
 
 def actions(plan: DataFrame, src_root: str = "", dst_root: str = "") -> DataFrame:
-    """(op, src, dst) with full paths from a plan of (relkey, op[, dst]); rows that are neither delete, move nor copy drop out."""
+    """(op, src, dst) with full paths from a plan of (relkey, op[, dst]); rows of no action drop out."""
     dst = F.when(F.col("dst").isNotNull(), F.concat(F.lit(dst_root), F.col("dst"))) if "dst" in plan.columns else F.lit(None).cast("string")
-    return plan.filter(F.col("op").isin("delete", "move", "copy")).select("op", F.concat(F.lit(src_root), F.col("relkey")).alias("src"), dst.alias("dst"))
+    return plan.filter(F.col("op").isin(*OPS)).select("op", F.concat(F.lit(src_root), F.col("relkey")).alias("src"), dst.alias("dst"))
+
+
+def tree_plan(spark: SparkSession, folders: list[str]) -> DataFrame:
+    """(op, src, dst): the removal of whole folders, as rows of a plan."""
+    return spark.createDataFrame([("rmtree", f, None) for f in folders], ACTIONS)
 
 
 def apply_actions(plan: DataFrame, dry_run: bool = True, most: int = 1_000_000) -> DataFrame:
-    """(op, src, dst, result): 'dry', 'ok', 'gone' (no source) or 'exists' (target taken).
+    """(op, src, dst, result): 'dry', 'ok', 'gone' (no source), 'exists' (target taken) or 'folder' (delete meant a file).
 
-    Actions run from the driver against the store's metadata, one by one and in order of src; a plan above ``most`` rows is
-    refused rather than cut, to be applied in parts.
+    Actions run from the driver against the store's metadata, ``THREADS`` at a time, those of one plan in no fixed order; a plan
+    above ``most`` rows is refused rather than cut, to be applied in parts.
     """
     spark = plan.sparkSession
     if dry_run:
         return plan.withColumn("result", F.lit("dry"))
     if plan.count() > most:
         raise ValueError(f"a plan of over {most} actions: apply it in parts")
-    jvm, conf, done = spark._jvm, spark._jsc.hadoopConfiguration(), []
-    for r in plan.select("op", "src", "dst").orderBy("src").toLocalIterator():
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+
+    def act(r) -> tuple:
         src = jvm.org.apache.hadoop.fs.Path(r.src)
         fs = src.getFileSystem(conf)
         if not fs.exists(src):
-            result = "gone"
-        elif r.op == "delete":
-            result = "ok" if fs.delete(src, True) else "gone"
-        else:
-            dst = jvm.org.apache.hadoop.fs.Path(r.dst)
-            to = dst.getFileSystem(conf)
-            if to.exists(dst):
-                result = "exists"
-            else:
-                to.mkdirs(dst.getParent())
-                result = "ok" if (fs.rename(src, dst) if r.op == "move" else jvm.org.apache.hadoop.fs.FileUtil.copy(fs, src, to, dst, False, conf)) else "gone"
-        done.append((r.op, r.src, r.dst, result))
-    return spark.createDataFrame(done, ACTIONS + ", result string")
+            return (*r, "gone")
+        if r.op in ("delete", "rmtree"):
+            if r.op == "delete" and fs.getFileStatus(src).isDirectory():
+                return (*r, "folder")
+            return (*r, "ok" if fs.delete(src, True) else "gone")
+        dst = jvm.org.apache.hadoop.fs.Path(r.dst)
+        to = dst.getFileSystem(conf)
+        if to.exists(dst):
+            return (*r, "exists")
+        to.mkdirs(dst.getParent())
+        done = fs.rename(src, dst) if r.op == "move" else jvm.org.apache.hadoop.fs.FileUtil.copy(fs, src, to, dst, False, conf)
+        return (*r, "ok" if done else "gone")
+
+    return spark.createDataFrame(list(_in_parallel(act, plan.select("op", "src", "dst").orderBy("src").toLocalIterator())), ACTIONS + ", result string")
+
+
+def _in_parallel(f, rows: Iterable) -> Iterator:
+    rows = iter(rows)
+    with ThreadPoolExecutor(THREADS) as pool:
+        while part := list(islice(rows, 64 * THREADS)):
+            yield from pool.map(f, part)
+
+
+def write_files(rows: DataFrame, root: str, name: str = "name", content: str = "content", most: int = 1_000_000) -> int:
+    """Writes each row's bytes (or text, as UTF-8) as the file ``root``/name, replacing what is there; gives their number.
+
+    Spark has no writer of single files: rows pass through the driver a partition at a time, and a table above ``most`` rows is
+    refused. Keep larger ones as tables.
+    """
+    spark = rows.sparkSession
+    rows = rows.select(F.col(name).alias("name"), F.col(content).cast("binary").alias("content"))
+    if rows.count() > most:
+        raise ValueError(f"over {most} files: keep them as a table")
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+
+    def put(r) -> int:
+        path = jvm.org.apache.hadoop.fs.Path(f"{root}/{r.name}")
+        stream = path.getFileSystem(conf).create(path, True)
+        stream.write(bytes(r.content or b""))
+        stream.close()
+        return 1
+
+    return sum(_in_parallel(put, rows.toLocalIterator()))
+
+
+def write_labels(files: DataFrame, root: str) -> int:
+    """Writes ``rewritten_labels`` (base, lines) as ``root``/base.txt, each line ended; a file that lost all lines is empty."""
+    text = F.when(F.size("lines") > 0, F.concat(F.array_join("lines", "\n"), F.lit("\n"))).otherwise("")
+    return write_files(files.select(F.concat("base", F.lit(".txt")).alias("name"), text.alias("content")), root)
+
+
+def crops(images: DataFrame, boxes: DataFrame, ext: str = ".png") -> DataFrame:
+    """(name, content): each box cut out of its image, as a PNG file named by its record; empty boxes have none.
+
+    images: (base, height, width, data); boxes: (base, cls, xc, yc, w, h), at most a few thousand on an image. An image is cut
+    beside its boxes, in one function over Arrow batches.
+    """
+    sized = boxes.join(images.select("base", F.col("width").alias("img_w"), F.col("height").alias("img_h")), "base").withColumns(geo.to_pixels(geo.Pixels.CROP))
+    named = sized.select("base", parse.crop_name(F.col("base"), F.col("cls"), F.col("xc"), F.col("yc"), F.col("w"), F.col("h"), ext).alias("name"), F.array("x1", "y1", "x2", "y2").alias("box"))
+    # Equal records are one file.
+    own = named.distinct().groupBy("base").agg(F.sort_array(F.collect_list(F.struct("name", "box"))).alias("own"))
+    cut = images.join(own, "base").select("own", pixels.crops_udf("height", "width", "data", F.transform("own", lambda o: o["box"])).alias("cut"))
+    return cut.select(F.explode(F.zip_with("own", "cut", lambda o, c: F.struct(o["name"].alias("name"), c.alias("content")))).alias("f")).select("f.*").filter("content is not null")
+
+
+def run_log(results: DataFrame) -> DataFrame:
+    """(line,) in order of src: what was done or would be, one line an action."""
+    mark = F.when(F.col("result") == "dry", "[DRY]").when(F.col("result") == "ok", "[OK]").when(F.col("result") == "gone", "[MISS]").otherwise("[SKIP]")
+    return results.orderBy("src", "op").select(F.concat_ws(" ", mark, F.concat("op", F.lit(":")), "src", F.concat(F.lit("-> "), "dst")).alias("line"))
 
 
 def write_counts(share: DataFrame, path: str) -> None:
@@ -80,15 +150,24 @@ def write_histogram(meta: dict[str, object], hist: DataFrame, path: str) -> None
 
 
 def save_reviews(reviews: DataFrame, path: str) -> None:
-    """(relkey, status) as JSON lines, in order of relkey, by a write beside the old file and a rename: readers see one or the other."""
+    """(relkey, status) as one file of JSON lines, in order of relkey.
+
+    It is written beside the old file and renamed over it, so that readers see one or the other where the store's rename
+    replaces a file at once, as HDFS and POSIX folders do.
+    """
     spark = reviews.sparkSession
     beside = f"{path}.{uuid.uuid4().hex}"
     reviews.select("relkey", "status").orderBy("relkey").coalesce(1).write.json(beside)
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    new, old = jvm.org.apache.hadoop.fs.Path(beside), jvm.org.apache.hadoop.fs.Path(path)
-    fs = old.getFileSystem(conf)
-    fs.delete(old, True)
-    fs.rename(new, old)
+    folder, target = jvm.org.apache.hadoop.fs.Path(beside), jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(conf)
+    parts = [s.getPath() for s in fs.listStatus(folder) if s.getPath().getName().startswith("part-")]
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    over = spark.sparkContext._gateway.new_array(rename, 1)
+    over[0] = rename.OVERWRITE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf)
+    context.rename(fs.makeQualified(parts[0]), fs.makeQualified(target), over)
+    fs.delete(folder, True)
 
 
 def load_reviews(spark, path: str) -> DataFrame:

@@ -30,8 +30,11 @@ def latest_reviews(events: DataFrame, key: str = "relkey", order: str = "seq") -
     return events.groupBy(key).agg(F.max_by("status", order).alias("status"))
 
 
-def upsert_reviews(path: str):
-    """foreachBatch sink: merges each batch into a Parquet folder of one version a batch, idempotent by batch id."""
+def upsert_reviews(path: str, order: str = "seq"):
+    """foreachBatch sink: merges each batch into a Parquet folder of one version a batch, idempotent by batch id.
+
+    Of a key's several events in one batch the last by ``order`` counts; without such a column, the highest status.
+    """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -40,7 +43,8 @@ def upsert_reviews(path: str):
         fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
         names = [s.getPath().getName() for s in fs.listStatus(root)] if fs.exists(root) else []
         old = max((int(n[2:]) for n in names if n.startswith("v=") and int(n[2:]) < batch_id), default=None)
-        rows = batch.select("relkey", "status", F.lit(1).alias("turn"))
+        last = batch.groupBy("relkey").agg(F.max_by("status", order if order in batch.columns else "status").alias("status"))
+        rows = last.select("relkey", "status", F.lit(1).alias("turn"))
         if old is not None:
             rows = spark.read.parquet(f"{path}/v={old}").select("relkey", "status", F.lit(0).alias("turn")).unionByName(rows)
         rows.groupBy("relkey").agg(F.max_by("status", "turn").alias("status")).write.mode("overwrite").parquet(f"{path}/v={batch_id}")

@@ -183,3 +183,88 @@ def test_absent_keypoints(spark):
     index = spark.createDataFrame([(0, "a", ""), (1, "b", ""), (2, "c", "")], "idx int, name string, comment string")
     rows = {r["idx"]: (r.v, r.visible) for r in pose.points(objects, kpts, index).collect()}
     assert rows == {0: (2, True), 1: (2, False), 2: (0, False)}
+
+
+def test_routes_pass_names_that_are_taken(spark):
+    crop = "i_0_0.1_0.1_0.1_0.1"
+    rows = spark.createDataFrame([(f"{d}/{crop}.jpg",) for d in "abc"] + [("a/notes.md",), ("a/x.jpg",), ("a/i_9_0.1_0.1_0.1_0.1.jpg",), ("a/crop_valid.txt",)], "relkey string")
+    there = spark.createDataFrame([(f"O_Person/{crop}.jpg",), (f"O_Person/{crop}_dup2.jpg",), (f"O_Bike/{crop}.jpg",)], "dst string")
+    plan = {r.relkey: (r.op, r.dst) for r in val.route_plan(rows, there).collect()}
+    assert [plan[f"{d}/{crop}.jpg"][1] for d in "abc"] == [f"O_Person/{crop}_dup{k}.jpg" for k in (1, 3, 4)]
+    assert {plan[k][0] for k in plan if not k.endswith(f"{crop}.jpg")} == {"skip_nonimg", "skip_parse", "skip_unknown"} and len(plan) == 6
+    free = {r.relkey: r.dst for r in val.route_plan(rows).collect()}
+    assert [free[f"{d}/{crop}.jpg"] for d in "abc"] == [f"O_Person/{crop}.jpg", f"O_Person/{crop}_dup1.jpg", f"O_Person/{crop}_dup2.jpg"]
+
+
+def test_positions_in_a_total_order(spark):
+    rows = [(int(k),) for k in np.random.default_rng(1).permutation(2000)]
+    from boxlake.operators.order import numbered
+
+    out = numbered(spark.createDataFrame(rows, "k long").repartition(7), "k").collect()
+    assert len(out) == 2000 and all(r.k == r.pos for r in out)
+    assert numbered(spark.createDataFrame([], "k long"), "k").count() == 0
+
+
+def plain_farthest(vectors, first, k):
+    """Each time the point whose best cosine to those chosen is lowest; the first of equal ones."""
+    unit = [np.array(v) / max(np.linalg.norm(v), 1e-12) for v in vectors]
+    chosen = [first]
+    while len(chosen) < min(k, len(unit)):
+        best = [max(float(u @ unit[c]) for c in chosen) for u in unit]
+        chosen.append(int(np.argmin(best)))
+    return chosen
+
+
+def test_farthest_points_equal_brute_force(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.standard_normal(8).tolist()) for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, v array<double>")
+    first = df.orderBy(F.xxhash64("id", F.lit(12345))).first().id
+    got = [r.id for r in cluster.farthest_points(df, 12, "id", "v").orderBy("ord").collect()]
+    assert got == plain_farthest([v for _, v in rows], first, 12)
+    pool = {r.id for r in cluster.sample_exact(df, 20, F.col("id"), 12345).collect()}
+    assert {r.id for r in cluster.farthest_points(df, 99, "id", "v", pool_max=20).collect()} == pool and len(pool) == 20
+
+
+def test_samples_are_the_smallest_hashes(spark):
+    df = spark.range(500)
+    hashes = sorted((r.h, r.id) for r in df.select("id", F.xxhash64("id", F.lit(7)).alias("h")).collect())
+    assert {r.id for r in cluster.sample_exact(df.repartition(5), 40, F.col("id"), 7).collect()} == {i for _, i in hashes[:40]}
+    assert cluster.sample_exact(df, 1000, F.col("id")).count() == 500
+    items = df.withColumn("s", F.col("id") % 30)
+    hashes = sorted((r.h, r.id) for r in df.select("id", F.xxhash64("id", F.lit(12345)).alias("h")).collect())
+    uniq = len({i % 30 for _, i in hashes[:100]})
+    r = cluster.k_estimate(items, F.col("s"), "id", sample_max=100).first()
+    assert (r.n, r.sample_n, r.uniq, r.k) == (500, 100, uniq, max(50, min(150, round(uniq / 100 * 500))))
+
+
+def test_candidates_within_a_cap(spark):
+    items = spark.createDataFrame([(i, [0, 0, i % 2, 1]) for i in range(6)], "k long, h array<int>")
+    pairs = lambda cap: {tuple(r) for r in dedup.candidates(items, {"h": "h"}, 2, "k", cap).collect()}
+    assert pairs(None) == {(a, b) for a in range(6) for b in range(a + 1, 6)}
+    assert pairs(2) == {(0, 1), (0, 2), (1, 3)}
+
+
+def test_review_batches_and_thresholds(spark):
+    items = spark.createDataFrame([(0, [0, 0, 0, 0], [0, 0, 0, 0], [0.0]), (1, [1, 1, 0, 0], [1, 0, 0, 0], [0.0]), (2, [1, 1, 1, 1], [1, 1, 1, 0], [0.0])], "k long, a array<int>, p array<int>, v array<double>")
+    pairs = spark.createDataFrame([(0, 1), (0, 2), (1, 2)], "a long, b long")
+    near = lambda bits: {tuple(r) for r in dedup.near_pairs(items, pairs, "a", "p", "v", "k", bits, 0.0).collect()}
+    assert (near((0, 1)), near((2, 0)), near(2)) == ({(0, 1)}, {(0, 1), (1, 2)}, {(0, 1), (1, 2)})
+
+
+def test_an_empty_crop_has_its_state(spark):
+    images = spark.createDataFrame([("a", 0, 5), ("b", 9, 9), ("c", 9, 9), ("d", 9, 9)], "base string, img_w int, img_h int")
+    objects = spark.createDataFrame([("a", 0, 0, 0, 3, 3), ("b", 0, 4, 4, 2, 5), ("c", 0, 1, 1, 3, 3)], "base string, ord int, x1 int, y1 int, x2 int, y2 int")
+    assert {r.base: r.state for r in pose.crop_state(images, objects).collect()} == {"a": "Empty Crop", "b": "Invalid BBox", "c": "ok", "d": "No Objects Found"}
+
+
+@pytest.mark.parametrize("block", [1024, 4])
+def test_links_by_blocks_connect_what_pairs_connect(spark, block):
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.integers(0, 2, 16).tolist() if i % 3 else [1] * 15 + [i % 2], rng.integers(0, 2, 16).tolist(), (rng.integers(0, 3, 4) / 2).tolist()) for i in range(60)]
+    items = spark.createDataFrame(rows, "k long, a array<int>, p array<int>, v array<double>")
+    pairs = dedup.near_pairs(items, dedup.candidates(items, {"a": "a", "p": "p"}, 4, "k"), "a", "p", "v", "k", (5, 3), 0.2)
+    links = dedup.near_links(items, {"a": "a", "p": "p"}, 4, "v", "k", (5, 3), 0.2, block)
+    want = {tuple(r) for r in dedup.near_members(pairs).collect()}
+    assert {tuple(r) for r in dedup.near_members(links).collect()} == want and len({c for _, c in want}) > 1
+    assert dedup.near_members(dedup.near_links(items.limit(0), {"a": "a", "p": "p"}, 4, "v", "k", 5, 0.2)).count() == 0

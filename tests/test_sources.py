@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from boxlake.functions import pixels
-from boxlake.operators import parse, stats
+from boxlake.operators import parse, stats, validate as val
+from boxlake.plans import runs
 from boxlake.sources import files, sinks
 from boxlake.streaming import ingest
 
@@ -60,8 +61,8 @@ def test_pixel_kernels(spark, folder):
     assert abs(np.linalg.norm(row.f) - 1) < 1e-4
     rng = np.random.default_rng(1)
     x = rng.integers(0, 256, (64, 64, 3), np.uint8)
-    same = pixels.perceptual_hash(pixels.prepared(x)), pixels.perceptual_hash(pixels.prepared(np.kron(x, np.ones((2, 2, 1), np.uint8))))
-    assert (same[0] ^ same[1]).bit_count() <= 8 if same[0] * same[1] >= 0 else True
+    same = [pixels.perceptual_hash(pixels.prepared(y)) & (1 << 64) - 1 for y in (x, np.kron(x, np.ones((2, 2, 1), np.uint8)), rng.integers(0, 256, (64, 64, 3), np.uint8))]
+    assert (same[0] ^ same[1]).bit_count() <= 8 < (same[0] ^ same[2]).bit_count()
     assert pixels.crop(x, 2, 3, 10, 5).shape == (2, 8, 3)
     assert pixels.edges(np.zeros((20, 20))).sum() == 0
 
@@ -107,7 +108,7 @@ def test_streams(spark, tmp_path):
 def test_review_upserts_are_idempotent(spark, tmp_path):
     merge = ingest.upsert_reviews(str(tmp_path / "r"))
     one = spark.createDataFrame([("a", 1), ("b", 1)], "relkey string, status int")
-    two = spark.createDataFrame([("a", 2)], "relkey string, status int")
+    two = spark.createDataFrame([("a", 0, 1), ("a", 2, 3), ("a", 1, 2)], "relkey string, status int, seq int")
     for batch, i in ((one, 0), (two, 1), (two, 1)):
         merge(batch, i)
     assert {tuple(r) for r in spark.read.parquet(str(tmp_path / "r" / "v=1")).collect()} == {("a", 2), ("b", 1)}
@@ -121,3 +122,153 @@ def test_late_events_close_windows(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert [r.n for r in spark.table("windows").collect()] == [2]
+
+
+def plain_resized(image, size):
+    """Area means, a target pixel at a time."""
+    out = np.zeros((size, size))
+    for a in range(size):
+        for b in range(size):
+            total = weight = 0.0
+            for y in range(image.shape[0]):
+                for x in range(image.shape[1]):
+                    h = min((a + 1) * image.shape[0] / size, y + 1) - max(a * image.shape[0] / size, y)
+                    w = min((b + 1) * image.shape[1] / size, x + 1) - max(b * image.shape[1] / size, x)
+                    if h > 0 and w > 0:
+                        total, weight = total + h * w * image[y, x], weight + h * w
+            out[a, b] = total / weight
+    return out
+
+
+def test_kernels_have_the_values_of_their_definitions():
+    rng = np.random.default_rng(2)
+    g = rng.random((13, 9)) * 255
+    assert np.allclose(pixels.resized(g, 8), plain_resized(g, 8))
+    small = plain_resized(g, 8)
+    want = sum(int(v > small.mean()) << (63 - i) for i, v in enumerate(small.ravel()))
+    assert pixels.average_hash(g) & (1 << 64) - 1 == want
+    wide = plain_resized(g, 32)
+    dct = np.array([[sum(wide[y, x] * np.cos(np.pi * (2 * y + 1) * u / 64) * np.cos(np.pi * (2 * x + 1) * v / 64) for y in range(32) for x in range(32)) for v in range(8)] for u in range(8)])
+    want = sum(int(v > np.median(dct)) << (63 - i) for i, v in enumerate(dct.ravel()))
+    assert pixels.perceptual_hash(g) & (1 << 64) - 1 == want
+    flat = np.full((6, 6, 3), 90, np.uint8)
+    assert np.allclose(pixels.prepared(flat), 90) and pixels.gray(np.array([[[10, 20, 30]]], np.uint8))[0, 0] == pytest.approx(0.114 * 10 + 0.587 * 20 + 0.299 * 30)
+    colors = pixels.color_histogram(np.array([[[0, 0, 255], [0, 0, 255], [255, 0, 0], [0, 255, 0]]], np.uint8), (6, 1, 1))
+    assert colors.tolist() == [0.5, 0, 0.25, 0, 0.25, 0]
+    step = np.zeros((96, 96, 3), np.uint8)
+    step[:, 48:] = 200
+    hog = pixels.gradients_histogram(step)
+    assert np.linalg.norm(hog) == pytest.approx(1) and hog.shape == (11 * 11 * 36,) and set(np.flatnonzero(hog > 1e-9) % 9) <= {0, 8}
+    line = pixels.edges(pixels.gray(step))
+    assert line.any(axis=0).sum() in (1, 2) and line[:, 47:49].any(axis=1).all()
+    signature = np.frombuffer(pixels.coarse_signature(step), np.uint8)
+    assert signature[:64].reshape(8, 8)[:, 3:5].sum() > 0 == signature[:64].reshape(8, 8)[:, :3].sum() and signature[64:].sum() == 2 * 127
+    assert np.allclose(np.linalg.norm(pixels.feature(step)), 1, atol=1e-5)
+
+
+def test_scans_by_kind_are_sorted(spark, tmp_path):
+    for name in ("b.JPG", "a.jpeg", "c.png", "d.bmp", "e.webp", "f.txt", "g"):
+        (tmp_path / name).write_bytes(b"x")
+    names = lambda kind: [r.base for r in files.listing(spark, str(tmp_path), kind=kind).collect()]
+    assert (names("crop_source"), names("prediction"), names("review"), names("pose"), names("dedup")) == (list("abc"), list("bc"), list("abcde"), list("abcd"), list("abcde"))
+
+
+def test_boxes_of_several_folders(spark, folder):
+    assert files.label_boxes(spark, [str(folder), str(folder / "sub")]).count() == 4
+    assert [r.cls for r in files.label_boxes(spark, [str(folder), str(folder / "sub")], [0, 7]).collect()] == [0, 0]
+
+
+def test_review_files(spark, tmp_path):
+    (tmp_path / "crop_valid.txt").write_text("d\\a.jpg 1\nd/b.jpg 7\nd/a.jpg 2\nshort\nd/c.jpg x\n")
+    assert {tuple(r) for r in files.review_map(spark, str(tmp_path / "crop_valid.txt")).collect()} == {("d/a.jpg", 2), ("d/b.jpg", 0)}
+    items = spark.createDataFrame([("d/a.jpg",), ("d/z.jpg",)], "relkey string")
+    lines = parse.parse_reviews(files.ordered_lines(spark, str(tmp_path / "crop_valid.txt")), parse.StatusPolicy.LOAD)
+    assert sorted((r.relkey, r.status) for r in val.with_status(items, lines).collect()) == [("d/a.jpg", 2), ("d/z.jpg", 0)]
+
+
+def test_keypoint_and_skeleton_files(spark, tmp_path):
+    (tmp_path / "index.txt").write_text("nose # tip\n\n left_eye \n")
+    (tmp_path / "skeleton.txt").write_text("[nose, left_eye]\n junk [nose, left_eye] [left_eye,nose]")
+    assert [tuple(r) for r in parse.parse_keypoint_index(files.whole_text(spark, str(tmp_path / "index.txt"))).collect()] == [(0, "nose", "tip"), (1, "left_eye", "")]
+    assert [tuple(r) for r in parse.parse_skeleton(files.whole_text(spark, str(tmp_path / "skeleton.txt"))).collect()] == [(0, "nose", "left_eye"), (1, "left_eye", "nose")]
+
+
+def test_crops_are_written_and_decode_to_their_pixels(spark, folder, tmp_path):
+    images = files.decoded_images(spark, str(folder))
+    assert [(r.base, r.width, r.height) for r in images.collect()] == [("a", 20, 10)]
+    boxes = spark.createDataFrame([("a", 1, 0.5, 0.5, 0.5, 0.4), ("a", 1, 0.5, 0.5, 0.5, 0.4), ("a", 0, 0.1, 0.1, 0.0, 0.2), ("z", 0, 0.1, 0.1, 0.1, 0.2)], "base string, cls int, xc double, yc double, w double, h double")
+    cut = sinks.crops(images, boxes)
+    assert sinks.write_files(cut, str(tmp_path / "crops")) == 1
+    (back,) = files.decoded_images(spark, str(tmp_path / "crops")).collect()
+    whole = images.first()
+    want = pixels.pixels(whole.height, whole.width, bytes(whole.data))[3:7, 5:15]
+    assert back.base == "a_1_0.500000_0.500000_0.500000_0.400000" and (pixels.pixels(back.height, back.width, bytes(back.data)) == want).all()
+    with pytest.raises(ValueError):
+        sinks.write_files(cut, str(tmp_path / "crops"), most=0)
+
+
+def test_label_files_are_rewritten(spark, tmp_path):
+    rewritten = spark.createDataFrame([("a", ["0 1", "1 2"]), ("c", [])], "base string, lines array<string>")
+    assert sinks.write_labels(rewritten, str(tmp_path)) == 2
+    assert (tmp_path / "a.txt").read_text() == "0 1\n1 2\n" and (tmp_path / "c.txt").read_bytes() == b""
+
+
+def test_copies_trees_and_log(spark, folder, tmp_path):
+    (folder / "classes.txt").write_text("x\n")
+    targets = spark.createDataFrame([("a_0_0.1_0.1_0.1_0.1.jpg", 1), ("a_1_0.1_0.1_0.1_0.1.jpg", 2), ("q_1_0.1_0.1_0.1_0.1.jpg", 2), ("a_1_0.2_0.1_0.1_0.1.jpg", 0)], "crop_name string, status int")
+    images = spark.createDataFrame([("a", ".png"), ("b", ".png")], "base string, ext string")
+    plan = val.copy_plan(targets, images, files.listing(spark, str(folder), kind="label"), "/valid")
+    done = sinks.apply_actions(sinks.actions(plan, f"{folder}/", str(tmp_path)), dry_run=False)
+    assert {r.result for r in done.collect()} == {"ok"} and {p.name for p in (tmp_path / "valid").iterdir() if p.suffix != ".crc"} == {"a.png", "a.txt", "classes.txt"}
+    trees = sinks.tree_plan(spark, [str(folder / "sub"), str(folder / "none")])
+    assert [r.line[:5] for r in sinks.run_log(sinks.apply_actions(trees)).collect()] == ["[DRY]"] * 2 and (folder / "sub").exists()
+    assert sinks.apply_actions(spark.createDataFrame([("delete", str(folder / "sub"), None)], sinks.ACTIONS), dry_run=False).first().result == "folder"
+    log = [r.line for r in sinks.run_log(sinks.apply_actions(trees, dry_run=False)).collect()]
+    assert log == [f"[MISS] rmtree: {folder}/none", f"[OK] rmtree: {folder}/sub"] and not (folder / "sub").exists()
+
+
+def test_counts_file_and_report(spark, tmp_path):
+    share = stats.class_share(spark.createDataFrame([(0,), (2,), (2,), (10,)], "cls int"), spark.range(3), "d")
+    sinks.write_counts(share, str(tmp_path / "c"))
+    lines = [r.value for r in spark.read.text(str(tmp_path / "c")).collect()]
+    assert lines[0] == "label_dir,total_txt_files,total_bboxes,class_id,count,ratio" and [x.split(",")[3] for x in lines[1:]] == ["0", "2", "10"]
+    assert [r.line for r in stats.count_report(share).collect()] == ["label files: 3", "boxes: 4", "class 0: 1 (25.00%)", "class 2: 2 (50.00%)", "class 10: 1 (25.00%)"]
+
+
+def test_histogram_run_tells_folders_apart(spark, tmp_path):
+    train, test = tmp_path / "train", tmp_path / "val"
+    for d in (train, test):
+        d.mkdir()
+        (d / "same.txt").write_text("0 .5 .5 .2 .4\n1 .5 .5 .6 .8\n")
+    (train / "same.png").write_bytes(png(8, 8))
+    (train / "same.bmp").write_bytes(b"shadowed by the other extension")
+    (test / "same.jpg").write_bytes(b"not an image")
+    (test / "alone.txt").write_text("0 .5 .5 .2 .4\n")
+    (test / "alone.JPG").write_bytes(png(8, 8))
+    (test / "void.txt").write_text("0 .5 .5 .2 .4\n")
+    (test / "void.png").write_bytes(b"")
+    run = runs.histogram_run(spark, [str(train), str(test)], 0.5, out=str(tmp_path / "out"))
+    assert run.meta.first().asDict() == {"total_txt": 4, "missing_img": 1, "bad_img": 2, "total_boxes": 2}
+    assert run.hist.filter("class_id = 'ALL'").agg(F.sum("count")).first()[0] == 6 and run.shown.count() == run.hist.count()
+    assert (run.outlines.count(), run.centers.count()) == (2, 2) and runs.centers(files.label_boxes(spark, [str(train)]), 1).count() == 1
+    assert [r.value for r in spark.read.text(str(tmp_path / "out")).collect()][1] == "bin_step,0.5"
+
+
+@pytest.mark.parametrize(("exact", "near"), [(True, True), (True, False), (False, True), (False, False)])
+def test_duplicates_in_two_stages(spark, tmp_path, exact, near):
+    src = tmp_path / "img"
+    (src / "sub").mkdir(parents=True)
+    rng = np.random.default_rng(3)
+    for name, seed in (("a", 0), ("c", 1)):
+        image = np.kron(np.random.default_rng(seed).integers(0, 256, (6, 6, 3), np.uint8), np.ones((20, 20, 1), np.uint8))
+        (src / f"{name}.png").write_bytes(pixels.png_bytes(image))
+        if seed == 0:
+            (src / "sub" / "copy.png").write_bytes(pixels.png_bytes(image))
+            (src / "sub" / "near.png").write_bytes(pixels.png_bytes((image.astype(int) + rng.integers(0, 3, image.shape)).clip(0, 255).astype(np.uint8)))
+    (src / "broken.png").write_bytes(b"x")
+    (src / "empty.png").write_bytes(b"")
+    got = {(r.stage, r.src.rsplit("/", 1)[1]): r.dst for r in runs.duplicate_run(spark, str(src), "/out", exact, near).collect()}
+    want = {("exact", "copy.png")} if exact else set()
+    want |= {("near", "near.png")} | ({("near", "copy.png")} if not exact else set()) if near else set()
+    assert set(got) == want
+    assert all(dst == f"/out/{stage}/group_000000/sub/{name}" for (stage, name), dst in got.items())
