@@ -43,6 +43,14 @@ def prediction_dirs(crops: DataFrame) -> DataFrame:
     return crops.groupBy("pred_dir").agg(F.count(F.lit(1)).alias("n")).withColumn("known", F.col("pred_dir").isin(*TAXONOMY)).orderBy("pred_dir")
 
 
+def dir_ranges(crops: DataFrame) -> DataFrame:
+    """(pred_dir, n, start): directories in order, with the zero-based place at which each one's items begin."""
+    sizes = crops.groupBy("pred_dir").agg(F.count(F.lit(1)).alias("n"))
+    # One row a directory.
+    before = F.sum("n").over(Window.orderBy("pred_dir").rowsBetween(Window.unboundedPreceding, -1))
+    return sizes.withColumn("start", F.coalesce(before, F.lit(0)))
+
+
 def class_order(cls: Column) -> Column:
     """0 to 3 in order, everything else (and no class) last."""
     return F.when(cls.isin(0, 1, 2, 3), cls).otherwise(9)
@@ -78,6 +86,16 @@ def latest_status(events: DataFrame, key: str = "relkey", order: str = "seq") ->
     return events.groupBy(key).agg(F.max_by("status", order).alias("status"))
 
 
+def saved_status(events: DataFrame, order: str = "seq") -> DataFrame:
+    """(relkey, status) as the review file has it: the last status of each key up to the last event that saves.
+
+    events: (seq, action, relkey, status). 'jump' and 'close' save what was set before; 'set' alone, or moving on, doesn't.
+    """
+    last = events.filter(F.col("action").isin("jump", "close")).agg(F.max(order).alias("_last"))
+    known = events.filter("action = 'set'").join(F.broadcast(last), F.col(order) < F.col("_last"))
+    return latest_status(known, "relkey", order)
+
+
 def with_status(items: DataFrame, reviews: DataFrame, key: str = "relkey", order: str = "line_no") -> DataFrame:
     """Items with their status; unreviewed ones have 0. Of a key's several reviews the last by ``order`` counts (without such a
     column, the highest status), so items never multiply."""

@@ -290,6 +290,11 @@ def prediction_dirs(s, d):
     return val.prediction_dirs(view(s, d, "v_crops"))
 
 
+@query("select pred_dir, n, coalesce(sum(n) over (order by pred_dir rows between unbounded preceding and 1 preceding), 0)::bigint as start from (select pred_dir, count(*) as n from v_crops group by pred_dir)", "v_crops")
+def review_dir_ranges(s, d):
+    return val.dir_ranges(view(s, d, "v_crops"))
+
+
 _ORDERED = f"""with q as ({_DECODED}), o as (select pred_dir, crop_name, case when cls in (0, 1, 2, 3) then cls else 9 end as ord from q),
 r as (select *, row_number() over (order by ord, pred_dir, crop_name) - 1 as pos, count(*) over () as total, row_number() over (partition by ord order by pred_dir, crop_name) - 1 as group_pos, count(*) over (partition by ord) as group_count from o),
 z as (select pred_dir, crop_name, ord, pos, total, group_pos, pos - group_pos as group_start, group_count from r)"""
@@ -335,6 +340,17 @@ def status_labels(s, d):
     return out.select("relkey", "status", val.named(F.col("status"), val.STATUSES).alias("label"), val.next_status(F.col("status")).alias("toggled"))
 
 
+@query(
+    """with e as (select event_id as seq, user_id as relkey, cast(event_id % 3 as integer) as status, case when event_id % 997 = 5 then 'jump' when event_id % 4 = 0 then 'next' else 'set' end as action from events),
+l as (select max(seq) as last from e where action in ('jump', 'close'))
+select relkey, cast(max_by(status, seq) as integer) as status from e, l where action = 'set' and seq < last group by relkey"""
+)
+def review_saved(s, d):
+    action = F.when(F.col("event_id") % 997 == 5, "jump").when(F.col("event_id") % 4 == 0, "next").otherwise("set")
+    events = view(s, d, "events").select(F.col("event_id").alias("seq"), F.col("user_id").alias("relkey"), (F.col("event_id") % 3).cast("int").alias("status"), action.alias("action"))
+    return val.saved_status(events)
+
+
 @query("select user_id as relkey, cast(max_by(event_id % 3, event_id) as integer) as status from events group by user_id")
 def review_latest(s, d):
     events = view(s, d, "events").select(F.col("user_id").alias("relkey"), (F.col("event_id") % 3).cast("int").alias("status"), F.col("event_id").alias("seq"))
