@@ -41,17 +41,19 @@ def words(text: Column) -> Column:
 def _repeat_words(w: Column, n: Column) -> Column:
     """Words in 3-word windows that occur twice or more, of an array with at least three words.
 
-    Windows are packed as (hash bits, position) and sorted as plain longs; neighbours with equal bits are candidates, which
-    are compared again by their words. What is counted is the union of [position, position + 2].
+    Most texts have no two windows of one hash, which a set of longs tells at once. Else windows are packed as (hash bits,
+    position) and sorted as plain longs; neighbours with equal bits are candidates, which are compared again by their words.
+    What is counted is the union of [position, position + 2].
     """
     window = lambda i: F.concat_ws(" ", F.get(w, i), F.get(w, i + 1), F.get(w, i + 2))
+    hashes = F.transform(F.arrays_zip(*[F.slice(w, k, n - 2) for k in (1, 2, 3)]), lambda x: F.xxhash64(x))
 
-    def of_bits(bits: Column) -> Column:
-        packed = F.sort_array(F.transform(F.sequence(F.lit(0), n - 3), lambda i: F.call_function("shiftleft", F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)), bits).bitwiseOR(i.cast("long"))))
+    def repeated(hashed: Column, bits: Column) -> Column:
+        packed = F.sort_array(F.transform(hashed, lambda h, i: F.call_function("shiftleft", h, bits).bitwiseOR(i.cast("long"))))
 
         def candidates(s: Column) -> Column:
-            high = lambda x: F.call_function("shiftright", x, bits)
-            near = F.filter(s, lambda x, k: (high(x) == high(F.get(s, k + 1))) | ((k > 0) & (high(x) == high(F.get(s, F.greatest(k - 1, F.lit(0)))))))
+            alike = F.zip_with(s, F.slice(s, 2, F.size(s)), lambda x, y: F.when(F.call_function("shiftright", x.bitwiseXOR(y), bits) == 0, F.array(x, y)))
+            near = F.array_distinct(F.flatten(F.array_compact(alike)))
             mask = F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1
             return F.sort_array(F.transform(near, lambda x: F.struct(window(x.bitwiseAND(mask).cast("int")).alias("w"), x.bitwiseAND(mask).cast("int").alias("i"))))
 
@@ -64,7 +66,7 @@ def _repeat_words(w: Column, n: Column) -> Column:
 
         return let(packed, lambda s: let(candidates(s), lambda c: F.when(F.size(c) == 0, F.lit(0)).otherwise(let(positions(c), covered))))
 
-    return of_bits(F.length(F.bin(n.cast("long"))))
+    return let(hashes, lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(let(F.length(F.bin(n.cast("long"))), lambda bits: repeated(h, bits))))
 
 
 def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: list[str] = ()) -> DataFrame:
@@ -169,9 +171,10 @@ def judge(docs: DataFrame, cut: float = CHI2_4_999, least_rows: int = 50, id_col
 
     base_failed: fewer than 50 words, or more than half of the words in repeated windows. kept: not base_failed, and the
     squared distance within ``cut``. Groups are (lang, source), null being a value of its own; a group of fewer than
-    ``least_rows`` passing rows is judged with its language's other small groups; if these are too few too, with all languages' such rows; if even these
-    are, by a fit to all passing rows. Only a table of fewer passing rows than that isn't judged (distance null, kept true). Empty and null texts fail. Repeated rows give repeated rows; no rows give no rows. Other
-    columns, whatever their names, pass through by ``keep`` only.
+    ``least_rows`` passing rows is judged with its language's other small groups; if these are too few too, with all
+    languages' such rows; if even these are, by a fit to all passing rows. Only a table of fewer passing rows than that isn't
+    judged (distance null, kept true). Empty and null texts fail. Repeated rows give repeated rows; no rows give no rows.
+    Other columns, whatever their names, pass through by ``keep`` only, and are never written.
     """
     scratch = Scratch(docs.sparkSession)
     stats = _stats(docs, id_col, text_col, keep)
