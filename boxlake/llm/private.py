@@ -183,7 +183,9 @@ def _good(docs: DataFrame, rows: DataFrame, text_col: str, least_conf: float, le
     said = docs.select(F.split(F.regexp_replace(F.lower(glued), "[0-9]+", "#"), f"{GAP}+").alias("w"))
     pairs = said.select(F.explode(F.arrays_zip("w", F.concat(F.array(F.lit(None).cast("string")), "w").alias("b"))).alias("x")).select("x.w", "x.b").filter("w is not null")
     last = scratch.written(able.select(F.element_at(F.split(F.regexp_replace("p", "^(<<|<|>)", ""), " "), -1).alias("w")).distinct(), "last")
-    counts = pairs.join(_small(last), "w", "left_semi").groupBy("w", "b").agg(F.count(F.lit(1)).alias("n"))
+    # Of the word before, only those count apart that stand in a pattern of two words.
+    two = able.filter(F.startswith("p", F.lit("<<"))).select(F.split(F.substring("p", 3, 1 << 30), " ").alias("x")).select(F.col("x")[0].alias("b"), F.col("x")[1].alias("w"), F.lit(True).alias("both"))
+    counts = pairs.join(_small(last), "w", "left_semi").join(_small(scratch.written(two, "two")), ["w", "b"], "left").groupBy("w", F.when(F.col("both"), F.col("b")).alias("b")).agg(F.count(F.lit(1)).alias("n"))
     totals = counts.select(F.explode(F.array(F.concat(F.lit("<"), "w"), F.concat(F.lit(">"), "w"), F.concat(F.lit("<<"), "b", F.lit(" "), "w"))).alias("p"), "n").filter("p is not null").groupBy("p").agg(F.sum("n").alias("all"))
     able = scratch.written(able.select("p").join(totals, "p"), "totals")
     edges = scratch.written(edges.join(_small(able.select("p")), "p", "left_semi"), "edges")

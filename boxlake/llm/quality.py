@@ -31,6 +31,8 @@ CHI2_4_999 = 18.4668
 FLOORS = (0.25, 0.05, 0.35, 0.15)
 #: Broadcast the fits by language and source up to this size; beyond it, a shuffle joins.
 BROADCAST_BYTES = 8 << 20
+#: Bytes that the fits of a group take in memory, all starts together, at most.
+FIT_BYTES = 2048
 
 
 def words(text: Column) -> Column:
@@ -128,12 +130,12 @@ def _moments(rows: DataFrame, factor: Column, *keys: str) -> DataFrame:
     return _cholesky(sums.withColumns({f"c{i}{j}": F.col(f"c{i}{j}") * factor for i, j in both}), *keys)
 
 
-def _starts(rows: DataFrame) -> DataFrame:
+def _starts(rows: DataFrame, few) -> DataFrame:
     """(g, n, s, m_i, l_ij): centres and spreads by coordinate. Medians with the median deviation (0), which up to half of the
     rows can't move, with the quartiles (1), and means with standard deviations (2)."""
     q = lambda x: F.percentile_approx(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 2000)
     first = checkpointed(rows.groupBy("g").agg(F.count(F.lit(1)).alias("n"), *[x for i, f in enumerate(FEATURES) for x in (q(f).alias(f"q{i}"), F.avg(f).alias(f"a{i}"), F.stddev_pop(f).alias(f"s{i}"))]))
-    off = rows.join(first, "g").groupBy("g").agg(*[F.percentile_approx(F.abs(F.col(f) - F.col(f"q{i}")[1]), 0.5, 2000).alias(f"d{i}") for i, f in enumerate(FEATURES)])
+    off = rows.join(few(first), "g").groupBy("g").agg(*[F.percentile_approx(F.abs(F.col(f) - F.col(f"q{i}")[1]), 0.5, 2000).alias(f"d{i}") for i, f in enumerate(FEATURES)])
     wide = first.join(off, "g")
     centres = [[F.col(f"q{i}")[1] for i in range(P)]] * 2 + [[F.col(f"a{i}") for i in range(P)]]
     spreads = [[1.4826 * F.col(f"d{i}") for i in range(P)], [(F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / 1.349 for i in range(P)], [F.col(f"s{i}") for i in range(P)]]
@@ -144,24 +146,25 @@ def _starts(rows: DataFrame) -> DataFrame:
     return out
 
 
-def _fit(rows: DataFrame) -> DataFrame:
-    """(g, m_i, l_ij) by group, for groups of at least one row.
+def _fit(rows: DataFrame, groups: int) -> DataFrame:
+    """(g, m_i, l_ij) by group, for groups of at least one row; ``groups``: their number, which decides how fits meet rows.
 
     A step counts as long as it lowers the determinant by a millionth; floors bound it from below, so steps end.
     """
     small = HALF_FACTOR / (1.0 - SMALL[0] / F.greatest(F.col("n"), F.lit(8)) ** SMALL[1])
-    fit = checkpointed(_starts(rows).withColumns({"det": F.lit(float("inf")), "done": F.lit(False)}))
+    few = F.broadcast if groups * FIT_BYTES <= BROADCAST_BYTES else (lambda df: df)
+    fit = checkpointed(_starts(rows, few).withColumns({"det": F.lit(float("inf")), "done": F.lit(False)}))
     while not (going := fit.filter("not done")).isEmpty():
-        near = rows.join(going, "g").withColumn("d", _mahalanobis())
-        reach = checkpointed(near.groupBy("g", "s").agg(F.percentile_approx("d", 0.5, 2000).alias("reach")).join(going, ["g", "s"]))
-        inner = rows.join(reach, "g").filter(_mahalanobis() <= F.col("reach")).select("g", "s", "n", *FEATURES)
+        near = rows.join(few(going), "g").withColumn("d", _mahalanobis())
+        reach = checkpointed(near.groupBy("g", "s").agg(F.percentile_approx("d", 0.5, 2000).alias("reach")).join(few(going), ["g", "s"]))
+        inner = rows.join(few(reach), "g").filter(_mahalanobis() <= F.col("reach")).select("g", "s", "n", *FEATURES)
         new = _moments(inner, small, "g", "s").select("g", "s", F.struct(*FITTED, "det").alias("new"))
         falls = F.col("new.det") < F.col("det") * (1 - 1e-6)
         step = fit.join(new, ["g", "s"], "left")
         fit = checkpointed(step.select("g", "n", "s", *[F.when(falls, F.col(f"new.{c}")).otherwise(F.col(c)).alias(c) for c in [*FITTED, "det"]], (~F.coalesce(falls, F.lit(False))).alias("done")))
     best = checkpointed(fit.groupBy("g").agg(F.min_by(F.struct("n", *FITTED), F.struct("det", "s")).alias("b")).select("g", "b.*"))
     for _ in range(REWEIGHTINGS):
-        inner = rows.join(best, "g").filter(_mahalanobis() <= CHI2_4_975).select("g", "n", *FEATURES)
+        inner = rows.join(few(best), "g").filter(_mahalanobis() <= CHI2_4_975).select("g", "n", *FEATURES)
         best = checkpointed(best.select("g", "n").join(_moments(inner, F.lit(NEAR_FACTOR), "g").drop("det"), "g"))
     return best.drop("n")
 
@@ -205,11 +208,12 @@ def _lookup(passing: DataFrame, least_rows: int) -> DataFrame:
     sizes = groups.groupBy("g").agg(F.sum("count").alias("n")).filter(F.col("n") >= least_rows)
     # No group's name is "rest": names are JSON objects.
     groups = checkpointed(groups.join(sizes, "g", "left").select("_lang", "_source", "count", F.when(F.col("n").isNotNull(), F.col("g")).otherwise("rest").alias("g")))
-    rest, every = groups.agg(F.sum(F.when(F.col("g") == "rest", F.col("count"))), F.sum("count")).first()
+    rest, every, n = groups.agg(F.sum(F.when(F.col("g") == "rest", F.col("count"))), F.sum("count"), F.count(F.lit(1))).first()
     if (every or 0) < least_rows:
         groups = groups.limit(0)
     members = groups
     if 0 < (rest or 0) < least_rows:
         members = groups.filter("g <> 'rest'").unionByName(groups.withColumn("g", F.lit("rest")))
-    fit = _fit(passing.join(members, ["_lang", "_source"]).select("g", *FEATURES))
+    few = F.broadcast if n * FIT_BYTES <= BROADCAST_BYTES else (lambda df: df)
+    fit = _fit(passing.join(few(members), ["_lang", "_source"]).select("g", *FEATURES), n + 1)
     return groups.join(fit, "g").drop("g", "count")
