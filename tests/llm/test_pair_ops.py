@@ -70,8 +70,7 @@ def test_near_duplicates(spark, words):
     assert all(out[i].kept == (want[i] == i) for i in s)
 
 
-@pytest.mark.parametrize("rounds", [0, 2])
-@pytest.mark.parametrize("block_bytes", [8 << 20, 6000])
+@pytest.mark.parametrize(("rounds", "block_bytes"), [(0, 6000), (2, 8 << 20)])
 def test_groups_over_a_block(spark, rounds, block_bytes):
     """A hot group of copies edited so differently that most pairs stay below the bound, cut into many blocks."""
     rng = np.random.default_rng(5)
