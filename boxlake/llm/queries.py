@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boxlake.llm import bpe, langid, linededup, neardup, packing, private, quality, secrets, urlfilter, vectors
+from boxlake.llm import bpe, hardneg, histpack, langid, linededup, neardup, packing, private, quality, secrets, urlfilter, vectors, whitening
 from boxlake.session import table
 
 
@@ -58,6 +58,20 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), words=4)
 
 
+def op11_histpack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return histpack.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op12_hardneg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.mine(table(spark, sf_dir, "embeddings").withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return out.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 def _terms(names: tuple[str, ...]) -> str:
     return "[" + ", ".join(f"'{t}'" for t in names) + "]"
 
@@ -85,6 +99,14 @@ m as (select page_id, max_by(rule, length(rule)) as rule, max_by(verdict, length
 select p.page_id, p.host, p.path, m.rule, coalesce(m.verdict,
   case when len(list_filter({_terms(urlfilter.STRICT)}, {_HAS})) >= 1 or len(list_filter({_terms(urlfilter.SOFT)}, {_HAS})) >= 2 then 'block' else 'allow' end) as verdict
 from p left join m on p.page_id = m.page_id""",
+    "op12_hardneg": """
+with e as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, list_transform(embedding::double[], lambda c: cast(floor(256 * c) as bigint)) as x from embeddings
+  where label is not null and vec_id is not null and embedding is not null and len(list_filter(embedding::double[], lambda c: c is null or not isfinite(c))) = 0),
+s as (select a.vec_id as a, b.vec_id as b, a.label = b.label as same, cast(list_sum(list_transform(list_zip(a.x, b.x), lambda z: z[1] * z[2])) as bigint) as score from e a join e b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id),
+p as (select * from (select a, b, score, row_number() over (partition by a order by score desc, b) as r from s where same) where r <= 5),
+n as (select p.a as anchor_id, p.b as positive_id, row_number() over (partition by p.a, p.b order by s.score desc, s.b) as r, s.b as negative_id, p.score as positive_score, s.score as negative_score
+  from p join s on s.a = p.a and not s.same and 80 * p.score <= 100 * s.score and s.score <= p.score)
+select anchor_id, positive_id, cast(r as integer) as rank, negative_id, positive_score, negative_score from n where r <= 5""",
 }
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -98,4 +120,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_langid": op8_langid,
     "op9_urls": op9_urls,
     "op10_minhash": op10_minhash,
+    "op11_histpack": op11_histpack,
+    "op12_hardneg": op12_hardneg,
+    "op13_whitening": op13_whitening,
 }
