@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -10,6 +12,7 @@ from pyspark.sql import functions as F
 from boxlake.functions import grammar as G
 from boxlake.operators import geometry as geo
 from boxlake.operators.graph import connected_components
+from boxlake.session import written
 
 
 def exact_members(files: DataFrame, content: Column, path: str = "path") -> DataFrame:
@@ -69,20 +72,63 @@ def near_pairs(items: DataFrame, pairs: DataFrame, hash_a: str, hash_b: str, vec
     return gate.join(v.select(F.col(key).alias("a"), F.col(vector).alias("va")), "a").join(v.select(F.col(key).alias("b"), F.col(vector).alias("vb")), "b").filter(geo.mse(F.col("va"), F.col("vb")) <= most_mse).select("a", "b")
 
 
-def _tile(hash_a: str, hash_b: str, vector: str, key: str, most_a: int, most_b: int, most_mse: float):
-    """One block of a bucket against another, or itself: each row that links, and the smallest key it is connected with."""
+def bits_to_long(bits: Column) -> Column:
+    """An array of at most 64 zeros and ones as a long, the first the most significant."""
+    return F.aggregate(bits, F.lit(0).cast("long"), lambda a, x: F.shiftleft(a, 1).bitwiseOR(x.cast("long")))
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(key, ignore_index=True)
-        bits = [np.stack(pdf[h].to_numpy()).astype(np.float32) for h in (hash_a, hash_b)]
-        x, side = np.stack(pdf[vector].to_numpy()).astype(np.float64), pdf["side"].to_numpy()
+
+class _Gate:
+    """Which pairs of a tile pass either hash's gate, and met in no bucket before this one."""
+
+    def __init__(self, most: tuple[int, int], count: int, tags: list[str]) -> None:
+        self.most, self.count, self.tags = most, count, tags
+
+    def pairs(self, pdf: pd.DataFrame):
+        """Chunks of (places left, places right)."""
+        hashes = [pdf[c].to_numpy().astype(np.uint64) for c in ("_a", "_p")]
+        sizes = [int(pdf[c].iloc[0]) for c in ("_na", "_np")]
+        own = self.tags.index(pdf["tag"].iloc[0]), int(pdf["band"].iloc[0])
+        side = pdf["side"].to_numpy()
         left, right = np.flatnonzero(side <= 0), np.flatnonzero(side >= 0)
-        low = np.arange(len(pdf))
+        both = bool((side == 0).all())
         for at in range(0, len(left), 256):
             rows = left[at : at + 256]
-            far = [h[rows].sum(axis=1)[:, None] + h[right].sum(axis=1) - 2 * (h[rows] @ h[right].T) for h in bits]
-            i, j = np.nonzero((far[0] <= most_a) | (far[1] <= most_b))
+            near = np.zeros((len(rows), len(right)), bool)
+            for h, most in zip(hashes, self.most, strict=True):
+                near |= np.bitwise_count(h[rows][:, None] ^ h[right]) <= most
+            i, j = np.nonzero(near)
             a, b = rows[i], right[j]
+            if both:
+                a, b = a[a < b], b[a < b]
+            new = np.ones(len(a), bool)
+            for t, (h, bits) in enumerate(zip(hashes, sizes, strict=True)):
+                width = bits // self.count
+                for band in range(self.count):
+                    if (t, band) < own:
+                        shift, mask = np.uint64(bits - width * (band + 1)), np.uint64((1 << width) - 1)
+                        new &= (h[a] ^ h[b]) >> shift & mask != 0
+            yield a[new], b[new]
+
+
+def _passing(gate: _Gate, columns: list[str]):
+    """Members of a tile with such a pair."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        seen = np.zeros(len(pdf), bool)
+        for a, b in gate.pairs(pdf):
+            seen[a] = seen[b] = True
+        return pdf[seen][columns]
+
+    return run
+
+
+def _tile(gate: _Gate, vector: str, key: str, most_mse: float):
+    """One block of a bucket against another, or itself: each row that links, and the smallest key it is connected with."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(key, ignore_index=True)
+        x, low = np.stack(pdf[vector].to_numpy()).astype(np.float64), np.arange(len(pdf))
+        for a, b in gate.pairs(pdf):
             open_ = (a != b) & (low[a] != low[b])
             a, b = a[open_], b[open_]
             for k in range(0, len(a), 65_536):
@@ -114,18 +160,89 @@ def near_links(items: DataFrame, hashes: dict[str, str], count: int, vector: str
     """(a, b): links enough to connect whatever ``near_pairs`` over ``candidates`` connects, without a row a pair.
 
     Buckets are cut into blocks of about ``block`` rows, and blocks compared inside a task, which gives back at most one row
-    a member; so a hot bucket is many tasks, and its pairs are never written. hashes: two columns of bits, by tag.
+    a member; so a hot bucket is many tasks, and its pairs are never written. Two phases: the hashes alone, as longs, go
+    through all buckets; vectors then go only to the tiles where their row has a pair that passes the hashes' gate and met
+    in no earlier bucket. hashes: two columns of at most 64 bits, by tag.
     """
     hash_a, hash_b = hashes.values()
-    most_a, most_b = most_bits if isinstance(most_bits, tuple) else (most_bits, most_bits)
+    most = most_bits if isinstance(most_bits, tuple) else (most_bits, most_bits)
+    gate = _Gate(most, count, list(hashes))
     posted, bucket = bands(items, hashes, count, key), ["tag", "band", "value"]
     sizes = posted.groupBy(*bucket).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").withColumn("parts", F.ceil(F.col("n") / block).cast("int"))
     cut = posted.join(sizes, bucket).withColumn("p", F.pmod(F.xxhash64(key), F.col("parts")).cast("int"))
     # Block p meets block o: as the left one where it is the smaller, as the right one where it is the larger.
     meet = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda o: F.struct(F.least(F.col("p"), o).alias("x"), F.greatest(F.col("p"), o).alias("y"), F.when(o == F.col("p"), 0).when(o > F.col("p"), -1).otherwise(1).alias("side")))
-    tiles = cut.select(key, *bucket, F.explode(meet).alias("m")).select(key, *bucket, "m.x", "m.y", "m.side").join(items.select(key, hash_a, hash_b, vector), key)
     kind = items.schema[key].dataType.simpleString()
-    return tiles.groupBy(*bucket, "x", "y").applyInPandas(_tile(hash_a, hash_b, vector, key, most_a, most_b, most_mse), f"a {kind}, b {kind}").distinct()
+    coded = items.select(key, bits_to_long(F.col(hash_a)).alias("_a"), bits_to_long(F.col(hash_b)).alias("_p"), F.size(hash_a).alias("_na"), F.size(hash_b).alias("_np"))
+    tiles = cut.select(key, *bucket, F.explode(meet).alias("m")).select(key, *bucket, "m.x", "m.y", "m.side").join(coded, key)
+    place = f"{key} {kind}, tag string, band int, value string, x int, y int, side int, _a long, _p long, _na int, _np int"
+    names = [c.split()[0] for c in place.split(", ")]
+    tile = [*bucket, "x", "y"]
+    passing = written(tiles.groupBy(*tile).applyInPandas(_passing(gate, names), place), "passing")
+    full = passing.join(items.select(key, vector), key)
+    return full.groupBy(*tile).applyInPandas(_tile(gate, vector, key, most_mse), f"a {kind}, b {kind}").distinct()
+
+
+def piece_limits(radius: int, pieces: int) -> list[int]:
+    """Most bits in which each piece may differ: two hashes within ``radius`` keep at least one of them, as the limits and
+    one each add up to radius + 1. -1 means that the others suffice."""
+    each, more = divmod(radius + 1, pieces)
+    return [each - 1 + (i < more) for i in range(pieces)]
+
+
+def hash_classes(items: DataFrame, key: str, hash_col: str) -> DataFrame:
+    """(key, hash, rep): rows with a hash, and the smallest key that has the same one."""
+    rows = items.select(key, F.col(hash_col).alias("hash")).filter("hash is not null")
+    return rows.join(rows.groupBy("hash").agg(F.min(key).alias("rep")), "hash").select(key, "hash", "rep")
+
+
+def hamming_join(items: DataFrame, key: str, hash_col: str, radius: int, pieces: int = 4) -> DataFrame:
+    """(a, b, bits, n_a, n_b): pairs of different 64-bit hashes that differ in at most ``radius`` bits, none missed.
+
+    A pair stands once, a < b, for the smallest keys of its two hashes, of which n_a and n_b rows have one; rows of one hash
+    are ``hash_classes``. Hashes are cut into pieces; one piece of a near pair differs in at most its limit's bits
+    (``piece_limits``), so each hash is posted under its pieces, and probes all values within the limit on the other side
+    (137 values of 16 bits for two bits, 697 for three). What meets is tested by counting bits, in the join itself, and
+    pairs that an earlier piece brings together are left to it. Null hashes and null keys take no part.
+    """
+    width = 64 // pieces
+    limits = piece_limits(radius, pieces)
+    rows = items.filter(F.col(key).isNotNull() & F.col(hash_col).isNotNull())
+    classes = written(rows.groupBy(F.col(hash_col).alias("h")).agg(F.min(key).alias("k"), F.count(F.lit(1)).alias("n")), "hashes")
+    sparse = classes.count() < 1 << width
+
+    def piece(h: Column, i: int) -> Column:
+        size = width if i < pieces - 1 else 64 - width * i
+        return F.shiftrightunsigned(h, width * i).bitwiseAND(F.lit((1 << size) - 1))
+
+    out = None
+    for i, limit in enumerate(limits):
+        if limit < 0:
+            continue
+        size = width if i < pieces - 1 else 64 - width * i
+        masks = [sum(1 << b for b in at) for k in range(limit + 1) for at in combinations(range(size), k)]
+        posted = classes.select(F.col("k").alias("b"), F.col("h").alias("hb"), F.col("n").alias("n_b"), piece(F.col("h"), i).alias("value"))
+        probes = classes.select(F.col("k").alias("a"), F.col("h").alias("ha"), F.col("n").alias("n_a"), F.explode(F.transform(F.lit(masks), lambda m: piece(F.col("h"), i).bitwiseXOR(m.cast("long")))).alias("value"))
+        if sparse:  # values that nothing is posted under: at most 2 ** width of them are
+            probes = probes.join(F.broadcast(posted.select("value").distinct()), "value", "left_semi")
+        apart = F.col("ha").bitwiseXOR(F.col("hb"))
+        on = (probes["value"] == posted["value"]) & (F.col("a") < F.col("b")) & (F.bit_count(apart) <= radius)
+        for j in range(i):
+            if limits[j] >= 0:
+                on = on & (F.bit_count(piece(apart, j)) > limits[j])
+        met = probes.join(posted, on).select("a", "b", F.bit_count(apart).alias("bits"), "n_a", "n_b")
+        out = met if out is None else out.unionByName(met)
+    return out
+
+
+def hamming_links(items: DataFrame, key: str, hash_col: str, radius: int, pieces: int = 4) -> DataFrame:
+    """(key, rep, n_links): every row with a hash, the smallest key of its hash, and how many other rows lie within ``radius``."""
+    pairs = hamming_join(items, key, hash_col, radius, pieces)
+    ways = pairs.select(F.explode(F.array(F.struct(F.col("a").alias("rep"), F.col("n_b").alias("n")), F.struct(F.col("b").alias("rep"), F.col("n_a").alias("n")))).alias("w"))
+    near = ways.groupBy("w.rep").agg(F.sum("w.n").alias("n"))
+    members = hash_classes(items.filter(F.col(key).isNotNull()), key, hash_col)
+    same = members.groupBy("rep").agg(F.count(F.lit(1)).alias("same"))
+    return members.join(same, "rep").join(near, "rep", "left").select(key, "rep", (F.col("same") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"))
 
 
 def near_members(pairs: DataFrame) -> DataFrame:

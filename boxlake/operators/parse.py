@@ -94,16 +94,16 @@ def parse_reviews(lines: DataFrame, policy: StatusPolicy, line_col: str = "line"
     return out.filter(F.col("status").isin(1, 2)) if policy is StatusPolicy.APPLY else out
 
 
-def parse_keypoint_index(files: DataFrame, text_col: str = "text") -> DataFrame:
-    """(idx, name, comment): one row per non-blank line, split at the first '#'."""
+def parse_keypoint_index(files: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """(idx, name, comment), after the columns of ``keep``: one row per non-blank line of each file, split at the first '#'."""
     lines = F.filter(F.split(F.col(text_col), r"\r\n|\r|\n"), lambda x: x.rlike(r"(?U)\S"))
-    out = files.select(F.posexplode(lines).alias("idx", "line"))
+    out = files.select(*keep, F.posexplode(lines).alias("idx", "line"))
     strip = lambda c: F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
-    return out.select("idx", strip(F.split("line", "#", 2)[0]).alias("name"), strip(F.coalesce(F.get(F.split("line", "#", 2), 1), F.lit(""))).alias("comment"))
+    return out.select(*keep, "idx", strip(F.split("line", "#", 2)[0]).alias("name"), strip(F.coalesce(F.get(F.split("line", "#", 2), 1), F.lit(""))).alias("comment"))
 
 
-def parse_skeleton(files: DataFrame, text_col: str = "text") -> DataFrame:
-    """(ord, n1, n2): the pairs ``[a, b]`` anywhere in the text, each once, in order of first occurrence."""
+def parse_skeleton(files: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """(ord, n1, n2), after the columns of ``keep``: the pairs ``[a, b]`` anywhere in each file's text, each once, in order of first occurrence."""
     pair = r"\[\s*([^\[\],\s]+)\s*,\s*([^\[\],\s]+)\s*\]"
     found = F.arrays_zip(F.regexp_extract_all(F.col(text_col), F.lit(pair), 1).alias("n1"), F.regexp_extract_all(F.col(text_col), F.lit(pair), 2).alias("n2"))
-    return files.select(F.posexplode(F.array_distinct(found)).alias("ord", "p")).select("ord", F.col("p.n1").alias("n1"), F.col("p.n2").alias("n2"))
+    return files.select(*keep, F.posexplode(F.array_distinct(found)).alias("ord", "p")).select(*keep, "ord", F.col("p.n1").alias("n1"), F.col("p.n2").alias("n2"))

@@ -47,9 +47,9 @@ def edges(pts: DataFrame, skeleton: DataFrame, index: DataFrame) -> DataFrame:
     return a.join(_few(pairs), "i1").join(b, ["base", "i2"]).select("base", "ord", "ax", "ay", "bx", "by")
 
 
-def header(index: DataFrame) -> DataFrame:
-    """(idx, title): the comment where there is one, else the name."""
-    return index.select("idx", F.coalesce(F.nullif("comment", F.lit("")), F.col("name")).alias("title"))
+def header(index: DataFrame, keep: tuple[str, ...] = ("idx",)) -> DataFrame:
+    """(idx, title), or the columns of ``keep`` and title: the comment where there is one, else the name."""
+    return index.select(*keep, F.coalesce(F.nullif("comment", F.lit("")), F.col("name")).alias("title"))
 
 
 def crop_state(images: DataFrame, objects: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from boxlake.functions import grammar as G
 from boxlake.operators import geometry as geo
 from boxlake.operators.order import numbered
 from boxlake.operators.parse import crop_class, decode_crop
+from boxlake.session import written
 
 #: Prediction directory -> detector classes; class -> label, colour; class -> destination directory.
 TAXONOMY = {"unknown": (3,), "O_Bike": (2,), "O_Person": (0,), "O_Vehicle": (1,)}
@@ -59,10 +60,11 @@ def class_order(cls: Column) -> Column:
 def review_order(crops: DataFrame) -> DataFrame:
     """(pred_dir, crop_name, ord, pos, total, group_pos, group_start, group_count), zero-based positions in review order.
 
-    Ranges of the order are sorted in parallel (``order.numbered``); group starts come from one row a class group.
+    Names are decoded once and written with their class group; ranges of the order are then sorted in parallel
+    (``order.numbered``), and group starts come from one row a class group.
     """
-    named = decode_crop(crops.select("pred_dir", "crop_name")).select("pred_dir", "crop_name", class_order(F.col("cls")).alias("ord"))
-    out = numbered(named, "ord", "pred_dir", "crop_name")
+    decoded = decode_crop(crops.select("pred_dir", "crop_name")).select("pred_dir", "crop_name", class_order(F.col("cls")).alias("ord"))
+    out = numbered(written(decoded, "decoded"), "ord", "pred_dir", "crop_name")
     # At most five values of ord.
     groups = out.groupBy("ord").agg(F.min("pos").alias("group_start"), F.count(F.lit(1)).alias("group_count"))
     total = groups.agg(F.sum("group_count").alias("total"))

@@ -78,7 +78,7 @@ def duck(sql: str, *names: str) -> str:
     ctes = ",\n".join(f"{n} as ({bodies[n]})" for n in order)
     rest = sql.strip()
     if rest.startswith("with recursive "):
-        return f"with recursive {ctes},\n{rest[15:]}"
+        return f"with recursive {ctes},\n{rest[15:]}" if ctes else rest
     if rest.startswith("with "):
         return f"with {ctes},\n{rest[5:]}" if ctes else rest
     return f"with {ctes}\n{rest}" if ctes else rest

@@ -378,19 +378,24 @@ def apply_totals(s, d):
 
 
 def _files(s, d):
-    """Two thirds of the crops, by length of name, are still on disk."""
-    return view(s, d, "v_crops").filter("(length(crop_name) + status) % 3 <> 0").select(F.concat_ws("/", "pred_dir", "crop_name").alias("relkey"))
+    """Crops whose image is there, by its state: the others are gone from disk."""
+    there = view(s, d, "v_images").filter("state <> 'missing'").select("base")
+    return view(s, d, "v_crops").join(there, "base", "left_semi").select(F.concat_ws("/", "pred_dir", "crop_name").alias("relkey"))
 
 
-_FILES = "f as (select pred_dir || '/' || crop_name as relkey, crop_name as name from v_crops where (length(crop_name) + status) % 3 <> 0)"
+_FILES = "f as (select pred_dir || '/' || crop_name as relkey from v_crops where base in (select base from v_images where state <> 'missing'))"
 
 
-@query(f"{_REVIEWS}, {_FILES} select t.relkey, case when f.relkey is null then 'missing' else 'delete' end as op from (select distinct relkey from ok where status in (1, 2)) t left join f on f.relkey = t.relkey", "v_review_lines", "v_crops")
+@query(f"{_REVIEWS}, {_FILES} select t.relkey, case when f.relkey is null then 'missing' else 'delete' end as op from (select distinct relkey from ok where status in (1, 2)) t left join f on f.relkey = t.relkey", "v_review_lines", "v_crops", "v_images")
 def purge_plan(s, d):
     return val.purge_plan(parse.parse_reviews(view(s, d, "v_review_lines"), parse.StatusPolicy.PURGE), _files(s, d))
 
 
-_ROUTE = f"""with {_FILES}, p as (select relkey, name, cast(trunc(try_cast(string_split(name, '_')[-5] as double)) as integer) as cls from f),
+def _all_files(s, d):
+    return view(s, d, "v_crops").select(F.concat_ws("/", "pred_dir", "crop_name").alias("relkey"))
+
+
+_ROUTE = """with p as (select pred_dir || '/' || crop_name as relkey, crop_name as name, cast(trunc(try_cast(string_split(crop_name, '_')[-5] as double)) as integer) as cls from v_crops),
 r as (select relkey, case when cls in (0, 1, 2) then 'move' else 'skip_unknown' end as op, case cls when 0 then 'O_Person' when 1 then 'O_Vehicle' when 2 then 'O_Bike' end as dir, name from p),
 n as (select *, row_number() over (partition by op, dir, name order by relkey) - 1 as k from r),
 z as (select relkey, op, case when op = 'move' then dir || '/' || case when k = 0 then name else regexp_replace(name, '\\.jpg$', '') || '_dup' || k || '.jpg' end end as dst from n)"""
@@ -398,7 +403,7 @@ z as (select relkey, op, case when op = 'move' then dir || '/' || case when k =
 
 @query(f"{_ROUTE} select * from z", "v_crops")
 def route_plan(s, d):
-    return val.route_plan(_files(s, d))
+    return val.route_plan(_all_files(s, d))
 
 
 @query(f"{_ROUTE} select op, count(*) as n from z group by op", "v_crops")
@@ -407,10 +412,10 @@ def route_totals(s, d):
 
 
 @query(
-    f"""{_REVIEWS}, {_ROUTE[5:]}, t as (select distinct relkey from ok where status in (1, 2)), u as (select case when f.relkey is null then 'missing' else 'delete' end as op from t left join f on f.relkey = t.relkey)
+    f"""{_REVIEWS}, {_FILES}, {_ROUTE[5:]}, t as (select distinct relkey from ok where status in (1, 2)), u as (select case when f.relkey is null then 'missing' else 'delete' end as op from t left join f on f.relkey = t.relkey)
 select (select count(*) from ok) as lines, (select count(*) from ok where status in (1, 2)) as targets, (select count(*) from u where op = 'delete') as deleted_ok, (select count(*) from u where op = 'missing') as deleted_miss,
   count(*) filter (where op = 'move') as moved_ok, count(*) filter (where op = 'skip_parse') as skip_parse, count(*) filter (where op = 'skip_nonimg') as skip_nonimg, count(*) filter (where op = 'skip_unknown') as skip_unknown from z""",
-    "v_review_lines", "v_crops",
+    "v_review_lines", "v_crops", "v_images",
 )
 def purge_report(s, d):
     reviews = parse.parse_reviews(view(s, d, "v_review_lines"), parse.StatusPolicy.PURGE).select("relkey", "status")
@@ -438,16 +443,12 @@ def apply_report(s, d):
     return val.apply_report(view(s, d, "v_crops"), view(s, d, "v_images"), view(s, d, "v_boxes"))
 
 
-def _all_files(s, d):
-    return view(s, d, "v_crops").select(F.concat_ws("/", "pred_dir", "crop_name").alias("relkey"))
-
-
-@query()
+@query(f"{_ROUTE} select * from z", "v_crops")
 def route_all_plan(s, d):
     return val.route_plan(_all_files(s, d))
 
 
-@query()
+@query(f"{_ROUTE} select op, count(*) as n from z group by op", "v_crops")
 def route_all_totals(s, d):
     return val.route_summary(route_all_plan(s, d))
 
@@ -535,23 +536,76 @@ def two_stage_totals(s, d):
     return dedup.stage_totals(two_stage_dups(s, d))
 
 
-@query("select vec_id, cast(bit_count(xor(vec_id * 7919, vec_id * 104729)) as integer) as bits from embeddings")
+def _hashes(s, d):
+    """Two 64-bit hashes of each embedding: components above their mean, and above zero."""
+    return view(s, d, "v_prep").select("vec_id", *[dedup.bits_to_long(F.col(c)).alias(c) for c in _HASHES.values()])
+
+
+_BITS = "cast(list_sum(list_transform(list_zip({a}, {b}), lambda z: case when z[1] = z[2] then 0 else 1 end)) as integer)"
+
+
+@query(f"select vec_id, {_BITS.format(a='ahash', b='phash')} as bits from v_prep", "v_prep")
 def hash_distance(s, d):
-    return view(s, d, "embeddings").select("vec_id", geo.hamming(F.col("vec_id") * 7919, F.col("vec_id") * 104729).alias("bits"))
+    return _hashes(s, d).select("vec_id", geo.hamming(F.col("ahash"), F.col("phash")).alias("bits"))
+
+
+def _within(column: str, radius: int) -> str:
+    return f"with c as (select min(vec_id) as k, {column} as h, count(*) as n from v_prep group by {column}) select x.k as a, y.k as b, {_BITS.format(a='x.h', b='y.h')} as bits, x.n as n_a, y.n as n_b from c x join c y on x.k < y.k and {_BITS.format(a='x.h', b='y.h')} <= {radius}"
+
+
+@query(_within("phash", 11), "v_prep")
+def hamming_pairs_sign(s, d):
+    return dedup.hamming_join(_hashes(s, d), "vec_id", "phash", 11)
+
+
+@query(_within("ahash", 12), "v_prep")
+def hamming_pairs_mean(s, d):
+    return dedup.hamming_join(_hashes(s, d), "vec_id", "ahash", 12)
+
+
+@query(f"select x.vec_id, (select min(vec_id) from v_prep m where m.phash = x.phash) as rep, (select count(*) from v_prep y where y.vec_id <> x.vec_id and {_BITS.format(a='x.phash', b='y.phash')} <= 11) as n_links from v_prep x", "v_prep")
+def hamming_link_counts(s, d):
+    return dedup.hamming_links(_hashes(s, d), "vec_id", "phash", 11)
 
 
 # --- clusters ----------------------------------------------------------------------------------------------------------
-@query("with a as (select count(*) as n, count(*) as sample_n, count(distinct sha1(text)) as uniq from documents), b as (select *, uniq / cast(greatest(1, sample_n) as double) as uniq_ratio from a), c as (select *, cast(round_even(uniq_ratio * n, 0) as bigint) as k_est, greatest(2, cast(ceil(n * cast(0.1 as double)) as bigint)) as min_k, least(n, cast(ceil(n * cast(0.3 as double)) as bigint)) as max_k from b) select n, sample_n, uniq, uniq_ratio, k_est, min_k, max_k, greatest(min_k, least(max_k, k_est)) as k from c")
+def _draw(key: str, seed: int) -> str:
+    return f"cast('0x' || substr(md5(coalesce({key}, '') || ':{seed}'), 1, 15) as bigint)"
+
+
+_K = """b as (select n, sample_n, uniq, uniq / cast(greatest(1, sample_n) as double) as uniq_ratio from a), c as (select *, cast(round_even(uniq_ratio * n, 0) as bigint) as k_est, greatest(2, cast(ceil(n * cast(0.1 as double)) as bigint)) as min_k, least(n, cast(ceil(n * cast(0.3 as double)) as bigint)) as max_k from b),
+kk as (select n, sample_n, uniq, uniq_ratio, k_est, min_k, max_k, greatest(min_k, least(max_k, k_est)) as k from c)"""
+_DRAWN = f"(select * from documents order by {_draw('cast(doc_id as varchar)', 12345)} limit 2000)"
+
+
+@query(f"with a as (select count(*) as n, count(*) as sample_n, count(distinct sha1(text)) as uniq from documents), {_K} select * from kk")
 def k_estimate(s, d):
-    return cluster.k_estimate(view(s, d, "documents"), F.sha1(F.col("text").cast("binary")), "doc_id", sample_max=1 << 30)
+    return cluster.k_estimate(view(s, d, "documents"), F.sha1(F.col("text").cast("binary")), "doc_id", sample_max=None)
 
 
-@query()
+@query(f"with a as (select (select count(*) from documents) as n, count(*) as sample_n, count(distinct sha1(text)) as uniq from {_DRAWN}), {_K} select * from kk")
 def k_estimate_sampled(s, d):
     return cluster.k_estimate(view(s, d, "documents"), F.sha1(F.col("text").cast("binary")), "doc_id")
 
 
-@query()
+_UNIT = "u as (select vec_id, list_transform(embedding::double[], lambda x: x / sqrt(list_sum(list_transform(embedding::double[], lambda y: y * y)))) as v from embeddings)"
+_DOT = "round(list_sum(list_transform(list_zip({}.v, {}.v), lambda z: z[1] * z[2])), 12)"
+_PICKED = f"""p as (select * from (select vec_id, v, {_draw("cast(vec_id as varchar)", 12345)} as h from u) q order by h, vec_id POOL),
+w(ord, chosen, vec_id, best) as (
+  select 0, c.vec_id, p.vec_id, {_DOT.format("p", "c")} from p, (select * from p order by h, vec_id limit 1) c
+  union all
+  select x.ord + 1, x.pick, p.vec_id, greatest(x.best, {_DOT.format("p", "c")}) from (select *, first_value(vec_id) over (order by best, vec_id) as pick from w where ord + 1 < MOST) x join p on p.vec_id = x.vec_id join p c on c.vec_id = x.pick),
+reps as (select distinct ord, chosen as rep from w)"""
+_NEAREST = f"""s as (select a.vec_id, b.vec_id as rep, {_DOT.format("a", "b")} as sim from u a, u b where b.vec_id in (select rep from reps)),
+n as (select vec_id, rep, sim from (select *, row_number() over (partition by vec_id order by sim desc, rep) as r from s) where r = 1),
+g as (select rep, vec_id, case when row_number() over (partition by rep order by sim desc, vec_id) = 1 then 'rep' else 'dup' end as role from n)"""
+#: Representatives as the reference's estimate chooses them out of a pool, and a stated number of them out of all rows.
+_POOLED = f"""with recursive {_UNIT}, a as (select (select count(*) from u) as n, count(*) as sample_n, count(distinct list_transform(v, lambda x: floor(x * 255))) as uniq from (select * from u order by {_draw("cast(vec_id as varchar)", 12345)} limit 2000)),
+{_K}, {_PICKED.replace("POOL", "limit 5000").replace("MOST", "(select k from kk)")}, {_NEAREST}"""
+_COVER = f"with recursive {_UNIT}, {_PICKED.replace('POOL', '').replace('MOST', '64')}, {_NEAREST}"
+
+
+@query(f"{_POOLED} select ord, rep as vec_id from reps")
 def fps_reps(s, d):
     e = view(s, d, "embeddings")
     coarse = F.transform(geo.l2_normalized(F.col("embedding")), lambda x: F.floor(x * 255))
@@ -561,52 +615,51 @@ def fps_reps(s, d):
 
 def _grouped(s, d):
     e = view(s, d, "embeddings")
-    return cluster.nearest_of_pool(e, e.join(fps_reps(s, d), "vec_id", "left_semi"), "vec_id", "embedding")
+    return cluster.nearest(e, e.join(fps_reps(s, d), "vec_id", "left_semi"), "vec_id", "embedding")
 
 
-@query()
+@query(f"{_POOLED} select vec_id, rep from n")
 def fps_nearest(s, d):
     return _grouped(s, d).select("vec_id", "rep")
 
 
-@query()
+@query(f"{_POOLED} select rep, vec_id, role from g")
 def fps_pick(s, d):
     return cluster.pick_best(_grouped(s, d), "vec_id")
 
 
-@query()
+@query(f"{_POOLED} select count(*) filter (where role = 'rep') as reps, count(*) filter (where role = 'dup') as dups, count(*) as written from g")
 def fps_totals(s, d):
     return cluster.write_totals(fps_pick(s, d))
 
 
-_SIM = """u as (select vec_id, list_transform(embedding::double[], lambda x: x / sqrt(list_sum(list_transform(embedding::double[], lambda y: y * y)))) as v from embeddings),
-s as (select a.vec_id, b.vec_id as rep, round(list_sum(list_transform(list_zip(a.v, b.v), lambda z: z[1] * z[2])), 12) as sim from u a cross join u b where b.vec_id < 16),
-n as (select vec_id, rep, sim from (select *, row_number() over (partition by vec_id order by sim desc, rep) as r from s) where r = 1),
-g as (select rep, vec_id, case when row_number() over (partition by rep order by sim desc, vec_id) = 1 then 'rep' else 'dup' end as role from n)"""
+@query(f"{_COVER} select ord, rep as vec_id from reps")
+def cover_reps(s, d):
+    return cluster.farthest_cover(view(s, d, "embeddings"), 64, "vec_id", "embedding")
 
 
 def _assigned(s, d):
     e = view(s, d, "embeddings")
-    return cluster.nearest(e, e.filter("vec_id < 16"), "vec_id", "embedding")
+    return cluster.nearest(e, e.join(cover_reps(s, d), "vec_id", "left_semi"), "vec_id", "embedding")
 
 
-@query(f"with {_SIM} select vec_id, rep from n")
+@query(f"{_COVER} select vec_id, rep from n")
 def nearest_rep(s, d):
     return _assigned(s, d).select("vec_id", "rep")
 
 
-@query(f"with {_SIM} select rep, vec_id, role from g")
+@query(f"{_COVER} select rep, vec_id, role from g")
 def group_pick(s, d):
     return cluster.pick_best(_assigned(s, d), "vec_id")
 
 
-@query(f"with {_SIM} select count(*) filter (where role = 'rep') as reps, count(*) filter (where role = 'dup') as dups, count(*) as written from g")
+@query(f"{_COVER} select count(*) filter (where role = 'rep') as reps, count(*) filter (where role = 'dup') as dups, count(*) as written from g")
 def group_totals(s, d):
     return cluster.write_totals(group_pick(s, d))
 
 
 @query(
-    f"""with {_SIM}, m as (select rep, vec_id, role, 'img_' || (vec_id % 50) || '.jpg' as name, dense_rank() over (order by rep) - 1 as no from g),
+    f"""{_COVER}, m as (select rep, vec_id, role, 'img_' || (vec_id % 50) || '.jpg' as name, dense_rank() over (order by rep) - 1 as no from g),
 k as (select *, 'group_' || lpad(cast(no as varchar), 4, '0') as grp, row_number() over (partition by rep, role, name order by vec_id) - 1 as turn, row_number() over (partition by role, name order by no) - 1 as other from m)
 select 'copy' as op, vec_id, '/k/' || grp || case role when 'rep' then '/' else '/DUPS/' end || case when turn = 0 then name else replace(name, '.jpg', '') || '_dup' || turn || '.jpg' end as dst from k
 union all select 'copy', vec_id, '/k/KEEP_DIR/' || case when other = 0 then name else grp || '__' || name end from k where role = 'rep'""",
@@ -623,7 +676,7 @@ def unit_vectors(s, d):
     return view(s, d, "embeddings").select("vec_id", F.transform(geo.l2_normalized(F.col("embedding")), lambda x: F.round(x, 6)).alias("unit"))
 
 
-@query(f"with {_SIM} select vec_id, round(sim, 6) as sim from s where rep = 0 order by s.sim desc, vec_id limit 10")
+@query(f"with {_UNIT} select a.vec_id, round({_DOT.format('a', 'b')}, 6) as sim from u a, u b where b.vec_id = 0 order by {_DOT.format('a', 'b')} desc, a.vec_id limit 10")
 def cosine_topk(s, d):
     e = view(s, d, "embeddings").select("vec_id", geo.l2_normalized(F.col("embedding")).alias("v"))
     q = F.broadcast(e.filter("vec_id = 0").select(F.col("v").alias("q")))
@@ -631,10 +684,13 @@ def cosine_topk(s, d):
     return top.orderBy(F.col("sim").desc(), "vec_id").limit(10).select("vec_id", F.round("sim", 6).alias("sim"))
 
 
-@query()
+_BOX_KEY = "base || '|' || l_linenumber || '|' || printf('%.6f', xc) || '|' || printf('%.6f', yc) || '|' || printf('%.6f', w) || '|' || printf('%.6f', h)"
+
+
+@query(f"select base, cls, xc, yc, w, h from v_boxes order by {_draw(_BOX_KEY, 1)} limit 1000", "v_boxes")
 def sample_exact_n(s, d):
-    boxes = view(s, d, "v_boxes")
-    return cluster.sample_exact(boxes, 1000, F.struct("base", "l_linenumber", "xc", "yc", "w", "h")).select("base", "cls", "xc", "yc", "w", "h")
+    key = F.concat_ws("|", "base", "l_linenumber", *[F.format_string("%.6f", c) for c in ("xc", "yc", "w", "h")])
+    return cluster.sample_exact(view(s, d, "v_boxes"), 1000, key).select("base", "cls", "xc", "yc", "w", "h")
 
 
 # --- poses -------------------------------------------------------------------------------------------------------------
@@ -648,15 +704,31 @@ def _text(s, text):
     return s.range(1).select(F.lit(text).alias("text"))
 
 
-@query(f"with {_INDEX} select idx, name, comment, coalesce(nullif(comment, ''), name) as title from i")
+def _numbered_files(s, d, line):
+    """(file_no, text): small text files, seventeen lines of parts each, in order."""
+    lines = view(s, d, "part").select(F.floor(F.col("p_partkey") / 17).alias("file_no"), F.struct("p_partkey", line.alias("line")).alias("l"))
+    return lines.groupBy("file_no").agg(F.array_join(F.transform(F.sort_array(F.collect_list("l")), lambda x: x["line"]), "").alias("text"))
+
+
+@query(
+    """with l as (select cast(floor(p_partkey / 17) as bigint) as file_no, p_partkey, p_name as name, case when p_partkey % 3 = 0 then p_type || ' # ' || p_brand else '' end as comment from part)
+select file_no, cast(row_number() over (partition by file_no order by p_partkey) - 1 as integer) as idx, name, comment, coalesce(nullif(comment, ''), name) as title from l"""
+)
 def kpt_index_parse(s, d):
-    index = parse.parse_keypoint_index(_text(s, _INDEX_TEXT))
-    return index.join(pose.header(index), "idx").select("idx", "name", "comment", "title")
+    comment = F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit(" # "), "p_type", F.lit(" # "), "p_brand")).otherwise("")
+    ends = F.when(F.col("p_partkey") % 5 == 0, "\n  \n").otherwise("\r\n")
+    files = _numbered_files(s, d, F.concat(F.lit("  "), "p_name", comment, ends))
+    return pose.header(parse.parse_keypoint_index(files, keep=("file_no",)), ("file_no", "idx", "name", "comment"))
 
 
-@query(f"with {_SKELETON} select * from k")
+@query(
+    """with l as (select cast(floor(p_partkey / 17) as bigint) as file_no, 'k' || (p_size % 4) as n1, 'k' || (p_partkey % 4) as n2, min(p_partkey) as pos from part group by 1, 2, 3)
+select file_no, cast(row_number() over (partition by file_no order by pos) - 1 as integer) as ord, n1, n2 from l"""
+)
 def skeleton_parse(s, d):
-    return parse.parse_skeleton(_text(s, _SKELETON_TEXT))
+    pair = F.concat(F.lit("[ k"), F.col("p_size") % 4, F.lit(",k"), F.col("p_partkey") % 4, F.lit("]"))
+    files = _numbered_files(s, d, F.concat(pair, F.when(F.col("p_partkey") % 2 == 0, " junk [x] ").otherwise(",\n")))
+    return parse.parse_skeleton(files, keep=("file_no",))
 
 
 def _objects(s, d):

@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from boxlake.operators import cluster, dedup, geometry as geo, joins, pose, stats, validate as val
+from boxlake.operators import cluster, dedup, geometry as geo, joins, pivots, pose, sampling, stats, validate as val
 from boxlake.operators.graph import connected_components
 from boxlake.plans.fixtures import view
 from boxlake.plans.queries import QUERIES
@@ -219,7 +219,7 @@ def test_farthest_points_equal_brute_force(spark):
     rng = np.random.default_rng(4)
     rows = [(i, rng.standard_normal(8).tolist()) for i in range(60)]
     df = spark.createDataFrame(rows, "id long, v array<double>")
-    first = df.orderBy(F.xxhash64("id", F.lit(12345))).first().id
+    first = df.orderBy(sampling.draw(F.col("id"), 12345)).first().id
     got = [r.id for r in cluster.farthest_points(df, 12, "id", "v").orderBy("ord").collect()]
     assert got == plain_farthest([v for _, v in rows], first, 12)
     pool = {r.id for r in cluster.sample_exact(df, 20, F.col("id"), 12345).collect()}
@@ -228,11 +228,11 @@ def test_farthest_points_equal_brute_force(spark):
 
 def test_samples_are_the_smallest_hashes(spark):
     df = spark.range(500)
-    hashes = sorted((r.h, r.id) for r in df.select("id", F.xxhash64("id", F.lit(7)).alias("h")).collect())
+    hashes = sorted((r.h, r.id) for r in df.select("id", sampling.draw(F.col("id"), 7).alias("h")).collect())
     assert {r.id for r in cluster.sample_exact(df.repartition(5), 40, F.col("id"), 7).collect()} == {i for _, i in hashes[:40]}
     assert cluster.sample_exact(df, 1000, F.col("id")).count() == 500
     items = df.withColumn("s", F.col("id") % 30)
-    hashes = sorted((r.h, r.id) for r in df.select("id", F.xxhash64("id", F.lit(12345)).alias("h")).collect())
+    hashes = sorted((r.h, r.id) for r in df.select("id", sampling.draw(F.col("id"), 12345).alias("h")).collect())
     uniq = len({i % 30 for _, i in hashes[:100]})
     r = cluster.k_estimate(items, F.col("s"), "id", sample_max=100).first()
     assert (r.n, r.sample_n, r.uniq, r.k) == (500, 100, uniq, max(50, min(150, round(uniq / 100 * 500))))
@@ -268,3 +268,121 @@ def test_links_by_blocks_connect_what_pairs_connect(spark, block):
     want = {tuple(r) for r in dedup.near_members(pairs).collect()}
     assert {tuple(r) for r in dedup.near_members(links).collect()} == want and len({c for _, c in want}) > 1
     assert dedup.near_members(dedup.near_links(items.limit(0), {"a": "a", "p": "p"}, 4, "v", "k", 5, 0.2)).count() == 0
+
+
+def test_samples_take_some_of_equal_rows(spark):
+    df = spark.createDataFrame([(1, "a")] * 30 + [(1, "b")] * 5 + [(None, "c")] * 4, "k long, v string").repartition(4)
+    for n in (0, 1, 7, 33, 38, 39, 50):
+        got = cluster.sample_exact(df, n, F.col("k")).collect()
+        assert len(got) == min(n, 39)
+        want = sorted(df.select(sampling.draw(F.col("k"), 1).alias("h")).collect())[:n]
+        assert sorted(r.h for r in spark.createDataFrame(got, df.schema).select(sampling.draw(F.col("k"), 1).alias("h")).collect()) == [r.h for r in want]
+    assert cluster.sample_exact(df, None, F.col("k")).count() == 39 and cluster.sample_exact(df.limit(0), 3, F.col("k")).count() == 0
+    plan = cluster.k_estimate(df, F.col("v"), "k", sample_max=10)._jdf.queryExecution().toString()
+    assert "TakeOrdered" not in plan and "NestedLoop" not in plan
+
+
+def plain_nearest(items, reps):
+    unit = lambda v: np.array(v) / (np.linalg.norm(v) if np.linalg.norm(v) >= 1e-12 else 1.0)
+    sims = np.round(np.array([unit(v) for _, v in items]) @ np.array([unit(v) for _, v in sorted(reps)]).T, 12) + 0.0
+    return sorted((i, sorted(reps)[k][0], s) for (i, _), k, s in zip(items, sims.argmax(axis=1), sims.max(axis=1), strict=True))
+
+
+@pytest.mark.parametrize(("block", "tile", "pivot_count"), [(2048, 4096, 64), (3, 5, 4), (7, 50, 1)])
+def test_nearest_equals_all_pairs(spark, block, tile, pivot_count):
+    rng = np.random.default_rng(11)
+    centres = rng.standard_normal((6, 10))
+    rows = [(i, (centres[i % 6] + rng.standard_normal(10) * 0.2).tolist()) for i in range(150)]
+    rows += [(200 + i, rows[3][1]) for i in range(40)] + [(300, [0.0] * 10), (301, [-x for x in rows[3][1]]), (302, [2 * x for x in rows[3][1]])]
+    odd = [(None, rows[0][1]), (400, None), (401, [None] * 10), (402, [float("nan")] * 10)]
+    kind = "id long, v array<double>"
+    items = spark.createDataFrame(rows + odd, kind).withColumn("rep", F.lit(1)).withColumn("shell", F.lit("x"))
+    for reps in (rows[:60], [*rows[:20], (250, rows[5][1]), (300, [0.0] * 10)], [(300, [0.0] * 10)], [(7, rows[3][1]), (8, rows[3][1])]):
+        found = cluster.nearest(items, spark.createDataFrame([*reps, *odd], kind), "id", "v", pivots=pivot_count, block=block, tile=tile)
+        assert sorted((r.id, r.rep, round(r.sim, 9) + 0.0) for r in found.collect()) == [(i, k, round(s, 9) + 0.0) for i, k, s in plain_nearest(rows, reps)]
+    assert cluster.nearest(items, spark.createDataFrame([], kind), "id", "v").count() == 0
+    assert cluster.nearest(items.limit(0), items, "id", "v").count() == 0
+
+
+def test_bounds_skip_most_pairs(spark):
+    rng = np.random.default_rng(12)
+    centres = rng.standard_normal((40, 16))
+    rows = [(i, (centres[i % 40] + rng.standard_normal(16) * 0.05).tolist()) for i in range(2000)]
+    items = spark.createDataFrame(rows, "id long, v array<double>")
+    found = cluster.nearest(items, items.filter("id < 800"), "id", "v")
+    assert pivots.share_computed(found, 800) < 0.1
+    assert sorted((r.id, r.rep) for r in found.collect()) == [(i, k) for i, k, _ in plain_nearest(rows, rows[:800])]
+
+
+def test_no_task_meets_all_pairs(spark, capfd):
+    items = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(20)], "id long, v array<double>")
+    shells, plans = pivots._met, []
+    pivots._met = lambda *a: plans.append(shells(*a)._jdf.queryExecution().toString()) or shells(*a)
+    try:
+        cluster.nearest(items, items, "id", "v").collect()
+    finally:
+        pivots._met = shells
+    assert plans and not any("Cartesian" in p or "NestedLoop" in p for p in plans)
+
+
+@pytest.mark.parametrize("group_rows", [40, 100])
+def test_covers_of_whole_tables(spark, group_rows):
+    rng = np.random.default_rng(13)
+    rows = [(i, rng.standard_normal(3).tolist()) for i in range(400)] + [(500, None), (501, [float("inf")] * 3)] + [(600, [1.0, 2.0, 3.0])] * 30
+    df = spark.createDataFrame(rows, "id long, v array<double>").repartition(3)
+    good = [v for _, v in rows if v is not None and np.isfinite(v).all()]
+    unit = np.array(good) / np.linalg.norm(good, axis=1)[:, None]
+    reach = lambda chosen: np.arccos(np.clip((unit @ chosen.T).max(axis=1), -1, 1)).max()
+    at = {i: np.array(v) / np.linalg.norm(v) for i, v in rows if v is not None}
+    got = [r.id for r in cluster.farthest_cover(df, 10, "id", "v", group_rows=group_rows).orderBy("ord").collect()]
+    assert len(set(got)) == 10
+    plain = reach(unit[plain_farthest(good, 0, 10)])
+    rounds = 3 if group_rows == 100 else 6
+    assert reach(np.array([at[i] for i in got])) <= 2 * rounds * plain  # and far below it in fact
+    assert reach(np.array([at[i] for i in got])) <= 2 * plain
+    whole = [r.id for r in cluster.farthest_cover(df, 10, "id", "v").orderBy("ord").collect()]
+    assert whole == [r.id for r in cluster.farthest_points(df, 10, "id", "v", pool_max=None).orderBy("ord").collect()]
+    assert cluster.farthest_cover(df.limit(0), 3, "id", "v").count() == 0 and cluster.farthest_cover(df.filter("id < 2"), 9, "id", "v").count() == 2
+    with pytest.raises(ValueError):
+        cluster.farthest_cover(df, 11, "id", "v", group_rows=40)
+
+
+@pytest.mark.parametrize("radius", [0, 1, 3, 4, 11, 12])
+def test_hamming_join_misses_no_pair(spark, radius):
+    rng = np.random.default_rng(radius)
+    base = rng.integers(0, 1 << 63, 12, dtype=np.uint64)
+    rows = []
+    for i in range(300):
+        h = int(base[i % 12])
+        for b in rng.choice(64, int(rng.integers(0, 9)), replace=False):
+            h ^= 1 << int(b)
+        rows.append((i, h - (1 << 64) if h >> 63 else h))
+    rows += [(300 + i, -1) for i in range(40)] + [(400, 0), (401, (1 << 11) - 1), (402, (1 << 12) - 1), (403, -(1 << 53))]
+    df = spark.createDataFrame(rows + [(None, 1), (500, None)], "id long, h long").withColumn("k", F.lit(1)).repartition(3)
+    by = {}
+    for i, h in rows:
+        by.setdefault(h, []).append(i)
+    classes = sorted((min(v), h, len(v)) for h, v in by.items())
+    far = lambda x, y: ((x ^ y) & (1 << 64) - 1).bit_count()
+    want = sorted((a, b, far(x, y), n, m) for k, (a, x, n) in enumerate(classes) for b, y, m in classes[k + 1 :] if far(x, y) <= radius)
+    assert sorted(map(tuple, dedup.hamming_join(df, "id", "h", radius).collect())) == want
+    assert sum(dedup.piece_limits(radius, 4)) + 4 == radius + 1
+    if radius == 11:
+        links = {r.id: (r.rep, r.n_links) for r in dedup.hamming_links(df, "id", "h", radius).collect()}
+        assert links == {i: (min(by[h]), sum(far(h, g) <= radius for _, g in rows) - 1) for i, h in rows} and len(want) > 100
+        assert dedup.hamming_join(df.limit(0), "id", "h", radius).count() == 0
+
+
+def test_vectors_move_only_for_pairs_that_pass(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, [0] * 8 + rng.integers(0, 2, 56).tolist(), [0] * 8 + rng.integers(0, 2, 56).tolist(), rng.random(4).tolist()) for i in range(200)]
+    rows += [(200 + i, rows[i][1], rows[i][2], rows[i][3]) for i in range(5)]
+    items = spark.createDataFrame(rows, "k long, a array<int>, p array<int>, v array<double>")
+    moved, kept = [], dedup.written
+    dedup.written = lambda df, label: moved.append(kept(df, label)) or moved[-1]
+    try:
+        links = dedup.near_links(items, {"a": "a", "p": "p"}, 8, "v", "k", (5, 5), 0.01, 64)
+        assert {(r.a, r.b) for r in links.collect()} == {(200 + i, i) for i in range(5)}
+    finally:
+        dedup.written = kept
+    assert moved[0].count() == 10  # of 205 rows in one hot bucket, and of 16 buckets for each copy
