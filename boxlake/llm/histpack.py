@@ -13,16 +13,19 @@ tail at powers of two, which need no padding. So padding is at most slack / capa
 
 from __future__ import annotations
 
+import json
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from boxlake.llm.bpe import CACHE, WordBpe
+from boxlake.llm.bpe import WordBpe, byte_letters
 from boxlake.llm.common import text_slices, vocabulary
 from boxlake.session import Scratch, size_bytes, written
 
@@ -31,16 +34,36 @@ LEAF_SQL = "part int, rank long, doc_id long, start long, length int, doc_tokens
 PLACED = "part int, rank long, length int, doc_id long, start long, cut long, size long, crc long, doc_tokens long, sequence_id long, offset long"
 #: Ranks of one length stay below this; a length stands above it in the keys of ranges.
 RANKS = 1 << 48
+#: Most chunks a task remembers, some 100 bytes each; then it starts anew.
+CACHE = 600_000
 #: Broadcast the first ranks of tasks up to this size; beyond it, they meet the pieces by a shuffle.
 BROADCAST_BYTES = 32 << 20
 
 
 class IdCoder(dict):
-    """Little-endian ids of texts under a word-end vocabulary; chunks between white space are remembered, up to ``CACHE``."""
+    """Little-endian ids of texts under a word-end vocabulary; chunks between white space are remembered, up to ``CACHE``.
+
+    New chunks are encoded all at once by tiktoken: a line feed, which no word holds, stands for the end of a word, and a
+    byte before it merges with it first, which gives the vocabulary's word-final letters. Each token comes of one merge, so
+    merging by the rank of what is made is merging by the rank of the pair. A lone line feed ends a chunk.
+    """
 
     def __init__(self, data: bytes) -> None:
         super().__init__()
         self.bpe = WordBpe(data)
+        spec = json.loads(data)["model"]
+        byte = {c: bytes([b]) for b, c in enumerate(byte_letters())}
+        end = spec["end_of_word_suffix"]
+
+        def spelled(token: str) -> bytes:
+            return b"".join([byte[c] for c in token.removesuffix(end)]) + (b"\n" if token.endswith(end) else b"")
+
+        made = [spelled("".join(m.split(" ") if isinstance(m, str) else m)) for m in spec["merges"]]
+        letters = [bytes([b]) for b in range(256)] + [bytes([b, 10]) for b in range(256) if b != 10]
+        ranks = {t: r for r, t in enumerate([*letters, *made])}
+        ids = {spelled(t): i for t, i in self.bpe.vocab.items()}
+        self.ids = np.array([ids.get(t, 0) for t in ranks], "<u4")
+        self.words = tiktoken.Encoding("word ends", pat_str=r"[^\n]*\n", mergeable_ranks=ranks, special_tokens={})
         self._forget()
 
     def _forget(self) -> None:
@@ -48,11 +71,15 @@ class IdCoder(dict):
         self.update((i, np.array([i], "<u4").tobytes()) for i in self.bpe.special.values())
 
     def learn(self, chunks: set[str]) -> None:
-        words: dict[bytes, int] = {}
-        todo = [(c, [words.setdefault(w, len(words)) for w in self.bpe.chunk_words(c)]) for c in chunks]
-        coded = [x.astype("<u4").tobytes() for x in self.bpe.encode_words(list(words))] if words else []
-        for c, own in todo:
-            self[c] = b"".join([coded[k] for k in own])
+        known = list(chunks)
+        text = "\n".join([*known, ""])
+        if not text.isascii():
+            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
+        found = self.words.encode_to_numpy(self.bpe.words.sub(r"\g<0>\n", text.lower()))
+        cuts = np.flatnonzero(found == 10)
+        data = self.ids[found].tobytes()
+        ends = (4 * cuts).tolist()
+        self.update((c, data[a:b]) for c, a, b in zip(known, [0, *(e + 4 for e in ends)], ends, strict=False))
 
     def rows(self, texts: list[str | None]) -> list[bytes]:
         split = [self.bpe.split(t) if any(s in t for s in self.bpe.special) else self.bpe._chunks(t) for t in (x or "" for x in texts)]
@@ -60,7 +87,8 @@ class IdCoder(dict):
         if len(self) + len(new) > CACHE:
             self._forget()
             new = set().union(*split).difference(self)
-        self.learn(new)
+        if new:
+            self.learn(new)
         return [b"".join(map(self.__getitem__, s)) for s in split]
 
 
@@ -244,5 +272,7 @@ def pack(docs: DataFrame, vocab_path: str, capacity: int = 4096, eot: int = 2, s
         return placed.select(*columns)
     # A cut piece, one a pack that was dissolved at most, gets its parts' checksums from its ids.
     placed = written(placed, "placed")
-    cut = placed.filter("crc is null").join(leaf.select("part", "length", "rank", "ids"), ["part", "length", "rank"])
+    cut = written(placed.filter("crc is null"), "cut")
+    cut = F.broadcast(cut) if size_bytes(cut) <= BROADCAST_BYTES else cut
+    cut = leaf.select("part", "length", "rank", "ids").join(cut, ["part", "length", "rank"])
     return placed.filter("crc is not null").select(*columns).unionByName(cut.mapInArrow(_checked, cut.schema).select(*columns))
