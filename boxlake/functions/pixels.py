@@ -147,9 +147,10 @@ def color_histogram(bgr: np.ndarray, bins: tuple[int, int, int] = (24, 8, 8)) ->
     return h.ravel() / max(1.0, h.sum())
 
 
-def feature(bgr: np.ndarray, shape_weight: float = 1.0, color_weight: float = 1.0) -> np.ndarray:
-    """Shape and colour, 5892 numbers, unit length."""
-    return unit(np.concatenate([shape_weight * gradients_histogram(bgr), color_weight * unit(color_histogram(bgr))])).astype(np.float32)
+def feature(bgr: np.ndarray, shape_weight: float = 1.0, color_weight: float = 1.0, size: int = 128) -> np.ndarray:
+    """Shape and colour of the image brought to a square, 5892 numbers, unit length."""
+    colors = color_histogram(resized(bgr, size))
+    return unit(np.concatenate([shape_weight * gradients_histogram(bgr), color_weight * unit(colors)])).astype(np.float32)
 
 
 def edges(image: np.ndarray, low: float = 50, high: float = 150) -> np.ndarray:
@@ -175,11 +176,13 @@ def edges(image: np.ndarray, low: float = 50, high: float = 150) -> np.ndarray:
         keep = grown
 
 
-def coarse_signature(bgr: np.ndarray, grid: int = 8, bins: tuple[int, int, int] = (12, 4, 4)) -> bytes:
-    """256 bytes: edge density of 8 x 8 cells, and a small colour histogram, both as bytes."""
-    density = resized(edges(gray(bgr)).astype(np.float64), grid)
+def coarse_signature(bgr: np.ndarray, grid: int = 8, bins: tuple[int, int, int] = (12, 4, 4), size: int = 128) -> bytes:
+    """256 bytes of the image brought to a square: edge density of 8 x 8 cells, and a small colour histogram, both as bytes."""
+    # Rounded, so that equal pixels stay equal where edges compare them.
+    small = np.round(resized(bgr, size), 6)
+    density = resized(edges(gray(small)).astype(np.float64), grid)
     cells = (density * 255).astype(np.uint8)
-    colors = np.clip(color_histogram(bgr, bins) * 255, 0, 255).astype(np.uint8)
+    colors = np.clip(color_histogram(small, bins) * 255, 0, 255).astype(np.uint8)
     return cells.tobytes() + colors.tobytes()
 
 

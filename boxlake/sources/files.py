@@ -1,18 +1,23 @@
 """File listings and text of annotation folders.
 
-Spark's readers leave out zero-byte files, so inventories come from Hadoop's listing, which any store that Spark reads
-answers; contents come from Spark's own readers.
+Spark's readers leave out zero-byte files, so inventories come from listings that tasks make; contents come from Spark's own
+readers.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
+from itertools import islice
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from boxlake.functions import grammar as G
 from boxlake.operators import parse
+from boxlake.session import written
+from boxlake.sources.store import reachable, store
 
 #: Image extensions by kind of scan.
 EXTENSIONS = {
@@ -29,21 +34,50 @@ SCHEMA = "path string, name string, size long"
 def listing(spark: SparkSession, roots: list[str] | str, recursive: bool = False, kind: str | None = None) -> DataFrame:
     """(path, name, size, dir, base, ext) of every file by path, empty ones too, flat or recursive; ``kind`` keeps its extensions.
 
-    The driver asks the store for names and sizes, as Spark's own file index does; nothing is opened. Missing folders give
-    no rows.
+    Tasks list folders, a level of the tree a job: what a folder holds is written as it is found, folders among it are the
+    next level's rows, and no name passes through the driver. Nothing is opened. Missing folders give no rows; links to
+    folders are not followed. For a store that tasks don't reach (``store.SCHEMES``) the driver asks Hadoop instead.
     """
+    roots = [qualified(spark, r) for r in ([roots] if isinstance(roots, str) else roots)]
+    out = _by_tasks(spark, roots, recursive) if all(map(reachable, roots)) else _by_driver(spark, roots, recursive)
+    out = out.withColumns({"dir": parent(F.col("path")), "base": G.stem(F.col("name")), "ext": G.extension(F.col("name"))})
+    return (out.filter(F.col("ext").isin(*EXTENSIONS[kind])) if kind else out).orderBy("path")
+
+
+def _entries(batches: Iterator[pa.RecordBatch], most: int = 10_000) -> Iterator[pa.RecordBatch]:
+    """(path, name, size, folder) of what the folders hold, ``most`` at a time."""
+    for batch in batches:
+        for folder in batch.column(0).to_pylist():
+            found = store(folder).entries(folder)
+            while part := [(f"{folder.rstrip('/')}/{name}", name, size, deep) for name, size, deep in islice(found, most)]:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*part, strict=True), (pa.string(), pa.string(), pa.int64(), pa.bool_()), strict=True)], names=["path", "name", "size", "folder"])
+
+
+def _by_tasks(spark: SparkSession, roots: list[str], recursive: bool) -> DataFrame:
+    folders = spark.createDataFrame([(r,) for r in dict.fromkeys(roots)], "path string").repartition(max(1, min(len(roots), 1000)))
+    out = None
+    while True:
+        level = written(folders.mapInArrow(_entries, SCHEMA + ", folder boolean"), "listing")
+        files = level.filter("not folder").drop("folder")
+        out = files if out is None else out.unionByName(files)
+        n = level.filter("folder").count() if recursive else 0
+        if not n:
+            return out.distinct() if recursive and len(roots) > 1 else out
+        # A thousand folders a task at most, as many tasks as there are cores at least.
+        folders = level.filter("folder").select("path").repartition(max(min(n, spark.sparkContext.defaultParallelism), -(-n // 1000)))
+
+
+def _by_driver(spark: SparkSession, roots: list[str], recursive: bool) -> DataFrame:
     jvm, rows = spark._jvm, []
-    for root in [roots] if isinstance(roots, str) else roots:
+    for root in roots:
         path = jvm.org.apache.hadoop.fs.Path(root)
         fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-        if not fs.exists(path):
-            continue
-        found = fs.listFiles(path, recursive)
-        while found.hasNext():
-            f = found.next()
-            rows.append((f.getPath().toString(), f.getPath().getName(), f.getLen()))
-    out = spark.createDataFrame(sorted(rows), SCHEMA).withColumns({"dir": parent(F.col("path")), "base": G.stem(F.col("name")), "ext": G.extension(F.col("name"))})
-    return out.filter(F.col("ext").isin(*EXTENSIONS[kind])) if kind else out
+        if fs.exists(path):
+            found = fs.listFiles(path, recursive)
+            while found.hasNext():
+                f = found.next()
+                rows.append((f.getPath().toString(), f.getPath().getName(), f.getLen()))
+    return spark.createDataFrame(rows, SCHEMA)
 
 
 def parent(path: Column) -> Column:
@@ -60,10 +94,9 @@ def qualified(spark: SparkSession, root: str) -> str:
 
 def subdirectories(spark: SparkSession, root: str) -> DataFrame:
     """(subdir,) sorted by name."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    names = sorted(s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory()) if fs.exists(path) else []
-    return spark.createDataFrame([(n,) for n in names], "subdir string")
+    root = qualified(spark, root)
+    found = spark.createDataFrame([(root,)], "path string").mapInArrow(_entries, SCHEMA + ", folder boolean")
+    return found.filter("folder").select(F.col("name").alias("subdir")).orderBy("subdir")
 
 
 def label_lines(spark: SparkSession, roots: list[str] | str, recursive: bool = False) -> DataFrame:

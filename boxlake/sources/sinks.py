@@ -1,28 +1,21 @@
 """Writers, and the explicit step that applies a plan of file actions.
 
-Deletes, copies and moves are rows first; ``apply_actions`` carries them out, dry by default, through Hadoop's file system,
-so any store that Spark writes will do. Repeating an applied plan changes nothing and reports 'gone'.
+Deletes, copies and moves are rows first; ``apply_actions`` has tasks carry them out, dry by default. Repeating an applied
+plan changes nothing and reports 'gone'.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterable, Iterator
-from concurrent.futures import ThreadPoolExecutor
-from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from boxlake.functions import pixels
 from boxlake.operators import geometry as geo, parse, stats
-
-ACTIONS = "op string, src string, dst string"
-#: What a plan may ask for; rmtree deletes a folder with all below it, delete a file only.
-OPS = ("delete", "rmtree", "move", "copy")
-#: Actions under way at a time: they wait for the store, not for the driver's processor.
-THREADS = 16
+from boxlake.sources.actions import ACTIONS, OPS, carried_out
+from boxlake.sources.single import write_files
 
 
 def actions(plan: DataFrame, src_root: str = "", dst_root: str = "") -> DataFrame:
@@ -36,66 +29,9 @@ def tree_plan(spark: SparkSession, folders: list[str]) -> DataFrame:
     return spark.createDataFrame([("rmtree", f, None) for f in folders], ACTIONS)
 
 
-def apply_actions(plan: DataFrame, dry_run: bool = True, most: int = 1_000_000) -> DataFrame:
-    """(op, src, dst, result): 'dry', 'ok', 'gone' (no source), 'exists' (target taken) or 'folder' (delete meant a file).
-
-    Actions run from the driver against the store's metadata, ``THREADS`` at a time, those of one plan in no fixed order; a plan
-    above ``most`` rows is refused rather than cut, to be applied in parts.
-    """
-    spark = plan.sparkSession
-    if dry_run:
-        return plan.withColumn("result", F.lit("dry"))
-    if plan.count() > most:
-        raise ValueError(f"a plan of over {most} actions: apply it in parts")
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-
-    def act(r) -> tuple:
-        src = jvm.org.apache.hadoop.fs.Path(r.src)
-        fs = src.getFileSystem(conf)
-        if not fs.exists(src):
-            return (*r, "gone")
-        if r.op in ("delete", "rmtree"):
-            if r.op == "delete" and fs.getFileStatus(src).isDirectory():
-                return (*r, "folder")
-            return (*r, "ok" if fs.delete(src, True) else "gone")
-        dst = jvm.org.apache.hadoop.fs.Path(r.dst)
-        to = dst.getFileSystem(conf)
-        if to.exists(dst):
-            return (*r, "exists")
-        to.mkdirs(dst.getParent())
-        done = fs.rename(src, dst) if r.op == "move" else jvm.org.apache.hadoop.fs.FileUtil.copy(fs, src, to, dst, False, conf)
-        return (*r, "ok" if done else "gone")
-
-    return spark.createDataFrame(list(_in_parallel(act, plan.select("op", "src", "dst").orderBy("src").toLocalIterator())), ACTIONS + ", result string")
-
-
-def _in_parallel(f, rows: Iterable) -> Iterator:
-    rows = iter(rows)
-    with ThreadPoolExecutor(THREADS) as pool:
-        while part := list(islice(rows, 64 * THREADS)):
-            yield from pool.map(f, part)
-
-
-def write_files(rows: DataFrame, root: str, name: str = "name", content: str = "content", most: int = 1_000_000) -> int:
-    """Writes each row's bytes (or text, as UTF-8) as the file ``root``/name, replacing what is there; gives their number.
-
-    Spark has no writer of single files: rows pass through the driver a partition at a time, and a table above ``most`` rows is
-    refused. Keep larger ones as tables.
-    """
-    spark = rows.sparkSession
-    rows = rows.select(F.col(name).alias("name"), F.col(content).cast("binary").alias("content"))
-    if rows.count() > most:
-        raise ValueError(f"over {most} files: keep them as a table")
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-
-    def put(r) -> int:
-        path = jvm.org.apache.hadoop.fs.Path(f"{root}/{r.name}")
-        stream = path.getFileSystem(conf).create(path, True)
-        stream.write(bytes(r.content or b""))
-        stream.close()
-        return 1
-
-    return sum(_in_parallel(put, rows.toLocalIterator()))
+def apply_actions(plan: DataFrame, dry_run: bool = True, journal: str | None = None) -> DataFrame:
+    """(op, src, dst, result): 'dry', or what became of each action when tasks carried them out (``actions.carried_out``)."""
+    return plan.withColumn("result", F.lit("dry")) if dry_run else carried_out(plan, journal)
 
 
 def write_labels(files: DataFrame, root: str) -> int:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from boxlake.functions import pixels
 from boxlake.operators import parse, stats, validate as val
 from boxlake.plans import runs
-from boxlake.sources import files, sinks
+from boxlake.sources import actions, files, sinks
 from boxlake.streaming import ingest
 
 
@@ -203,8 +203,7 @@ def test_crops_are_written_and_decode_to_their_pixels(spark, folder, tmp_path):
     whole = images.first()
     want = pixels.pixels(whole.height, whole.width, bytes(whole.data))[3:7, 5:15]
     assert back.base == "a_1_0.500000_0.500000_0.500000_0.400000" and (pixels.pixels(back.height, back.width, bytes(back.data)) == want).all()
-    with pytest.raises(ValueError):
-        sinks.write_files(cut, str(tmp_path / "crops"), most=0)
+    assert {p.name for p in (tmp_path / "crops").iterdir()} == {f"{back.base}.png"}  # no staging folder is left
 
 
 def test_label_files_are_rewritten(spark, tmp_path):
@@ -272,3 +271,119 @@ def test_duplicates_in_two_stages(spark, tmp_path, exact, near):
     want |= {("near", "near.png")} | ({("near", "copy.png")} if not exact else set()) if near else set()
     assert set(got) == want
     assert all(dst == f"/out/{stage}/group_000000/sub/{name}" for (stage, name), dst in got.items())
+
+
+def test_listing_of_many_folders_by_tasks(spark, tmp_path, monkeypatch):
+    want = set()
+    for a in range(12):
+        for b in range(5):
+            d = tmp_path / f"a{a}" / f"b {b}"
+            d.mkdir(parents=True)
+            for c in range(6):
+                (d / f"f{c}.txt").write_bytes(b"x" * (c % 3))
+                want.add((f"a{a}/b {b}/f{c}.txt", c % 3))
+    (tmp_path / "a0" / "loop").symlink_to(tmp_path)
+    sent, make = [], spark.createDataFrame
+    monkeypatch.setattr(type(spark), "createDataFrame", lambda self, rows, *a, **k: sent.extend(rows) or make(rows, *a, **k))
+    got = files.listing(spark, [str(tmp_path), str(tmp_path / "a3")], recursive=True).collect()
+    assert sent == [(f"file:{tmp_path}",), (f"file:{tmp_path / 'a3'}",)]  # the driver names the roots only
+    assert [r.path for r in got] == sorted(r.path for r in got)
+    assert {(r.path.removeprefix(f"file:{tmp_path}/"), r["size"]) for r in got} == want and len(got) == len(want)
+    assert files.listing(spark, str(tmp_path)).count() == 0
+    assert {r.path for r in files._by_driver(spark, [f"file:{tmp_path}/a1"], True).collect()} == {r.path for r in files._by_tasks(spark, [f"file:{tmp_path}/a1"], True).collect()}
+
+
+def flaky(flag, at):
+    """Acts, but fails the first attempt that comes to a certain source, after acting on it."""
+    from pathlib import Path
+
+    def act(op, src, dst):
+        actions._act(op, src, dst)
+        if src.endswith(at) and not Path(flag).exists():
+            Path(flag).write_text("failed once")
+            raise RuntimeError("a lost executor")
+
+    return act
+
+
+def plan_of(spark, tmp_path, n=40):
+    src = tmp_path / "src"
+    src.mkdir()
+    rows = []
+    for i in range(n):
+        (src / f"{i}.txt").write_text(str(i))
+        op = ("move", "copy", "delete")[i % 3]
+        rows.append((op, f"{src}/{i}.txt", None if op == "delete" else f"{tmp_path}/dst/{i}.txt"))
+    rows += [("move", f"{src}/none", f"{tmp_path}/dst/none"), ("copy", f"{src}/1.txt", f"{tmp_path}/dst/1.txt")]
+    return spark.createDataFrame(rows, sinks.ACTIONS)
+
+
+def test_a_failed_run_of_actions_is_finished(spark, tmp_path):
+    plan, journal = plan_of(spark, tmp_path), str(tmp_path / "journal")
+    with pytest.raises(Exception, match="lost executor"):
+        actions.carried_out(plan, journal, per_bucket=8, act=flaky(tmp_path / "flag", "/21.txt"))
+    done = actions.carried_out(plan, journal, per_bucket=8, act=flaky(tmp_path / "flag", "/21.txt"))
+    assert {(r.src.rsplit("/", 1)[1], r.result) for r in done.collect()} == {(f"{i}.txt", "ok") for i in range(40)} | {("none", "gone")}
+    assert sorted(int(p.stem) for p in (tmp_path / "dst").iterdir()) == [i for i in range(40) if i % 3 < 2]
+    assert sorted(int(p.stem) for p in (tmp_path / "src").iterdir()) == [i for i in range(40) if i % 3 == 1]
+    # With a journal of its own, the plan finds things as they are.
+    again = {r.src.rsplit("/", 1)[1]: r.result for r in sinks.apply_actions(plan, dry_run=False).collect()}
+    assert set(again.values()) == {"gone", "exists"} and again["1.txt"] == "exists"
+
+
+def test_a_retried_task_acts_once(tmp_path):
+    """In a session of its own, whose tasks are tried again."""
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    script = f"""
+import sys
+sys.path.insert(0, {str(Path(__file__).resolve().parents[1])!r})
+from pathlib import Path
+from pyspark.sql import SparkSession
+from boxlake.sources import actions
+from tests.test_sources import flaky, plan_of
+spark = SparkSession.builder.master("local[2,3]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").getOrCreate()
+tmp = Path({str(tmp_path)!r})
+done = actions.carried_out(plan_of(spark, tmp), act=flaky(tmp / "flag", "/21.txt"), per_bucket=8).collect()
+print("RESULTS", sorted(set(r.result for r in done)), len(done), (tmp / "flag").exists())
+"""
+    out = subprocess.run([sys.executable, "-c", script], capture_output=True, text=True, timeout=300).stdout
+    assert "RESULTS ['gone', 'ok'] 41 True" in out
+    assert sorted(int(p.stem) for p in (tmp_path / "dst").iterdir()) == [i for i in range(40) if i % 3 < 2]
+
+
+def test_targets_taken_by_others_stay(spark, tmp_path):
+    for d in ("a", "b", "c"):
+        (tmp_path / d).mkdir()
+        (tmp_path / d / "x").write_text(d)
+    plan = spark.createDataFrame([("move", f"{tmp_path}/{d}/x", f"{tmp_path}/to/x") for d in "abc"], sinks.ACTIONS)
+    results = {r.src: r.result for r in sinks.apply_actions(plan, dry_run=False).collect()}
+    assert results == {f"{tmp_path}/a/x": "ok", f"{tmp_path}/b/x": "exists", f"{tmp_path}/c/x": "exists"} and (tmp_path / "to" / "x").read_text() == "a"
+    with pytest.raises(Exception, match="tasks reach no"):
+        actions.carried_out(spark.createDataFrame([("delete", "viewfs://x/y", None)], sinks.ACTIONS))
+
+
+def test_single_files_appear_together(spark, tmp_path):
+    rows = spark.range(50).select(F.concat(F.lit("d"), F.col("id") % 3, F.lit("/"), F.col("id"), F.lit(".bin")).alias("name"), F.when(F.col("id") != 7, F.col("id").cast("string")).alias("content"))
+    assert sinks.write_files(rows.repartition(5), str(tmp_path / "out")) == 50
+    assert {str(p.relative_to(tmp_path / "out")): p.read_text() for p in (tmp_path / "out").rglob("*.bin")} == {f"d{i % 3}/{i}.bin": "" if i == 7 else str(i) for i in range(50)}
+    fails = rows.withColumn("name", F.when(F.col("id") == 30, F.lit("../x")).otherwise(F.col("name")) if "id" in rows.columns else F.when(F.col("content") == "30", F.lit("../x")).otherwise(F.col("name")))
+    with pytest.raises(Exception, match="not a name below the root"):
+        sinks.write_files(fails, str(tmp_path / "none"))
+    assert not list((tmp_path / "none").rglob("*.bin")) and not list((tmp_path / "none").glob(".staging*"))
+    assert sinks.write_files(rows.limit(0), str(tmp_path / "out")) == 0
+    # Writing again replaces files, whoever wrote them.
+    spark.createDataFrame([("x",)], "value string").coalesce(1).write.text(str(tmp_path / "t"))
+    (part,) = (tmp_path / "t").glob("part-*")
+    assert sinks.write_files(spark.createDataFrame([(part.name, "other")], "name string, content string"), str(tmp_path / "t")) == 1
+    assert [r.value for r in spark.read.text(str(tmp_path / "t")).collect()] == ["other"]
+
+
+def test_signatures_of_one_image_at_two_sizes():
+    rng = np.random.default_rng(8)
+    small = pixels.resized(rng.integers(0, 256, (12, 12, 3)), 128)
+    large = np.kron(small, np.ones((6, 6, 1))).astype(np.uint8)
+    a, b = (np.frombuffer(pixels.coarse_signature(x), np.uint8).astype(int) for x in (small.astype(np.uint8), large))
+    assert np.abs(a - b).max() <= 2 and np.allclose(pixels.color_histogram(pixels.resized(large, 128)), pixels.color_histogram(small.astype(np.uint8)), atol=0.01)
