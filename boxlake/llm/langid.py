@@ -32,13 +32,16 @@ def held_out(id_col: str = "doc_id"):
 def dictionaries(docs: DataFrame, per_lang: int = 512, excerpt: int = 1024, most_langs: int = 256, id_col: str = "doc_id") -> dict[str, bytes]:
     """Raw content by language: of ``per_lang`` labelled rows, not held out, in order of a hash, ``excerpt`` characters each.
 
-    Only these bounded samples reach the driver (most_langs x per_lang x excerpt characters). The ``most_langs`` languages
-    with the most rows are learned (ties by name). Their counts give each a bound on the hash that leaves about four times the
+    Only these bounded samples reach the driver (most_langs x per_lang x excerpt characters: 134 million at most, of four
+    bytes each in the worst case). More than ``most_langs`` languages are refused, so none is left out in silence. Their counts give each a bound on the hash that leaves about four times the
     sample, so that ranks are taken among few rows however many a language has; a second pass reads the texts of the chosen
     ids. Copies are taken once. Null ids count as one id.
     """
     ok = docs.filter(~held_out(id_col) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = ok.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "lang").limit(most_langs)
+    counts = ok.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    langs = counts.count()
+    if langs > most_langs:
+        raise ValueError(f"{langs} languages: raise most_langs ({most_langs}) and the driver's memory, or choose among them")
     # Hashes are spread evenly over 64 bits; a language of few rows has no bound.
     bound = F.when(F.col("n") > 4 * per_lang, (4.0 * per_lang / F.col("n") * 2.0 - 1.0) * 2.0**63)
     near = ok.select("lang", F.col(id_col).alias("id"), F.xxhash64(F.col(id_col)).alias("h")).join(F.broadcast(counts.select("lang", bound.alias("most"))), "lang").filter(F.coalesce(F.col("h") <= F.col("most"), F.lit(True)))

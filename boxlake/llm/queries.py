@@ -26,8 +26,7 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # As this query's SQL says; the operator itself, and the pipeline, let the ratio decide on small hosts too.
-    out = linededup.drop_boilerplate(table(spark, sf_dir, "documents"), least_pages=10)
+    out = linededup.drop_boilerplate(table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"), "text")
 
 
@@ -72,18 +71,19 @@ def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("deviation", F.col("deviation").try_cast("long"))
 
 
-def _terms(names: tuple[str, ...]) -> str:
-    return "[" + ", ".join(f"'{t}'" for t in names) + "]"
+def _weight(names: tuple[str, ...], weight: int) -> str:
+    """Weight of the terms of a list that stand in ``low``, each once, with a plural s where it has one."""
+    terms = ", ".join(f"'{t}{'s?' if urlfilter.plural(t) else ''}'" for t in names)
+    return f"{weight} * len(list_filter([{terms}], lambda t: regexp_matches(low, '(^|[^a-z0-9])' || t || '([^a-z0-9]|$)')))"
 
 
-_HAS = r"lambda t: regexp_matches(low, '(^|[^a-z0-9])' || t || '([^a-z0-9]|$)')"
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 ORACLE_SQL: dict[str, str] = {
     "op4_lines": """
 with l as (select r, host, unnest(string_split(text, chr(10))) as line from (select row_number() over () as r, coalesce(source, '') as host, text from documents) d),
 n as (select host, trim(line, ' ') as line, count(distinct r) as n from l where trim(line, ' ') <> '' group by 1, 2),
 t as (select coalesce(source, '') as host, count(*) as pages from documents group by 1),
-b as (select n.host, n.line from n join t on n.host = t.host where n >= 10 and n > 0.1 * pages),
+b as (select n.host, n.line from n join t on n.host = t.host where n >= 3 and n > 0.1 * pages),
 g as (select host, list(line) as lines from b group by host)
 select doc_id, coalesce(len(string_split(text, chr(10))), 0)::bigint as n_lines,
   coalesce(len(string_split(text, chr(10))) - len(list_filter(string_split(text, chr(10)), lambda x: not list_contains(coalesce(lines, []), trim(x, ' ')))), 0)::bigint as n_dropped,
@@ -97,7 +97,7 @@ r(verdict, rule, rh, rp) as (values {", ".join(f"('{v}', '{r}', '{r.split('/', 1
 m as (select page_id, max_by(rule, length(rule)) as rule, max_by(verdict, length(rule)) as verdict from (select distinct page_id, host, path from p) q join r
   on (q.host = rh or q.host like '%.' || rh) and starts_with(q.path, rp) group by page_id)
 select p.page_id, p.host, p.path, m.rule, coalesce(m.verdict,
-  case when len(list_filter({_terms(urlfilter.STRICT)}, {_HAS})) >= 1 or len(list_filter({_terms(urlfilter.SOFT)}, {_HAS})) >= 2 then 'block' else 'allow' end) as verdict
+  case when {_weight(urlfilter.STRICT, 4)} + {_weight(urlfilter.STRONG, 3)} + {_weight(urlfilter.WEAK, 1)} >= 4 then 'block' else 'allow' end) as verdict
 from p left join m on p.page_id = m.page_id""",
     "op12_hardneg": """
 with e as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, list_transform(embedding::double[], lambda c: cast(floor(256 * c) as bigint)) as x from embeddings

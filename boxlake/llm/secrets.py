@@ -1,8 +1,9 @@
 """Secret scan: base patterns, and a token-efficiency test for random strings.
 
 Random strings cost many tokens: under a byte-level vocabulary, prose and names take three or more characters a token,
-keys and passwords hardly two. A run of key characters is reported if its characters per token stay at or below a ratio,
-it mixes kinds of characters, and it isn't a known digest or identifier.
+keys and passwords hardly two. A run of key characters is cut at separators, so that words of a path or a name beside a key
+don't hide it; parts whose characters per token stay at or below a ratio are random, and neighbouring ones make a stretch,
+which is reported if it is long enough. Known digests and identifiers are left out.
 """
 
 from __future__ import annotations
@@ -23,21 +24,32 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 #: One of these stands in any text that the first pattern matches.
 HINTS = ("password", "passwd", "secret", "token", "apikey", "api_key")
-RUN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
-#: Known digests (by length in hex characters: md5, sha-1, sha-224, sha-256, sha-384, sha-512) and identifiers.
-DIGEST = re.compile(r"(?:[0-9a-f]+|[0-9A-F]+)\Z")
+RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+PART = re.compile(r"[A-Za-z0-9]+")
+#: Known digests (by length in hex characters: md5, sha-1, sha-224, sha-256, sha-384, sha-512), and identifiers by groups.
+DIGEST = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 DIGEST_SIZES = frozenset((32, 40, 56, 64, 96, 128))
-IDENTIFIER = re.compile(r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}\Z|[0-9_-]+\Z|[A-Za-z]+(?:[-_/][A-Za-z]+)*\Z")
+IDENTIFIER = re.compile(r"(?<![0-9a-fA-F])[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}(?![0-9a-fA-F])")
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 KINDS = ("assign", "access", "hex", "random")
 
 
 @dataclass(frozen=True)
 class Policy:
-    """``ratio``: most characters per token of a random string; ``least``: its least length."""
+    """Most characters per token of a random part: ``ratio`` where it mixes kinds of characters, ``lower`` and ``upper`` where it
+    is letters of one case; ``least``: letters and digits of a random string; ``part``: least length of a part that is tested."""
 
-    ratio: float = 2.2
-    least: int = 20
+    ratio: float = 2.0
+    lower: float = 1.9
+    upper: float = 1.75
+    least: int = 16
+    part: int = 8
+
+
+def mixed(part: str) -> bool:
+    """Whether letters of both cases, or letters and digits, meet; a capital at the start alone is no other case."""
+    letters = part[1:] if part[0].isupper() and part[1:2].islower() else part
+    return any(c.islower() for c in letters) + any(c.isupper() for c in letters) + any(c.isdigit() for c in letters) >= 2
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -62,16 +74,36 @@ class Scanner:
         self.encoding = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.policy = policy
 
+    def parts(self, run: str, start: int):
+        """(start, end, what) of the pieces of a run between separators; what: 'random', 'odd' (too short to tell) or 'plain'."""
+        for m in PART.finditer(run):
+            part = m[0]
+            several = mixed(part)
+            if len(part) < self.policy.part:
+                what = "odd" if several else "plain"
+            elif len(part) in DIGEST_SIZES and DIGEST.fullmatch(part) or not several and (len(part) < self.policy.least or part.isdigit()):
+                what = "plain"
+            else:
+                most = self.policy.ratio if several else self.policy.upper if part.isupper() else self.policy.lower
+                what = "random" if len(part) <= most * len(self.encoding.encode_ordinary(part)) else "plain"
+            yield start + m.start(), start + m.end(), what
+
     def random_spans(self, text: str) -> list[tuple[int, int, str]]:
+        """Stretches of random parts of key-like runs, with the odd ones beside them, of ``least`` letters and digits at least."""
         out = []
-        for m in RUN.finditer(text):
-            run = m[0].strip("=-_/+")
-            if len(run) < self.policy.least or IDENTIFIER.match(run) or len(run) in DIGEST_SIZES and DIGEST.match(run):
-                continue
-            kinds = any(c.islower() for c in run) + any(c.isupper() for c in run) + any(c.isdigit() for c in run)
-            if kinds >= 2 and any(c.isdigit() for c in run) and len(run) <= self.policy.ratio * len(self.encoding.encode_ordinary(run)):
-                start = m.start() + m[0].index(run)
-                out.append((start, start + len(run), "random"))
+        for run in RUN.finditer(text):
+            a = run.start()
+            for known in [*IDENTIFIER.finditer(run[0]), None]:
+                b = run.start() + known.start() if known else run.end()
+                stretch: list[tuple[int, int, str]] = []
+                for part in [*self.parts(text[a:b], a), (b, b, "plain")]:
+                    if part[2] != "plain":
+                        stretch.append(part)
+                        continue
+                    if sum(y - x for x, y, _ in stretch) >= self.policy.least and any(w == "random" for *_, w in stretch):
+                        out.append((stretch[0][0], stretch[-1][1], "random"))
+                    stretch = []
+                a = run.start() + known.end() if known else b
         return out
 
     def scan(self, text: str | None) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]]]:
