@@ -88,14 +88,21 @@ def latest_status(events: DataFrame, key: str = "relkey", order: str = "seq") ->
     return events.groupBy(key).agg(F.max_by("status", order).alias("status"))
 
 
-def saved_status(events: DataFrame, order: str = "seq") -> DataFrame:
-    """(relkey, status) as the review file has it: the last status of each key up to the last event that saves.
+def saved_status(events: DataFrame, order: str = "seq", session: str | None = None) -> DataFrame:
+    """(relkey, status), after the session where there are several, as the review file has it: the last status of each key up to
+    the last event that saves.
 
-    events: (seq, action, relkey, status). 'jump' and 'close' save what was set before; 'set' alone, or moving on, doesn't.
+    events: (seq, action, relkey, status) and, by name, a session. 'jump' and 'close' save what their session set before;
+    'set' alone, or moving on, doesn't.
     """
-    last = events.filter(F.col("action").isin("jump", "close")).agg(F.max(order).alias("_last"))
-    known = events.filter("action = 'set'").join(F.broadcast(last), F.col(order) < F.col("_last"))
-    return latest_status(known, "relkey", order)
+    own = [] if session is None else [session]
+    last = events.filter(F.col("action").isin("jump", "close")).groupBy(*[F.col(c).alias("_session") for c in own]).agg(F.max(order).alias("_last"))
+    known = events.filter("action = 'set'")
+    if session is None:
+        known = known.join(F.broadcast(last), F.col(order) < F.col("_last"))
+    else:
+        known = known.join(last, (F.col(session) == F.col("_session")) & (F.col(order) < F.col("_last")))
+    return known.groupBy(*own, "relkey").agg(F.max_by("status", order).alias("status"))
 
 
 def with_status(items: DataFrame, reviews: DataFrame, key: str = "relkey", order: str = "line_no") -> DataFrame:

@@ -351,6 +351,18 @@ def review_saved(s, d):
     return val.saved_status(events)
 
 
+@query(
+    """with e as (select user_id % 50 as session, event_id as seq, 'item_' || (event_id % 211) as relkey, cast(event_id % 3 as integer) as status, case event_type when 'purchase' then 'close' when 'click' then 'set' when 'view' then 'set' when 'error' then 'jump' else 'next' end as action from events),
+l as (select session, max(seq) as last from e where action in ('jump', 'close') group by session)
+select e.session, relkey, cast(max_by(status, seq) as integer) as status from e join l on e.session = l.session and seq < last where action = 'set' group by e.session, relkey"""
+)
+def review_sessions(s, d):
+    kind = F.col("event_type")
+    action = F.when(kind == "purchase", "close").when(kind.isin("click", "view"), "set").when(kind == "error", "jump").otherwise("next")
+    events = view(s, d, "events").select((F.col("user_id") % 50).alias("session"), F.col("event_id").alias("seq"), F.concat(F.lit("item_"), F.col("event_id") % 211).alias("relkey"), (F.col("event_id") % 3).cast("int").alias("status"), action.alias("action"))
+    return val.saved_status(events, session="session")
+
+
 @query("select user_id as relkey, cast(max_by(event_id % 3, event_id) as integer) as status from events group by user_id")
 def review_latest(s, d):
     events = view(s, d, "events").select(F.col("user_id").alias("relkey"), (F.col("event_id") % 3).cast("int").alias("status"), F.col("event_id").alias("seq"))

@@ -9,7 +9,7 @@ from boxlake.functions import pixels
 from boxlake.operators import parse, stats, validate as val
 from boxlake.plans import runs
 from boxlake.sources import actions, files, sinks
-from boxlake.streaming import ingest
+from boxlake.streaming import ingest, sessions
 
 
 def png(w, h, value=0):
@@ -387,3 +387,34 @@ def test_signatures_of_one_image_at_two_sizes():
     large = np.kron(small, np.ones((6, 6, 1))).astype(np.uint8)
     a, b = (np.frombuffer(pixels.coarse_signature(x), np.uint8).astype(int) for x in (small.astype(np.uint8), large))
     assert np.abs(a - b).max() <= 2 and np.allclose(pixels.color_histogram(pixels.resized(large, 128)), pixels.color_histogram(small.astype(np.uint8)), atol=0.01)
+
+
+@pytest.mark.parametrize("one", [True, False])
+def test_replayed_sessions_save_what_the_batch_query_says(spark, tmp_path, one):
+    rng = np.random.default_rng(31)
+    rows = [(0 if one else int(rng.integers(0, 7)), i, str(rng.choice(["set", "set", "set", "next", "jump", "close"], p=[0.3, 0.3, 0.3, 0.05, 0.03, 0.02])), f"k{rng.integers(0, 20)}", int(rng.integers(0, 3))) for i in range(400)]
+    rows += [(8, 400, "set", "never saved", 1), (9, 401, "close", None, None)]
+    kind = "session long, seq long, action string, relkey string, status int"
+    src = tmp_path / "events"
+    for k in range(0, len(rows), 67):
+        spark.createDataFrame(rows[k : k + 67], kind).repartition(2).write.mode("append").parquet(str(src / f"b={k:04d}"))
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", sessions.PROVIDER)
+    whole = tmp_path / "in"
+    whole.mkdir()
+    try:
+        for k in range(0, len(rows), 67):  # one batch after another, each with the state that the one before left
+            for f in sorted((src / f"b={k:04d}").glob("part-*.parquet")):
+                (whole / f.name).write_bytes(f.read_bytes())
+            out = sessions.saved_reviews(spark.readStream.schema(kind).parquet(str(whole)))
+            query = out.writeStream.outputMode("append").format("parquet").option("path", str(tmp_path / "saved")).option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
+            query.awaitTermination()
+    finally:
+        spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+    saved = spark.read.parquet(str(tmp_path / "saved"))
+    got = saved.groupBy("session", "relkey").agg(F.max_by("status", "seq").alias("status"))
+    want = val.saved_status(spark.createDataFrame(rows, kind), session="session")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() >= 15
+    if one:
+        plain = val.saved_status(spark.createDataFrame(rows[:400], kind))
+        assert {(r.relkey, r.status) for r in plain.collect()} == {(r.relkey, r.status) for r in got.collect()}
+    assert saved.filter("saved_at <= seq").count() == 0 and saved.filter("relkey = 'never saved'").count() == 0
