@@ -22,6 +22,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from boxlake.llm.common import text_slices
 from boxlake.operators.graph import connected_components
@@ -348,9 +349,17 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, coords:
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"), *(["fp"] if prints else []))
 
 
-def fingerprint(words: int = 5):
-    """The fp of a text as ``near_duplicates`` gives it, as a function of columns; for few rows."""
-    return F.udf(lambda text: _print(shingle_hashes(text, words, _WordHash())), "binary")
+def fingerprinted(docs: DataFrame, words: int = 5, text_col: str = "text", name: str = "fp") -> DataFrame:
+    """``docs`` with a text's fingerprint as ``near_duplicates`` gives it, null for a text without words; no shuffle."""
+
+    def run(batches):
+        known = _WordHash()
+        for part in text_slices(batches, text_col):
+            texts = part.column(part.schema.get_field_index(text_col)).to_pylist()
+            prints = pa.array([_print(shingle_hashes(t, words, known)) for t in texts], pa.binary())
+            yield pa.RecordBatch.from_arrays([*part.columns, prints], names=[*part.schema.names, name])
+
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, BinaryType())]))
 
 
 def _lists(classes: DataFrame, coords: int, least: int, scratch: Scratch) -> DataFrame:

@@ -152,10 +152,11 @@ def test_sql(spark, duck, name):
 
 def test_a_repeated_id_loses_only_the_text_that_has_a_copy(spark):
     a, b = "a b c d e f g", "t u v w x y z"
-    rows = [(3, a), (5, a), (5, b), (9, b), (5, None), (11, "k l m n o p q")]
+    rows = [(3, a), (5, a), (5, b), (5, b), (9, b), (5, None), (11, "k l m n o p q"), (None, a), (None, a), (12, None), (12, None)]
     df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     left = corpus_pipeline.minhash_neardup(spark, df, "")
-    assert sorted((r.doc_id, r.text or "") for r in left.collect()) == [(3, a), (5, ""), (5, b), (11, "k l m n o p q")]
+    # Rows without an id, and texts without words, link with nothing; of copies under one id, one stays.
+    assert sorted((r.doc_id or 0, r.text or "") for r in left.collect()) == [(0, a), (0, a), (3, a), (5, ""), (5, b), (11, "k l m n o p q"), (12, ""), (12, "")]
 
 
 def test_pipeline(spark, tmp_path):
