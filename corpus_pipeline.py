@@ -39,19 +39,24 @@ def minhash_neardup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """One document of each group of near-duplicates (five words, similarity 0.8): the one with the smallest id."""
     docs = docs.select(*COLUMNS)
     found = written(neardup.near_duplicates(docs, prints=True), "groups")
-    gone = found.filter("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    gone = F.broadcast(gone) if gone.count() * 16 <= BROADCAST_BYTES else gone
-    left = docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti").select(*COLUMNS)
-    # An id may repeat with different texts, of which some are kept: their rows are told apart by fingerprint.
-    mixed = written(found.groupBy("doc_id").agg(F.min("kept").alias("all"), F.max("kept").alias("any")).filter("any and not all").select(F.col("doc_id").alias("_id")), "mixed")
-    if not mixed.isEmpty():
-        stay = found.filter("kept").join(mixed, F.col("doc_id") == F.col("_id"), "left_semi").select(F.col("doc_id").alias("_id"), F.col("fp").alias("_fp")).distinct()
-        several = docs.join(mixed, F.col("doc_id") == F.col("_id"), "left_semi").withColumn("_print", neardup.fingerprint()("text"))
-        same = (F.col("doc_id") == F.col("_id")) & F.col("_print").eqNullSafe(F.col("_fp"))
-        left = left.unionByName(several.join(stay, same, "left_semi").select(*COLUMNS))
-    # Rows that repeat an id are copies of one document where their texts are equal too; usually there are none.
-    repeated = found.filter("kept").groupBy("doc_id").count().filter("count > 1")
-    return left if repeated.isEmpty() else left.dropDuplicates(["doc_id", "text"])
+    known = found.filter("doc_id is not null")
+    # Ids that repeat, usually none: their rows are told apart by fingerprint. Rows without an id link with nothing and stay.
+    many = written(known.groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("_id")), "many")
+    gone = written(found.filter("not kept").select(F.col("doc_id").alias("_id")).unionByName(many).distinct(), "gone")
+    left = docs.join(_small(gone), F.col("doc_id") == F.col("_id"), "left_anti").select(*COLUMNS)
+    if many.isEmpty():
+        return left
+    several = neardup.fingerprinted(docs.join(_small(many), F.col("doc_id") == F.col("_id"), "left_semi"), name="_fp")
+    stay = known.filter("kept and fp is not null").join(_small(many), F.col("doc_id") == F.col("_id"), "left_semi").select(F.col("doc_id").alias("_id"), F.col("fp").alias("_print")).distinct()
+    same = (F.col("doc_id") == F.col("_id")) & (F.col("_fp") == F.col("_print"))
+    # Of rows of one id and one set of shingles, copies of one document, the one that sorts first stays.
+    one = several.join(stay, same, "left_semi").groupBy("doc_id", "_fp").agg(F.min(F.struct(*REST)).alias("r")).select("doc_id", "r.*")
+    return left.unionByName(one.select(*COLUMNS)).unionByName(several.filter("_fp is null").select(*COLUMNS))
+
+
+def _small(ids: DataFrame) -> DataFrame:
+    """Ids for a join: broadcast if their number allows it."""
+    return F.broadcast(ids) if ids.count() * 16 <= BROADCAST_BYTES else ids
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
