@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from boxlake.functions import grammar as G
 from boxlake.operators import geometry as geo
 from boxlake.operators.graph import connected_components
+from boxlake.operators.order import numbered
 from boxlake.session import written
 
 
@@ -24,10 +25,18 @@ def exact_members(files: DataFrame, content: Column, path: str = "path") -> Data
     return hashed.join(hashed.groupBy("hash").agg(F.min("path").alias("keep")), "hash")
 
 
-def exact_groups(files: DataFrame, content: Column, path: str = "path") -> DataFrame:
-    """(hash, keep, dups): duplicates sorted, the smallest path kept. An array holds one group: use ``exact_members`` where
-    groups are unbounded."""
-    return exact_members(files, content, path).groupBy("hash", "keep").agg(F.sort_array(F.collect_list(F.when(F.col("path") != F.col("keep"), F.col("path")))).alias("dups"))
+def exact_groups(files: DataFrame, content: Column, path: str = "path", most: int = 1000) -> DataFrame:
+    """(hash, keep, part, dups): the smallest path kept, its duplicates in order, at most ``most`` in a part.
+
+    Parts count from 0, so a group of any size is arrays of bounded size, and no task holds a group; a file without duplicates
+    has one empty part.
+    """
+    members = exact_members(files, content, path)
+    dups = numbered(members.filter("path <> keep").select("hash", "path"), "hash", "path", name="_n")
+    first = dups.groupBy("hash").agg(F.min("_n").alias("_first"))
+    parts = dups.join(first, "hash").groupBy("hash", F.floor((F.col("_n") - F.col("_first")) / most).cast("int").alias("part")).agg(F.sort_array(F.collect_list("path")).alias("dups"))
+    heads = members.filter("path = keep").select("hash", "keep").distinct()
+    return heads.join(parts, "hash", "left").select("hash", "keep", F.coalesce("part", F.lit(0)).alias("part"), F.coalesce("dups", F.array().cast("array<string>")).alias("dups"))
 
 
 def bands(items: DataFrame, hashes: dict[str, str], count: int, key: str) -> DataFrame:
@@ -122,12 +131,22 @@ def _passing(gate: _Gate, columns: list[str]):
     return run
 
 
-def _tile(gate: _Gate, vector: str, key: str, most_mse: float):
-    """One block of a bucket against another, or itself: each row that links, and the smallest key it is connected with."""
+def _tile(gate: _Gate, vector: str, key: str, most_mse: float, pairs: bool = False):
+    """One block of a bucket against another, or itself: each row that links, and the smallest key it is connected with; or
+    the pairs that are near."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(key, ignore_index=True)
         x, low = np.stack(pdf[vector].to_numpy()).astype(np.float64), np.arange(len(pdf))
+        if pairs:
+            found = [np.zeros((0, 2), np.int64)]
+            for a, b in gate.pairs(pdf):
+                for k in range(0, len(a), 65_536):
+                    p, q = a[k : k + 65_536], b[k : k + 65_536]
+                    ok = ((x[p] - x[q]) ** 2).T.sum(axis=0) / x.shape[1] <= most_mse
+                    found.append(np.stack([np.minimum(p, q)[ok], np.maximum(p, q)[ok]], axis=1))
+            at, keys = np.concatenate(found), pdf[key].to_numpy()
+            return pd.DataFrame({"a": keys[at[:, 0]], "b": keys[at[:, 1]]})
         for a, b in gate.pairs(pdf):
             open_ = (a != b) & (low[a] != low[b])
             a, b = a[open_], b[open_]
@@ -164,6 +183,18 @@ def near_links(items: DataFrame, hashes: dict[str, str], count: int, vector: str
     through all buckets; vectors then go only to the tiles where their row has a pair that passes the hashes' gate and met
     in no earlier bucket. hashes: two columns of at most 64 bits, by tag.
     """
+    return _in_tiles(items, hashes, count, vector, key, most_bits, most_mse, block, False).distinct()
+
+
+def near_pairs_by_tiles(items: DataFrame, hashes: dict[str, str], count: int, vector: str, key: str, most_bits: int | tuple[int, int], most_mse: float, block: int = 1024) -> DataFrame:
+    """(a, b), a < b: what ``near_pairs`` over ``candidates`` gives, each pair once, without a row for a pair that isn't near.
+
+    Give one row of each group of copies (``exact_members``): copies are pairs among themselves.
+    """
+    return _in_tiles(items, hashes, count, vector, key, most_bits, most_mse, block, True)
+
+
+def _in_tiles(items: DataFrame, hashes: dict[str, str], count: int, vector: str, key: str, most_bits: int | tuple[int, int], most_mse: float, block: int, pairs: bool) -> DataFrame:
     hash_a, hash_b = hashes.values()
     most = most_bits if isinstance(most_bits, tuple) else (most_bits, most_bits)
     gate = _Gate(most, count, list(hashes))
@@ -180,7 +211,7 @@ def near_links(items: DataFrame, hashes: dict[str, str], count: int, vector: str
     tile = [*bucket, "x", "y"]
     passing = written(tiles.groupBy(*tile).applyInPandas(_passing(gate, names), place), "passing")
     full = passing.join(items.select(key, vector), key)
-    return full.groupBy(*tile).applyInPandas(_tile(gate, vector, key, most_mse), f"a {kind}, b {kind}").distinct()
+    return full.groupBy(*tile).applyInPandas(_tile(gate, vector, key, most_mse, pairs), f"a {kind}, b {kind}")
 
 
 def piece_limits(radius: int, pieces: int) -> list[int]:

@@ -474,7 +474,7 @@ _EXACT = """with p as (select '/data/' || coalesce(source, 'none') || '/' || lpa
 g as (select min(path) over (partition by coalesce(sha1(text), 'path:' || path)) as keep, coalesce(sha1(text), 'path:' || path) as hash, path from p)"""
 
 
-@query(f"{_EXACT} select hash, keep, coalesce(list(path order by path) filter (where path <> keep), []) as dups from g group by hash, keep")
+@query(f"{_EXACT}, n as (select *, case when path = keep then 0 else cast(floor((row_number() over (partition by hash order by path) - 2) / 1000) as integer) end as part from g) select hash, keep, part, coalesce(list(path order by path) filter (where path <> keep), []) as dups from n group by hash, keep, part")
 def exact_dup_groups(s, d):
     return dedup.exact_groups(_docs(s, d), F.col("content"))
 
@@ -511,9 +511,24 @@ def lsh_candidates(s, d):
     return dedup.candidates(view(s, d, "v_prep"), _HASHES, 8, "vec_id")
 
 
-@query(f"with {_NEAR} select a, b from pairs", "v_prep")
+@query(f"with {_CAND}, many as (select tag, band, v, count(*) as n from bands group by tag, band, v having count(*) > 4) select tag, cast(band as integer) as band, array_to_string(v, '') as value, n, n - 4 as cut from many", "v_prep")
+def lsh_bucket_report(s, d):
+    return dedup.bucket_report(view(s, d, "v_prep"), _HASHES, 8, "vec_id", 4)
+
+
+@query(f"with {_CAND}, few as (select * from (select *, row_number() over (partition by tag, band, v order by vec_id) as r from bands) where r <= 4) select distinct x.vec_id as a, y.vec_id as b from few x join few y on x.tag = y.tag and x.band = y.band and x.v = y.v and x.vec_id < y.vec_id", "v_prep")
+def lsh_capped_candidates(s, d):
+    return dedup.candidates(view(s, d, "v_prep"), _HASHES, 8, "vec_id", cap=4)
+
+
+_FIRST = "u as (select * from v_prep where vec_id in (select min(vec_id) from embeddings group by embedding))"
+
+
+@query(f"with {_FIRST}, {_NEAR.replace('v_prep', 'u')} select a, b from pairs", "v_prep")
 def near_dup_pairs(s, d):
-    return dedup.near_pairs(view(s, d, "v_prep"), lsh_candidates(s, d), "ahash", "phash", "embedding", "vec_id", 24, 0.021)
+    items = view(s, d, "v_prep")
+    first = items.join(items.groupBy("embedding").agg(F.min("vec_id").alias("vec_id")).select("vec_id"), "vec_id", "left_semi")
+    return dedup.near_pairs_by_tiles(first, _HASHES, 8, "embedding", "vec_id", 24, 0.021)
 
 
 _COMP = f"with recursive {_NEAR}, e as (select a as u, b as v from pairs union select b, a from pairs), w(node, c) as (select u, u from e union select e.v, w.c from w join e on e.u = w.node), z as (select node as vec_id, min(c) as keep from w group by node)"

@@ -133,7 +133,14 @@ def test_bucket_cap_is_a_choice(spark):
 
 def test_unreadable_files_are_groups_of_their_own(spark):
     df = spark.createDataFrame([("b", b"x"), ("a", b"x"), ("c", None), ("d", None)], "path string, content binary")
-    assert {(r.keep, tuple(r.dups)) for r in dedup.exact_groups(df, F.col("content")).collect()} == {("a", ("b",)), ("c", ()), ("d", ())}
+    assert {(r.keep, r.part, tuple(r.dups)) for r in dedup.exact_groups(df, F.col("content")).collect()} == {("a", 0, ("b",)), ("c", 0, ()), ("d", 0, ())}
+
+
+def test_large_groups_come_in_parts(spark):
+    df = spark.range(57).select(F.format_string("p%02d", "id").alias("path"), F.when(F.col("id") < 45, "x").otherwise(F.col("id").cast("string")).cast("binary").alias("content")).repartition(5)
+    got = sorted((r.keep, r.part, tuple(r.dups)) for r in dedup.exact_groups(df, F.col("content"), most=10).collect())
+    assert got[:5] == [("p00", k, tuple(f"p{i:02d}" for i in range(10 * k + 1, min(10 * k + 11, 45)))) for k in range(5)] and got[5:] == [(f"p{i}", 0, ()) for i in range(45, 57)]
+    assert dedup.exact_groups(df.limit(0), F.col("content")).count() == 0
 
 
 def test_small_k_bounds(spark):
@@ -267,6 +274,8 @@ def test_links_by_blocks_connect_what_pairs_connect(spark, block):
     links = dedup.near_links(items, {"a": "a", "p": "p"}, 4, "v", "k", (5, 3), 0.2, block)
     want = {tuple(r) for r in dedup.near_members(pairs).collect()}
     assert {tuple(r) for r in dedup.near_members(links).collect()} == want and len({c for _, c in want}) > 1
+    tiled = dedup.near_pairs_by_tiles(items, {"a": "a", "p": "p"}, 4, "v", "k", (5, 3), 0.2, block)
+    assert sorted(map(tuple, tiled.collect())) == sorted(map(tuple, pairs.collect()))
     assert dedup.near_members(dedup.near_links(items.limit(0), {"a": "a", "p": "p"}, 4, "v", "k", 5, 0.2)).count() == 0
 
 
