@@ -2,6 +2,7 @@
 
 import pytest
 
+from boxlake.plans import folders  # noqa: F401  registers its queries
 from boxlake.plans.queries import ORACLE_SQL, QUERIES
 from tests.conftest import SF, same_rows
 
