@@ -109,7 +109,7 @@ def test_packing_places_every_piece(spark, group_rows):
     want = [p for i, t in [*enumerate(texts), *enumerate(texts[:3])] for p in pieces(i, t, lib, 128)]
     n = check_packing(packing.pack(df, BYTE, capacity=128, group_rows=group_rows).collect(), want, 128)
     least = -(-sum(p[3] for p in want) // 128)
-    assert n <= least * 1.05 + 1 if group_rows > 3 else n <= 2 * least
+    assert n <= least * 1.05 + 1
 
 
 def test_packing_of_nothing(spark):
