@@ -107,16 +107,36 @@ def _met(left: DataFrame, reps: DataFrame, sizes: DataFrame, block: int, tile: i
     return a.select("node", "v", *tiles).groupBy(*tiles).cogroup(b.select("rep", "v", *tiles).groupBy(*tiles)).applyInPandas(_best, FOUND)
 
 
-def nearest(items: DataFrame, reps: DataFrame, key: str, vector: str, pivots: int = 64, width: float = 0.05, block: int = 2048, tile: int = 4096, seed: int = 12345) -> DataFrame:
+def _all_met(ids: np.ndarray, vectors: np.ndarray, most: int = 1024):
+    """Each item against all of a few representatives, which travel with the function, in order of their ids."""
+
+    def run(frames):
+        for pdf in frames:
+            for at in range(0, len(pdf), most):
+                part = pdf.iloc[at : at + most]
+                sims = np.round(np.stack(part["v"].to_numpy()) @ vectors.T, 12) + 0.0
+                best = sims.argmax(axis=1)  # the first of equal ones, so the smallest
+                yield pd.DataFrame({"item": part["item"].to_numpy(), "rep": ids[best], "sim": sims[np.arange(len(part)), best], "met": len(ids)})
+
+    return run
+
+
+def nearest(items: DataFrame, reps: DataFrame, key: str, vector: str, few: int = 2048, pivots: int = 64, width: float = 0.05, block: int = 2048, tile: int = 4096, seed: int = 12345) -> DataFrame:
     """(key, rep, sim, met): for each item the representative of highest cosine, rounded to 12 digits; ties go to the smallest.
 
     met counts the representatives an item was compared with besides the pivots. A zero vector has cosine 0 with all. Rows
     without a key, or whose vector is null or holds null or non-finite components, take no part; repeated rows stay. Without
-    representatives there are no rows. The work falls with the share of shells that bounds rule out; where angles are all
-    alike, as among random vectors, it is all blocks against all blocks, and exact all the same.
+    representatives there are no rows. At most ``few`` of them, counted first, are sent to every task, and items meet them
+    where they are; more meet by pivots. There the work falls with the share of shells that bounds rule out; where angles
+    are all alike, as among random vectors, it is all blocks against all blocks, and exact all the same.
     """
     scratch = Scratch(items.sparkSession)
     r = scratch.written(usable(reps, key, vector, "rep").distinct(), "reps")
+    if 0 < r.limit(few + 1).count() <= few:
+        known = r.orderBy("rep").collect()  # at most ``few`` rows
+        scratch.clear()
+        run = _all_met(np.array([k["rep"] for k in known], np.int64), np.array([k["v"] for k in known], np.float64))
+        return usable(items, key, vector, "item").mapInPandas(run, "item long, rep long, sim double, met long").withColumnRenamed("item", key)
     some = lambda df: df.filter(F.exists("v", lambda x: x != 0))
     none = lambda df: df.filter(~F.exists("v", lambda x: x != 0))
     lowest = r.agg(F.min("rep").alias("rep"), F.min(F.when(~F.exists("v", lambda x: x != 0), F.col("rep"))).alias("zero")).first()

@@ -675,6 +675,12 @@ def nearest_rep(s, d):
     return _assigned(s, d).select("vec_id", "rep")
 
 
+@query(f"with {_UNIT}, s as (select a.vec_id, b.vec_id as rep, {_DOT.format('a', 'b')} as sim from u a join u b on b.vec_id in (select vec_id from embeddings where label < 5)) select vec_id, rep from (select *, row_number() over (partition by vec_id order by sim desc, rep) as r from s) where r = 1")
+def nearest_labelled(s, d):
+    e = view(s, d, "embeddings")
+    return cluster.nearest(e, e.filter("label < 5"), "vec_id", "embedding", few=0).select("vec_id", "rep")
+
+
 @query(f"{_COVER} select rep, vec_id, role from g")
 def group_pick(s, d):
     return cluster.pick_best(_assigned(s, d), "vec_id")

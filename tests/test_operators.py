@@ -297,8 +297,8 @@ def plain_nearest(items, reps):
     return sorted((i, sorted(reps)[k][0], s) for (i, _), k, s in zip(items, sims.argmax(axis=1), sims.max(axis=1), strict=True))
 
 
-@pytest.mark.parametrize(("block", "tile", "pivot_count"), [(2048, 4096, 64), (3, 5, 4), (7, 50, 1)])
-def test_nearest_equals_all_pairs(spark, block, tile, pivot_count):
+@pytest.mark.parametrize(("block", "tile", "pivot_count", "few"), [(2048, 4096, 64, 2048), (2048, 4096, 64, 0), (3, 5, 4, 0), (7, 50, 1, 0)])
+def test_nearest_equals_all_pairs(spark, block, tile, pivot_count, few):
     rng = np.random.default_rng(11)
     centres = rng.standard_normal((6, 10))
     rows = [(i, (centres[i % 6] + rng.standard_normal(10) * 0.2).tolist()) for i in range(150)]
@@ -307,7 +307,7 @@ def test_nearest_equals_all_pairs(spark, block, tile, pivot_count):
     kind = "id long, v array<double>"
     items = spark.createDataFrame(rows + odd, kind).withColumn("rep", F.lit(1)).withColumn("shell", F.lit("x"))
     for reps in (rows[:60], [*rows[:20], (250, rows[5][1]), (300, [0.0] * 10)], [(300, [0.0] * 10)], [(7, rows[3][1]), (8, rows[3][1])]):
-        found = cluster.nearest(items, spark.createDataFrame([*reps, *odd], kind), "id", "v", pivots=pivot_count, block=block, tile=tile)
+        found = cluster.nearest(items, spark.createDataFrame([*reps, *odd], kind), "id", "v", few=few, pivots=pivot_count, block=block, tile=tile)
         assert sorted((r.id, r.rep, round(r.sim, 9) + 0.0) for r in found.collect()) == [(i, k, round(s, 9) + 0.0) for i, k, s in plain_nearest(rows, reps)]
     assert cluster.nearest(items, spark.createDataFrame([], kind), "id", "v").count() == 0
     assert cluster.nearest(items.limit(0), items, "id", "v").count() == 0
@@ -318,7 +318,7 @@ def test_bounds_skip_most_pairs(spark):
     centres = rng.standard_normal((40, 16))
     rows = [(i, (centres[i % 40] + rng.standard_normal(16) * 0.05).tolist()) for i in range(2000)]
     items = spark.createDataFrame(rows, "id long, v array<double>")
-    found = cluster.nearest(items, items.filter("id < 800"), "id", "v")
+    found = cluster.nearest(items, items.filter("id < 800"), "id", "v", few=0)
     assert pivots.share_computed(found, 800) < 0.1
     assert sorted((r.id, r.rep) for r in found.collect()) == [(i, k) for i, k, _ in plain_nearest(rows, rows[:800])]
 
@@ -328,7 +328,7 @@ def test_no_task_meets_all_pairs(spark, capfd):
     shells, plans = pivots._met, []
     pivots._met = lambda *a: plans.append(shells(*a)._jdf.queryExecution().toString()) or shells(*a)
     try:
-        cluster.nearest(items, items, "id", "v").collect()
+        cluster.nearest(items, items, "id", "v", few=0).collect()
     finally:
         pivots._met = shells
     assert plans and not any("Cartesian" in p or "NestedLoop" in p for p in plans)
