@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from boxlake.session import shared_dir, written
-from boxlake.sources.store import reachable, store
+from boxlake.sources.store import SCHEMES, reachable, scheme, store
 
 ACTIONS = "op string, src string, dst string"
 #: What a plan may ask for; rmtree deletes a folder with all below it, delete a file only.
@@ -49,6 +49,8 @@ class Journal:
 
 def _blocked(op: str, src: str, dst: str | None) -> str | None:
     """Why an action isn't possible now: 'gone', 'folder', 'exists'; null if it is."""
+    if op in ("move", "copy") and SCHEMES.get(scheme(src)) != SCHEMES.get(scheme(dst)):
+        raise ValueError(f"{op} between stores: {src} to {dst}")
     kind = store(src).kind(src)
     if kind is None:
         return "gone"

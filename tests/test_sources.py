@@ -361,6 +361,9 @@ def test_targets_taken_by_others_stay(spark, tmp_path):
     plan = spark.createDataFrame([("move", f"{tmp_path}/{d}/x", f"{tmp_path}/to/x") for d in "abc"], sinks.ACTIONS)
     results = {r.src: r.result for r in sinks.apply_actions(plan, dry_run=False).collect()}
     assert results == {f"{tmp_path}/a/x": "ok", f"{tmp_path}/b/x": "exists", f"{tmp_path}/c/x": "exists"} and (tmp_path / "to" / "x").read_text() == "a"
+    with pytest.raises(Exception, match="between stores"):
+        actions.carried_out(spark.createDataFrame([("move", f"{tmp_path}/b/x", "s3://bucket/x")], sinks.ACTIONS))
+    assert (tmp_path / "b" / "x").exists()
     with pytest.raises(Exception, match="tasks reach no"):
         actions.carried_out(spark.createDataFrame([("delete", "viewfs://x/y", None)], sinks.ACTIONS))
 
