@@ -224,7 +224,7 @@ def piece_limits(radius: int, pieces: int) -> list[int]:
 def hash_classes(items: DataFrame, key: str, hash_col: str) -> DataFrame:
     """(key, hash, rep): rows with a hash, and the smallest key that has the same one."""
     rows = items.select(key, F.col(hash_col).alias("hash")).filter("hash is not null")
-    return rows.join(rows.groupBy("hash").agg(F.min(key).alias("rep")), "hash").select(key, "hash", "rep")
+    return rows.join(rows.groupBy("hash").agg(F.min(key).alias("rep")).hint("shuffle_hash"), "hash").select(key, "hash", "rep")
 
 
 def hamming_join(items: DataFrame, key: str, hash_col: str, radius: int, pieces: int = 4) -> DataFrame:
@@ -234,7 +234,8 @@ def hamming_join(items: DataFrame, key: str, hash_col: str, radius: int, pieces:
     are ``hash_classes``. Hashes are cut into pieces; one piece of a near pair differs in at most its limit's bits
     (``piece_limits``), so each hash is posted under its pieces, and probes all values within the limit on the other side
     (137 values of 16 bits for two bits, 697 for three). What meets is tested by counting bits, in the join itself, and
-    pairs that an earlier piece brings together are left to it. Null hashes and null keys take no part.
+    pairs that an earlier piece brings together are left to it. Null hashes and null keys take no part. Tasks hold the posted
+    hashes of their values; the driver holds nothing that grows.
     """
     width = 64 // pieces
     limits = piece_limits(radius, pieces)
@@ -261,7 +262,8 @@ def hamming_join(items: DataFrame, key: str, hash_col: str, radius: int, pieces:
         for j in range(i):
             if limits[j] >= 0:
                 on = on & (F.bit_count(piece(apart, j)) > limits[j])
-        met = probes.join(posted, on).select("a", "b", F.bit_count(apart).alias("bits"), "n_a", "n_b")
+        # By a shuffle, whatever the planner takes the exploded probes' size for: else it may collect and broadcast them.
+        met = probes.join(posted.hint("shuffle_hash"), on).select("a", "b", F.bit_count(apart).alias("bits"), "n_a", "n_b")
         out = met if out is None else out.unionByName(met)
     return out
 
@@ -273,7 +275,7 @@ def hamming_links(items: DataFrame, key: str, hash_col: str, radius: int, pieces
     near = ways.groupBy("w.rep").agg(F.sum("w.n").alias("n"))
     members = hash_classes(items.filter(F.col(key).isNotNull()), key, hash_col)
     same = members.groupBy("rep").agg(F.count(F.lit(1)).alias("same"))
-    return members.join(same, "rep").join(near, "rep", "left").select(key, "rep", (F.col("same") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"))
+    return members.join(same.hint("shuffle_hash"), "rep").join(near.hint("shuffle_hash"), "rep", "left").select(key, "rep", (F.col("same") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"))
 
 
 def near_members(pairs: DataFrame) -> DataFrame:
