@@ -32,8 +32,10 @@ from boxlake.session import Scratch, size_bytes, written
 CACHE = 300_000
 #: Broadcast a set of candidate ids up to this many bytes; beyond it the rows are joined by a shuffle.
 BROADCAST_BYTES = 32 << 20
-#: The same for tables of candidates' labels, signatures and sets, by the size of their files.
+#: The same for tables of candidates' labels, signatures and sets, by the size of their files and of their rows in memory.
 LOOKUP_BYTES = 8 << 20
+#: Bytes of a row of a hashed table beside its values, for its place and its key.
+ROW_BYTES = 48
 
 
 class _WordHash(dict):
@@ -120,13 +122,23 @@ def _sets(words: int):
 def _semi(rows: DataFrame, ids: DataFrame, key: str, scratch: Scratch) -> DataFrame:
     """Rows whose ``key`` is in ``ids`` (one column, ``key``): broadcast if the ids' checked size allows it, else by a shuffle."""
     ids = scratch.written(ids.distinct(), "ids")
-    small = ids.count() * 16 <= BROADCAST_BYTES
+    small = ids.count() * (ROW_BYTES + 8) <= BROADCAST_BYTES
     return rows.join(F.broadcast(ids) if small else ids.hint("merge"), key, "left_semi")
 
 
 def _lookup(table: DataFrame) -> DataFrame:
-    """A written table as the side that is looked up: broadcast if its files are small, else by a shuffle."""
-    return F.broadcast(table) if size_bytes(table) <= LOOKUP_BYTES else table
+    """A written table as the side that is looked up: broadcast if its files and its counted rows are small, else by a shuffle.
+
+    Files of numbered rows take a fraction of what their rows take in the driver's memory, so their size alone says little.
+    """
+    small = size_bytes(table) <= LOOKUP_BYTES and table.count() * (ROW_BYTES + 8 * len(table.columns)) <= LOOKUP_BYTES
+    return F.broadcast(table) if small else table.hint("merge")
+
+
+def _shuffled(table: DataFrame) -> DataFrame:
+    """A side that grows with the input: joined by a shuffle, whatever the planner takes its size for, which for what comes of
+    exploded arrays is far too low."""
+    return table.hint("merge")
 
 
 def _whole_tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
@@ -271,7 +283,7 @@ def _block_tiles(rows: DataFrame, large: DataFrame, limits: tuple[int, int], scr
     meet = scratch.written(meet.unionByName(pairs.filter("x <> y").select("g", "x", "y", F.col("y").alias("b"), F.lit(2).alias("side"))), "meetings")
     own = rows.join(pure.withColumnRenamed("own", "c"), ["g", "c"], "left").withColumn("own", F.when(F.col("parts").isNotNull(), F.col("c")))
     own = own.join(pools.select("g", F.col("parts").alias("pool")), "g", "left").withColumn("k", F.pmod(F.xxhash64("node"), F.coalesce("parts", "pool")).cast("int"))
-    return own.select("g", "node", "c", name).join(meet, ["g", "b"]).select("g", "x", "y", "side", "node", "c")
+    return own.select("g", "node", "c", name).join(_shuffled(meet), ["g", "b"]).select("g", "x", "y", "side", "node", "c")
 
 
 def _components(groups: DataFrame, payload: DataFrame, judge, limits: tuple[int, int], rounds: int, scratch: Scratch) -> DataFrame:
@@ -304,7 +316,7 @@ def _components(groups: DataFrame, payload: DataFrame, judge, limits: tuple[int,
         merged = scratch.written(connected_components(found), "merged")
         rows = scratch.written(groups.join(_lookup(merged), "node", "left").select("g", "node", "bytes", F.coalesce("component", "node").alias("c")), "rows")
     small = sizes.filter("parts <= 1").select("g")
-    tiles = rows.join(small, "g").select("g", F.lit(0).cast("long").alias("x"), F.lit(0).cast("long").alias("y"), F.lit(0).alias("side"), "node", "c")
+    tiles = rows.join(_shuffled(small), "g").select("g", F.lit(0).cast("long").alias("x"), F.lit(0).cast("long").alias("y"), F.lit(0).alias("side"), "node", "c")
     if not none:
         tiles = tiles.unionByName(_block_tiles(rows, large, limits, scratch))
     fresh = links(tiles)
@@ -340,9 +352,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, coords:
     found = _components(near.select("g", "node", (8 * F.col("n")).alias("bytes")), sets, _confirming(percent), (block_rows, block_bytes), rounds, scratch)
 
     least_id = near.join(_lookup(found), "node").groupBy("component").agg(F.min("id").alias("least"))
-    reached = near.select("node").join(_lookup(found), "node").join(least_id, "component").select("node", "least")
+    reached = near.select("node").join(_lookup(found), "node").join(_shuffled(least_id), "component").select("node", "least")
     # Only classes of several rows or with links change a row's own id.
-    labels = classes.select("fp", "node", "id", "copies").join(reached, "node", "left").filter("copies > 1 or least is not null").select("fp", F.coalesce("least", "id").alias("component_id"))
+    labels = classes.select("fp", "node", "id", "copies").join(_shuffled(reached), "node", "left").filter("copies > 1 or least is not null").select("fp", F.coalesce("least", "id").alias("component_id"))
     labels = written(labels, "labels")
     scratch.clear()
     out = rows.select("doc_id", "n_shingles", "fp").join(_lookup(labels), "fp", "left").withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")))
@@ -368,10 +380,10 @@ def _lists(classes: DataFrame, coords: int, least: int, scratch: Scratch) -> Dat
     # (coordinate, value) as one key; a pair with a single posting can't link anything and needs no list.
     posts = posts.select("node", F.xxhash64("k", "v").alias("g"))
     several = posts.groupBy("g").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
-    ranked = posts.join(several, "g").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("df", "g"))).alias("own"))
+    ranked = posts.join(_shuffled(several), "g").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("df", "g"))).alias("own"))
     # All single pairs come first in the order, so the prefix has that many places less.
     room = F.size("own") - (least - 1)
     prefix = scratch.written(ranked.filter(room > 0).select("node", F.explode(F.slice("own", 1, room)).alias("p")).select("node", "p.g"), "prefix")
     members = prefix.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.expr("bit_xor(xxhash64(node))").alias("m1"), F.expr("bit_xor(xxhash64(node, 1))").alias("m2"))
     chosen = members.filter("n > 1").groupBy("n", "m1", "m2").agg(F.min("g").alias("g")).select("g")
-    return scratch.written(prefix.join(chosen, "g").withColumn("bytes", F.lit(4 * coords + 64).cast("long")), "lists")
+    return scratch.written(prefix.join(_shuffled(chosen), "g").withColumn("bytes", F.lit(4 * coords + 64).cast("long")), "lists")

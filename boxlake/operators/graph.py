@@ -14,13 +14,13 @@ from boxlake.session import checkpointed
 def _large_star(e: DataFrame) -> DataFrame:
     both = e.select("u", "v").unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
     low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return both.filter("v > u").join(low.hint("merge"), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(e: DataFrame) -> DataFrame:
     down = e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     low = down.groupBy("u").agg(F.min("v").alias("m"))
-    moved = down.join(low, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    moved = down.join(low.hint("merge"), "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(low.select("u", F.col("m").alias("v")))
 
 

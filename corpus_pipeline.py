@@ -50,13 +50,13 @@ def minhash_neardup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     stay = known.filter("kept and fp is not null").join(_small(many), F.col("doc_id") == F.col("_id"), "left_semi").select(F.col("doc_id").alias("_id"), F.col("fp").alias("_print")).distinct()
     same = (F.col("doc_id") == F.col("_id")) & (F.col("_fp") == F.col("_print"))
     # Of rows of one id and one set of shingles, copies of one document, the one that sorts first stays.
-    one = several.join(stay, same, "left_semi").groupBy("doc_id", "_fp").agg(F.min(F.struct(*REST)).alias("r")).select("doc_id", "r.*")
+    one = several.join(stay.hint("merge"), same, "left_semi").groupBy("doc_id", "_fp").agg(F.min(F.struct(*REST)).alias("r")).select("doc_id", "r.*")
     return left.unionByName(one.select(*COLUMNS)).unionByName(several.filter("_fp is null").select(*COLUMNS))
 
 
 def _small(ids: DataFrame) -> DataFrame:
     """Ids for a join: broadcast if their number allows it."""
-    return F.broadcast(ids) if ids.count() * 16 <= BROADCAST_BYTES else ids
+    return F.broadcast(ids) if ids.count() * (neardup.ROW_BYTES + 8) <= BROADCAST_BYTES else ids.hint("merge")
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

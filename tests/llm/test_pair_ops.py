@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from boxlake.llm import neardup, vectors
 from boxlake.llm.queries import ORACLE_SQL, QUERIES
+from boxlake.session import Scratch, size_bytes
 from tests.conftest import SF, same_rows
 
 A_Z = {c: c + 32 for c in range(65, 91)}
@@ -175,3 +176,25 @@ def test_pipeline(spark, tmp_path):
     assert set(left) == {*range(60), 100, 104} and left[104].endswith("mail [EMAIL]") and "menu" not in left[0]
     packed = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {r.doc_id for r in packed} == set(left)
+
+
+def test_tables_that_grow_are_not_broadcast(spark, monkeypatch):
+    """Lists of signatures meet by shuffles, and rows in the driver are counted as they are there, not as their files are."""
+    plans = []
+    write = Scratch.written
+
+    def seen(self, df, label="step"):
+        plans.append((label, df._jdf.queryExecution().sparkPlan().toString()))
+        return write(self, df, label)
+
+    monkeypatch.setattr(Scratch, "written", seen)
+    scratch = Scratch(spark)
+    sig = F.transform(F.sequence(F.lit(0), F.lit(47)), lambda k: ((F.col("id") % 40) * 48 + k).cast("int"))
+    classes = write(scratch, spark.range(80).select(F.col("id").alias("node"), sig.alias("sig")))
+    assert neardup._lists(classes, 48, 22, scratch).count() > 0
+    assert {label for label, _ in plans} == {"prefix", "lists"}
+    assert [label for label, plan in plans if "BroadcastHashJoin" in plan] == []
+    many = write(scratch, spark.range(400_000).select(F.col("id").alias("node"), (F.col("id") % 2).alias("component")))
+    assert size_bytes(many) <= neardup.LOOKUP_BYTES
+    assert "Broadcast" not in spark.range(9).join(neardup._lookup(many), F.col("id") == F.col("node"))._jdf.queryExecution().sparkPlan().toString()
+    scratch.clear()
