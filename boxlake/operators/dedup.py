@@ -39,31 +39,74 @@ def exact_groups(files: DataFrame, content: Column, path: str = "path", most: in
     return heads.join(parts, "hash", "left").select("hash", "keep", F.coalesce("part", F.lit(0)).alias("part"), F.coalesce("dups", F.array().cast("array<string>")).alias("dups"))
 
 
+def _pieces(column: str, count: int) -> Column:
+    """A hash (array of bits) as ``count`` texts of equal size. A lambda binds it, so that it is computed once a row."""
+
+    def cut(h: Column) -> Column:
+        size = (F.size(h) / count).cast("int")
+        return F.array(*[F.array_join(F.slice(h, size * i + 1, size), "") for i in range(count)])
+
+    return F.get(F.transform(F.array(column), cut), F.lit(0))
+
+
 def bands(items: DataFrame, hashes: dict[str, str], count: int, key: str) -> DataFrame:
     """(key, tag, band, value): each hash (array of bits) cut into ``count`` bands of equal size."""
-    parts = []
-    for tag, column in hashes.items():
-        size = (F.size(column) / count).cast("int")
-        pieces = F.array(*[F.array_join(F.slice(F.col(column), size * i + 1, size), "") for i in range(count)])
-        parts.append(items.select(key, F.lit(tag).alias("tag"), F.posexplode(pieces).alias("band", "value")))
+    parts = [items.select(key, F.lit(tag).alias("tag"), F.posexplode(_pieces(column, count)).alias("band", "value")) for tag, column in hashes.items()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
-def candidates(items: DataFrame, hashes: dict[str, str], count: int, key: str, cap: int | None = None) -> DataFrame:
+def candidates(items: DataFrame, hashes: dict[str, str], count: int, key: str, cap: int | None = None, block: int = 4096) -> DataFrame:
     """(a, b), a < b: distinct pairs that share a band.
 
+    A pair is given by the first band that it shares, so pairs of two keys that stand in one row each, which are nearly all,
+    never meet in a shuffle. Buckets are cut into blocks of about ``block`` rows, and two blocks meet in a task: a hot bucket is
+    many tasks. The pairs themselves are quadratic.
+
     ``cap`` compares the ``cap`` smallest keys of each bucket only, as a speed limit of the caller's choice; default none.
     """
-    posted = bands(items, hashes, count, key)
     if cap is not None:
+        posted = bands(items, hashes, count, key)
         least = posted.groupBy("tag", "band", "value").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > cap)
         rank = F.row_number().over(Window.partitionBy("tag", "band", "value").orderBy(key))
         posted = posted.join(least, ["tag", "band", "value"], "left").withColumn("r", F.when(F.col("n").isNull(), 0).otherwise(rank)).filter(F.col("r") <= cap).drop("r", "n")
-    a, b = posted.withColumnRenamed(key, "a"), posted.withColumnRenamed(key, "b")
-    return a.join(b, ["tag", "band", "value"]).filter("a < b").select("a", "b").distinct()
+        a, b = posted.withColumnRenamed(key, "a"), posted.withColumnRenamed(key, "b")
+        return a.join(b, ["tag", "band", "value"]).filter("a < b").select("a", "b").distinct()
+    # Texts of at most 62 bits as numbers, which are quicker to compare; longer ones by 64 bits of a hash.
+    code = lambda v: F.when(v.rlike("^[01]{1,62}$"), F.conv(F.concat(F.lit("1"), v), 2, 10).cast("long")).otherwise(F.xxhash64(v))
+    values = F.concat(*[_pieces(column, count) for column in hashes.values()])
+    rows = items.filter(F.col(key).isNotNull()).select(F.col(key).alias("k"), values.alias("values"))
+    own = F.transform("values", lambda v: F.when(v.isNotNull(), code(v)))
+    # An inner explode would have the planner filter by the array first, and compute it twice.
+    posted = rows.select("k", own.alias("own"), F.posexplode_outer("values").alias("place", "value")).filter("value is not null")
+    parts = F.ceil(F.count(F.lit(1)) / block).cast("int")
+    hot = posted.groupBy("place", "value").agg(parts.alias("parts")).filter("parts > 1")
+    posted = posted.join(hot, ["place", "value"], "left").withColumn("parts", F.coalesce("parts", F.lit(1))).withColumn("block", F.pmod(F.xxhash64("k"), F.col("parts")).cast("int"))
+    again = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("k")
+    if again.isEmpty():
+        return _meetings(posted, posted, len(hashes) * count)
+    # Rows of a repeated key may give a pair several times.
+    one, more = posted.join(again, "k", "left_anti"), posted.join(again, "k", "left_semi")
+    several = _meetings(more, posted, len(hashes) * count).unionByName(_meetings(posted, more, len(hashes) * count))
+    return _meetings(one, one, len(hashes) * count).unionByName(several.distinct())
+
+
+def _meetings(left: DataFrame, right: DataFrame, places: int) -> DataFrame:
+    """(a, b), a < b: posted rows (k, own, place, value, parts, block) of either side that agree at no earlier place."""
+    every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    # A column a place keeps the test short enough to be compiled; no value agrees with none.
+    own = lambda none: [F.coalesce(F.get("own", F.lit(at)), F.lit(none)).alias(f"own_{at}") for at in range(places - 1)]
+    a = left.select(F.col("k").alias("a"), "place", "value", F.col("block").alias("x"), every.alias("y"), *own(-1))
+    b = right.select(F.col("k").alias("b"), "place", "value", every.alias("x"), F.col("block").alias("y"), *own(-2))
+    on = F.col("a") < F.col("b")
+    for at in range(places - 1):
+        on = on & ((a["place"] <= at) | (a[f"own_{at}"] != b[f"own_{at}"]))
+    for c in ("place", "value", "x", "y"):
+        on = (a[c] == b[c]) & on
+    # Sides are larger than the planner takes exploded rows for: none is to be broadcast.
+    return a.join(b.hint("merge"), on).select("a", "b")
 
 
 def bucket_report(items: DataFrame, hashes: dict[str, str], count: int, key: str, cap: int) -> DataFrame:
