@@ -66,8 +66,11 @@ def label_file_classes(s, d):
 @query(f"with {_LINES}, g as (select distinct l_orderkey, l_linenumber, s_suppkey from l where cls = 1), k as (select distinct s_suppkey from g) select z.base || '.txt' as name, cast((select coalesce(sum(length(line) + 1), 0) from l where l.s_suppkey = z.s_suppkey and cls <> 1) as bigint) as size from z join k on k.s_suppkey = z.s_suppkey")
 def rewritten_label_files(s, d):
     root = _folder(s, d)
-    lines = files.ordered_lines(s, f"{root}/*/*/*.txt").filter("line <> ''").select(G.stem(G.basename(F.col("path"))).alias("base"), "line_no", "line")
-    sinks.write_labels(sinks.rewritten_labels(lines.filter("line not like '1 %'"), lines), f"{root}/out")
+    # By folder, as a glob of files has Spark ask for each of them by itself.
+    texts = files.whole_text(s, f"{root}/*/*").select(G.stem(G.basename(F.col("path"))).alias("base"), "text")
+    # Small files are many small splits; a few tasks a core write them.
+    texts = texts.coalesce(4 * s.sparkContext.defaultParallelism)
+    sinks.write_labels(sinks.rewritten_files(texts, lambda line: ~line.startswith("1 ")), f"{root}/out")
     return files.listing(s, f"{root}/out").select("name", "size")
 
 

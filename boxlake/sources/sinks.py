@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from boxlake.functions import pixels
@@ -120,6 +121,17 @@ def rewritten_labels(kept: DataFrame, original: DataFrame, line: str = "line") -
     return before.join(after, "base", "left").filter(F.coalesce("m", F.lit(0)) < F.col("n")).select("base", F.coalesce("lines", F.array().cast("array<string>")).alias("lines"))
 
 
+def rewritten_files(files: DataFrame, keep: Callable[[Column], Column]) -> DataFrame:
+    """(base, lines): as ``rewritten_labels``, where a line alone tells whether it stays, of whole files (base, text).
+
+    A file is rewritten in its row, so no line is shuffled and files are read once. Empty lines count as none; a line of
+    which ``keep`` gives null goes.
+    """
+    lines = F.filter(F.split("text", r"\r\n|\r|\n"), lambda x: x != "")
+    split = files.select("base", F.transform(F.array(lines), lambda x: F.struct(F.size(x).alias("n"), F.filter(x, keep).alias("lines")))[0].alias("f"))
+    return split.filter(F.size("f.lines") < F.col("f.n")).select("base", "f.lines")
+
+
 def describe(plan: DataFrame) -> str:
     """The plan's log: number of actions by kind, as one JSON line."""
     return json.dumps({r["op"]: r["n"] for r in plan.groupBy("op").agg(F.count(F.lit(1)).alias("n")).collect()}, sort_keys=True)
